@@ -30,33 +30,32 @@ DATE_FIELDS = ("dob",)
 
 def normalize_string(text: Column) -> Column:
     """Strip, collapse blanks, lower-case."""
-    return F.coalesce(F.lower(collapse(strip(text))), F.lit(""))
+    # Once every run of blanks is one space, the plain trim is enough.
+    return F.coalesce(F.lower(F.trim(collapse(text))), F.lit(""))
 
 
 def normalize_name(text: Column) -> Column:
     """Plain rule, minus one leading honorific, punctuation read as blanks."""
     titles = "|".join(HONORIFICS)
     untitled = F.regexp_replace(normalize_string(text), rf"^({titles})\.?\s+", "")
-    return strip(collapse(F.regexp_replace(untitled, r"""[.,_\-'"]""", " ")))
+    return F.trim(F.regexp_replace(untitled, r"""[.,_\-'"\s]+""", " "))
 
 
 def normalize_email(text: Column) -> Column:
     """Lower case, no blanks at all; the address is not validated."""
-    return drop_blanks(normalize_string(text))
+    return F.coalesce(F.lower(drop_blanks(text)), F.lit(""))
 
 
 def normalize_phone(text: Column) -> Column:
     """Digits only; a 91, 0 or 1 prefix in front of ten digits is dropped."""
-    digits = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\D", "")
-    size = F.length(digits)
-    prefixed = ((size == 12) & digits.startswith("91")) | (
-        (size == 11) & (digits.startswith("0") | digits.startswith("1"))
-    )
-    return F.when(prefixed, F.right(digits, F.lit(10))).otherwise(digits)
+    digits = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\D+", "")
+    return F.regexp_replace(digits, r"(?U)^(91|0|1)(?=\d{10}$)", "")
 
 
-_INTEGER_TEXT = r"^[+-]?\d+(\.0*)?$"
-_DECIMAL_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# Single underscores may group the digits.
+_DIGITS = r"\d+(_\d+)*"
+_INTEGER_TEXT = rf"^[+-]?{_DIGITS}(\.0*)?$"
+_DECIMAL_TEXT = rf"^[+-]?({_DIGITS}\.?({_DIGITS})?|\.{_DIGITS})([eE][+-]?{_DIGITS})?$"
 _INFINITY_TEXT = r"(?i)^([+-]?)inf(inity)?$"
 
 
@@ -67,19 +66,19 @@ def normalize_number(text: Column) -> Column:
     apart from each other.
     """
     s = strip(F.coalesce(text, F.lit("")))
-    # Digit groups may be written with single underscores between digits.
-    number = F.regexp_replace(s, r"(?<=\d)_(?=\d)", "")
-    return F.when(number.rlike(_INTEGER_TEXT), _integer_text(number)).when(
-        number.rlike(_DECIMAL_TEXT), _double_text(number)
-    ).when(
-        number.rlike(_INFINITY_TEXT),
-        F.concat(F.when(number.startswith("-"), F.lit("-")).otherwise(F.lit("")), F.lit("inf")),
-    ).when(number.rlike(r"(?i)^[+-]?nan$"), F.lit("nan")).otherwise(normalize_string(s))
+    digits = F.replace(s, F.lit("_"), F.lit(""))
+    return (
+        F.when(s.rlike(_INTEGER_TEXT), _integer_text(digits))
+        .when(s.rlike(_DECIMAL_TEXT), _double_text(digits))
+        .when(s.rlike(_INFINITY_TEXT), F.regexp_replace(s, r"(?i)^\+?(-?)inf.*$", "$1inf"))
+        .when(s.rlike(r"(?i)^[+-]?nan$"), F.lit("nan"))
+        .otherwise(normalize_string(s))
+    )
 
 
 def _integer_text(number: Column) -> Column:
-    digits = F.regexp_extract(number, r"^[+-]?0*(\d+?)(\.0*)?$", 1)
-    return F.when((digits != "0") & number.startswith("-"), F.concat(F.lit("-"), digits)).otherwise(digits)
+    trimmed = F.regexp_replace(number, r"^\+?(-?)0*(\d+?)(\.0*)?$", "$1$2")
+    return F.regexp_replace(trimmed, "^-0$", "0")
 
 
 def _double_text(number: Column) -> Column:
@@ -138,8 +137,8 @@ def _iso_day(s: Column, pattern: str, year: int, month: int, day: int) -> Column
 
 def drop_null_tokens(text: Column) -> Column:
     """Stripped text, or "" when it is a spelling of "no value"."""
-    s = strip(F.coalesce(text, F.lit("")))
-    return F.when(F.lower(s).isin(*NULL_TOKENS), F.lit("")).otherwise(s)
+    tokens = "|".join(token for token in NULL_TOKENS if token)
+    return F.regexp_replace(strip(F.coalesce(text, F.lit(""))), f"(?i)^({tokens})$", "")
 
 
 def rule_of(field: str):

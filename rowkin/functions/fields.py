@@ -174,6 +174,11 @@ def _first_per_key(entries: Column) -> Column:
     return let(entries, pick)
 
 
+def last_per_key(entries: Column) -> Column:
+    """Map of ``(key, value)`` entries, keeping the last value of a repeated key."""
+    return F.map_from_entries(F.reverse(F.map_entries(_first_per_key(F.reverse(entries)))))
+
+
 def map_of(columns: Mapping[str, Column]) -> Column:
     """Map of named columns without the empty ones."""
     pairs = [

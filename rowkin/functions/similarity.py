@@ -25,41 +25,26 @@ def _ratio(distance: Column, longest: Column) -> Column:
     return F.lit(1.0) - distance.cast("double") / longest.cast("double")
 
 
-def max_edits(longest: Column, theta: float) -> Column:
+def max_edits(longest: Column, theta: Column) -> Column:
     """Largest distance d with ``1.0 - d / longest >= theta`` in double arithmetic.
 
     The estimate is off by at most one through rounding, so its two neighbours are tested with the
     very expression that decides a match.
     """
-    guess = F.floor(longest * F.lit(1.0 - theta)).cast("int")
-    fits = lambda d: _ratio(d, longest) >= F.lit(theta)
+    guess = F.floor(longest * (F.lit(1.0) - theta)).cast("int")
+    fits = lambda d: _ratio(d, longest) >= theta
     return F.when(fits(guess + 1), guess + 1).when(fits(guess), guess).otherwise(guess - 1)
 
 
-def bounded_similarity(a: Column, b: Column, theta: float) -> Column:
-    """Similarity of two non-empty strings when it reaches ``theta``, else NULL.
+def bounded_distance(a: Column, b: Column, theta: Column) -> Column:
+    """Edit distance of two non-empty strings if their similarity reaches ``theta``, else -1.
 
-    The bounded edit distance gives up as soon as the bound is passed.  Spark takes that bound only
-    as a constant, so the bound of the longest pair in a length class is used: one branch per class.
+    The bounded edit distance gives up as soon as the bound is passed.
     """
-    longest = F.greatest(F.length(a), F.length(b))
-    distance = None
-    for limit in LENGTH_CLASSES:
-        bound = python_max_edits(limit, theta)
-        branch = F.levenshtein(a, b, bound)
-        inside = longest <= limit
-        distance = F.when(inside, branch) if distance is None else distance.when(inside, branch)
-    distance = distance.otherwise(F.levenshtein(a, b))
-    ratio = _ratio(distance, longest)
-    return F.when((distance >= 0) & (ratio >= F.lit(theta)), ratio)
-
-
-LENGTH_CLASSES = (8, 16, 32, 64, 128, 256, 1024)
-
-
-def python_max_edits(longest: int, theta: float) -> int:
-    """Plan-time form of :func:`max_edits`."""
-    d = int(longest * (1.0 - theta)) + 1
-    while d > 0 and 1.0 - d / longest < theta:
-        d -= 1
-    return d
+    limit = max_edits(F.greatest(F.length(a), F.length(b)), theta)
+    return F.call_function("levenshtein", a, b, limit)
+
+
+def ratio_of(distance: Column, a: Column, b: Column) -> Column:
+    """Similarity of two non-empty strings with a known distance."""
+    return _ratio(distance, F.greatest(F.length(a), F.length(b)))

@@ -17,9 +17,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from rowkin.functions.similarity import bounded_similarity, max_edits
+from rowkin.functions.similarity import bounded_distance, max_edits, ratio_of
 from rowkin.operators.skew import left_join_by_key
-from rowkin.scratch import write_out
+from rowkin.scratch import Stored, store, write_out
 from rowkin.settings import DEFAULTS, MatchSettings
 
 # The two thresholds, the shortest comparable name, and the context fields.
@@ -34,7 +34,9 @@ CONTEXT_FIELDS = ("department", "company", "address")
 _PLACED_LENGTH = 40
 
 
-def scoped_names(nodes: DataFrame, settings: MatchSettings = DEFAULTS) -> DataFrame:
+def scoped_names(
+    nodes: DataFrame, settings: MatchSettings = DEFAULTS, total: int | None = None
+) -> DataFrame:
     """``(id, name, len, scope, direct)``: the strict scope of every name and each context it shares.
 
     A context with one member has no pair to offer and is dropped.  ``direct`` marks the contexts
@@ -49,7 +51,14 @@ def scoped_names(nodes: DataFrame, settings: MatchSettings = DEFAULTS) -> DataFr
     ]
     shared = named.select("id", "name", F.explode(F.array_compact(F.array(*contexts))).alias("scope"))
     members = shared.groupBy("scope").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    sized = left_join_by_key(shared, members, "scope", F.col("id"), settings=settings).where("n is not null")
+    sized = left_join_by_key(
+        shared,
+        members,
+        "scope",
+        F.col("id"),
+        settings=settings,
+        total=None if total is None else total * len(CONTEXT_FIELDS),
+    ).where("n is not null")
     return strict.unionByName(
         sized.select(
             "id",
@@ -61,98 +70,119 @@ def scoped_names(nodes: DataFrame, settings: MatchSettings = DEFAULTS) -> DataFr
     )
 
 
-def short_side(scoped: DataFrame) -> DataFrame:
-    """``(scope, block, id, name)``: names cut into pieces, to be found inside names as long or longer."""
-    return _keyed(scoped, _short_side)
-
-
-def long_side(scoped: DataFrame) -> DataFrame:
-    """``(scope, block, id, name)``: the substrings of names where a piece may turn up."""
-    return _keyed(scoped, _long_side)
+def store_names(scoped: DataFrame) -> Stored:
+    """Write scoped names and observe which kinds of blocks they call for."""
+    return store(
+        scoped,
+        "names",
+        longest=F.coalesce(F.max("len"), F.lit(0)),
+        direct=F.count_if("direct"),
+        # One bit per length in use: lengths nobody has need no block.
+        lengths=F.coalesce(
+            F.bit_or(
+                F.when(
+                    F.col("len") <= _PLACED_LENGTH,
+                    F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("len")),
+                )
+            ),
+            F.lit(0).cast("bigint"),
+        ),
+    )
 
 
-def _keyed(scoped: DataFrame, pieces) -> DataFrame:
-    parts = [scoped.where("direct").withColumn("block", F.lit(0).cast("bigint"))]
-    parts += pieces(scoped.where("scope = ''"), STRICT)
-    parts += pieces(scoped.where("scope <> '' and not direct"), LOOSE)
-    return _union([part.select("scope", "block", "id", "name") for part in parts])
+def short_side(scoped: DataFrame, figures: dict) -> DataFrame:
+    """``(scope, block, id, name)``: names cut into pieces, to be found inside names as long or longer."""
+    return _keyed(scoped, _short_placed, _short_free, figures)
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    whole = parts[0]
+def long_side(scoped: DataFrame, figures: dict) -> DataFrame:
+    """``(scope, block, id, name)``: the substrings of names where a piece may turn up."""
+    return _keyed(scoped, _long_placed, _long_free, figures)
+
+
+def _keyed(scoped: DataFrame, placed, free, figures: dict) -> DataFrame:
+    cut = scoped.where("not direct").withColumn("theta", _theta())
+    in_use = [n for n in range(_PLACED_LENGTH + 1) if figures["lengths"] >> n & 1]
+    parts = [placed(cut, in_use)]
+    if figures["longest"] > _PLACED_LENGTH:
+        parts.append(free(cut))
+    if figures["direct"]:
+        parts.append(scoped.where("direct").withColumn("block", F.lit(0).cast("bigint")))
+    whole = parts[0].select("scope", "block", "id", "name")
     for part in parts[1:]:
-        whole = whole.unionByName(part)
+        whole = whole.unionByName(part.select("scope", "block", "id", "name"))
     return whole
 
 
-def _longest_partner(length: Column, theta: float) -> Column:
+def _theta() -> Column:
+    return F.when(F.col("scope") == "", F.lit(STRICT)).otherwise(F.lit(LOOSE))
+
+
+def _longest_partner(length: Column) -> Column:
     """No name longer than this can match a name of the given length: L - l <= t(L) <= (1-theta) L."""
-    return F.floor(length / F.lit(theta)).cast("int") + 1
+    return F.floor(length / F.col("theta")).cast("int") + 1
 
 
-def _short_side(scoped: DataFrame, theta: float) -> list[DataFrame]:
-    sized = scoped.withColumn(
-        "long_len", F.explode(F.sequence(F.col("len"), _longest_partner(F.col("len"), theta)))
-    ).withColumn("t", max_edits(F.col("long_len"), theta))
-    sized = sized.where(F.col("long_len") - F.col("len") <= F.col("t"))
-    placed = (
-        sized.where(F.col("long_len") <= _PLACED_LENGTH)
+def _short_placed(scoped: DataFrame, in_use: list[int]) -> DataFrame:
+    longest = F.least(_longest_partner(F.col("len")), F.lit(_PLACED_LENGTH))
+    return (
+        scoped.where(F.col("len") <= _PLACED_LENGTH)
+        .withColumn("long_len", F.explode(F.sequence(F.col("len"), longest)))
+        .where(F.col("long_len").isin(in_use))
+        .withColumn("t", max_edits(F.col("long_len"), F.col("theta")))
+        .where(F.col("long_len") - F.col("len") <= F.col("t"))
         .withColumn("k", F.explode(F.sequence(F.lit(0), F.col("t"))))
         .withColumn("start", _piece_start(F.col("len")))
         .withColumn("piece", F.substring(F.col("name"), F.col("start") + 1, _piece_size(F.col("len"))))
         .withColumn("block", _placed_block(F.col("len"), F.col("long_len")))
     )
-    # Free pieces: one fixed piece size per shorter length, so that the longest partner is covered.
-    widest = scoped.withColumn("long_len", _longest_partner(F.col("len"), theta)).where(
-        F.col("long_len") > _PLACED_LENGTH
-    )
-    free = (
-        widest.withColumn("size", _free_size(F.col("len"), theta))
-        .withColumn("k", F.explode(F.sequence(F.lit(0), F.floor(F.col("len") / F.col("size")).cast("int") - 1)))
-        .withColumn("piece", F.substring(F.col("name"), F.col("k") * F.col("size") + 1, F.col("size")))
-        .withColumn("block", _free_block())
-    )
-    return [placed, free]
 
 
-def _long_side(scoped: DataFrame, theta: float) -> list[DataFrame]:
-    bounded = scoped.withColumn("t", max_edits(F.col("len"), theta))
-    placed = (
-        bounded.where(F.col("len") <= _PLACED_LENGTH)
-        .withColumn(
-            "short_len",
-            F.explode(F.sequence(F.greatest(F.col("len") - F.col("t"), F.lit(MIN_NAME)), F.col("len"))),
-        )
-        .withColumn("k", F.explode(F.sequence(F.lit(0), F.col("t"))))
-        .withColumn("start", _piece_start(F.col("short_len")))
-        .withColumn("size", _piece_size(F.col("short_len")))
-    )
+def _long_placed(scoped: DataFrame, in_use: list[int]) -> DataFrame:
+    shortest = F.greatest(F.col("len") - F.col("t"), F.lit(MIN_NAME))
     # A piece can only have moved as far as the edits that the length difference leaves over.
     gap = F.col("len") - F.col("short_len")
     low = F.greatest(F.lit(0), F.col("start") - F.floor((F.col("t") - gap) / 2).cast("int"))
     high = F.least(
         F.col("len") - F.col("size"), F.col("start") + F.floor((F.col("t") + gap) / 2).cast("int")
     )
-    placed = (
-        placed.where(low <= high)
+    return (
+        scoped.where(F.col("len") <= _PLACED_LENGTH)
+        .withColumn("t", max_edits(F.col("len"), F.col("theta")))
+        .withColumn("short_len", F.explode(F.sequence(shortest, F.col("len"))))
+        .where(F.col("short_len").isin(in_use))
+        .withColumn("k", F.explode(F.sequence(F.lit(0), F.col("t"))))
+        .withColumn("start", _piece_start(F.col("short_len")))
+        .withColumn("size", _piece_size(F.col("short_len")))
+        .where(low <= high)
         .withColumn("at", F.explode(F.sequence(low, high)))
         .withColumn("piece", F.substring(F.col("name"), F.col("at") + 1, F.col("size")))
         .withColumn("block", _placed_block(F.col("short_len"), F.col("len")))
     )
-    longer = bounded.where(F.col("len") > _PLACED_LENGTH)
-    # The piece sizes in use among the admissible shorter lengths are a handful of small numbers.
-    sizes = F.array_distinct(
-        F.transform(
-            F.sequence(F.col("len") - F.col("t"), F.col("len")), lambda length: _free_size(length, theta)
-        )
+
+
+def _short_free(scoped: DataFrame) -> DataFrame:
+    """One piece size per shorter length, small enough for its longest partner."""
+    return (
+        scoped.where(_longest_partner(F.col("len")) > _PLACED_LENGTH)
+        .withColumn("size", _free_size(F.col("len")))
+        .withColumn("k", F.explode(F.sequence(F.lit(0), F.floor(F.col("len") / F.col("size")).cast("int") - 1)))
+        .withColumn("piece", F.substring(F.col("name"), F.col("k") * F.col("size") + 1, F.col("size")))
+        .withColumn("block", _free_block())
     )
-    free = (
-        longer.withColumn("size", F.explode(sizes))
+
+
+def _long_free(scoped: DataFrame) -> DataFrame:
+    """Every substring of each piece size in use among the admissible shorter lengths, a few numbers."""
+    shortest = F.col("len") - max_edits(F.col("len"), F.col("theta"))
+    sizes = F.array_distinct(F.transform(F.sequence(shortest, F.col("len")), _free_size))
+    return (
+        scoped.where(F.col("len") > _PLACED_LENGTH)
+        .withColumn("size", F.explode(sizes))
         .withColumn("at", F.explode(F.sequence(F.lit(0), F.col("len") - F.col("size"))))
         .withColumn("piece", F.substring(F.col("name"), F.col("at") + 1, F.col("size")))
         .withColumn("block", _free_block())
     )
-    return [placed, free]
 
 
 def _piece_start(length: Column) -> Column:
@@ -174,9 +204,9 @@ def _placed_block(short_len: Column, long_len: Column) -> Column:
     return F.xxhash64(short_len, long_len, F.col("k"), F.col("piece"))
 
 
-def _free_size(length: Column, theta: float) -> Column:
+def _free_size(length: Column) -> Column:
     """Size of the pieces of a name of this length: enough whole pieces for its longest partner."""
-    edits = max_edits(_longest_partner(length, theta), theta)
+    edits = max_edits(_longest_partner(length), F.col("theta"))
     return F.greatest(F.lit(1), F.floor(length / (edits + 1)).cast("int"))
 
 
@@ -252,14 +282,11 @@ def verified_pairs(candidates: Candidates) -> DataFrame:
     size_a, size_b = F.length("name_a"), F.length("name_b")
     # Names of one length play both roles, so a pair of them would come twice without the id test.
     ordered = (size_a < size_b) | ((size_a == size_b) & (F.col("a") < F.col("b")))
-    similarity = F.when(
-        F.col("scope") == "", bounded_similarity(F.col("name_a"), F.col("name_b"), STRICT)
-    ).otherwise(bounded_similarity(F.col("name_a"), F.col("name_b"), LOOSE))
+    distance = bounded_distance(F.col("name_a"), F.col("name_b"), _theta())
     return (
         left.join(right, keys)
-        .where(ordered & (size_b - size_a <= max_edits(size_b, LOOSE)))
-        .select(F.greatest("a", "b").alias("i"), F.least("a", "b").alias("j"), similarity.alias("similarity"))
-        .where(F.col("similarity").isNotNull())
-        .groupBy("i", "j")
-        .agg(F.max("similarity").alias("similarity"))
+        .where(ordered & (size_b - size_a <= max_edits(size_b, F.lit(LOOSE))))
+        .where(distance >= 0)
+        .groupBy(F.greatest("a", "b").alias("i"), F.least("a", "b").alias("j"))
+        .agg(F.max(ratio_of(distance, F.col("name_a"), F.col("name_b"))).alias("similarity"))
     )

@@ -26,14 +26,17 @@ from rowkin.operators.blocking import (
     measure,
     scoped_names,
     short_side,
+    store_names,
     verified_pairs,
 )
 from rowkin.operators.skew import attach_first, left_join_by_key
-from rowkin.scratch import write_out
+from rowkin.scratch import Stored, store, write_out
 from rowkin.settings import DEFAULTS, MatchSettings
 
 
-def name_profiles(rows: DataFrame, settings: MatchSettings = DEFAULTS) -> DataFrame:
+def name_profiles(
+    rows: DataFrame, settings: MatchSettings = DEFAULTS, total: int | None = None
+) -> DataFrame:
     """``rows`` with ``first_id``: the first record with the same name and contexts.
 
     Only rows with a comparable name are kept.  A context is NULL or "" when missing.
@@ -42,22 +45,32 @@ def name_profiles(rows: DataFrame, settings: MatchSettings = DEFAULTS) -> DataFr
         "id", "name", *[F.coalesce(F.col(field), F.lit("")).alias(field) for field in CONTEXT_FIELDS]
     )
     profile = F.sha2(F.to_json(F.array("name", *CONTEXT_FIELDS)), 256)
-    return attach_first(named.withColumn("profile", profile), "profile", settings=settings).drop("profile")
+    keyed = named.withColumn("profile", profile)
+    return attach_first(keyed, "profile", settings=settings, total=total).drop("profile")
 
 
 def possible_pairs(rows: DataFrame, settings: MatchSettings = DEFAULTS) -> DataFrame:
     """``(i, j, similarity)`` of all matching pairs of name profiles, by the id of their first record."""
     firsts = name_profiles(rows, settings).where("first_id is null or id = first_id")
-    scoped = write_out(scoped_names(firsts, settings), "names")
-    return verified_pairs(measure(short_side(scoped), long_side(scoped), settings))
+    names = store_names(scoped_names(firsts, settings))
+    return verified_pairs(_candidates(names.table, names.table, names.figures, settings))
 
 
-def match_names(rows: DataFrame, settings: MatchSettings = DEFAULTS) -> DataFrame:
-    """``(id, anchor, similarity)`` of the possible duplicates among ``(id, name, contexts)`` rows."""
-    profiles = write_out(name_profiles(rows, settings), "profiles")
-    firsts = profiles.where("first_id is null or id = first_id")
-    settled = _settle(firsts, settings)
-    copies = profiles.where("id > first_id").select("id", "first_id")
+def _candidates(shorter: DataFrame, longer: DataFrame, figures: dict, settings: MatchSettings):
+    return measure(short_side(shorter, figures), long_side(longer, figures), settings)
+
+
+def match_names(
+    rows: DataFrame, settings: MatchSettings = DEFAULTS, total: int | None = None
+) -> DataFrame:
+    """``(id, anchor, similarity)`` of the possible duplicates among ``(id, name, contexts)`` rows.
+
+    ``total`` is an upper bound of the number of rows, where it is known.
+    """
+    profiles = store(name_profiles(rows, settings, total), "profiles")
+    firsts = profiles.table.where("first_id is null or id = first_id")
+    settled = _settle(firsts, profiles.rows, settings)
+    copies = profiles.table.where("id > first_id").select("id", "first_id")
     # A copy follows its first record: to its anchor, or to the record itself when that is unique.
     followed = copies.join(settled.withColumnRenamed("id", "first_id"), "first_id", "left").select(
         "id",
@@ -67,30 +80,30 @@ def match_names(rows: DataFrame, settings: MatchSettings = DEFAULTS) -> DataFram
     return settled.unionByName(followed)
 
 
-def _settle(firsts: DataFrame, settings: MatchSettings) -> DataFrame:
-    waiting = write_out(scoped_names(firsts, settings), "names")
+def _settle(firsts: DataFrame, total: int, settings: MatchSettings) -> DataFrame:
+    names = store_names(scoped_names(firsts, settings, total))
+    waiting, figures = names.table, names.figures
     found = []
     share = 1.0
     while True:
-        front, cut, candidates, share = _take_front(waiting, share, settings)
-        pairs = write_out(verified_pairs(candidates), "pairs")
+        front, cut, candidates, share = _take_front(waiting, figures, share, total, settings)
+        pairs = store(verified_pairs(candidates), "pairs")
         beaten = _eliminate(pairs, settings)
-        found.append(_first_anchor(pairs.join(beaten.withColumnRenamed("id", "j"), "j", "left_anti")))
+        found.append(_first_anchor(pairs.table.join(beaten.withColumnRenamed("id", "j"), "j", "left_anti")))
         if cut is None:
             break
         unique = front.join(beaten, "id", "left_anti")
         later = waiting.where(F.col("id") > cut)
-        claimed = write_out(_first_anchor(_across(unique, later, settings)), "claimed")
+        claimed = write_out(_first_anchor(_across(unique, later, figures, settings)), "claimed")
         found.append(claimed)
         waiting = write_out(later.join(claimed.select("id"), "id", "left_anti"), "names")
         share = min(1.0, share * 8)
     return write_out(_union(found), "settled")
 
 
-def _take_front(waiting: DataFrame, share: float, settings: MatchSettings):
+def _take_front(waiting: DataFrame, figures: dict, share: float, total: int, settings: MatchSettings):
     """The earliest names whose candidate pairs fit the budget, and the id the front ends with."""
     names = waiting.where("scope = ''")
-    total = names.count()
     budget = max(settings.pair_budget, settings.pairs_per_name * total)
     while True:
         cut = None
@@ -98,18 +111,20 @@ def _take_front(waiting: DataFrame, share: float, settings: MatchSettings):
         if share < 1.0:
             # A sketch is enough: any front is right, only its size is steered.
             cut = names.agg(F.percentile_approx("id", F.lit(share), F.lit(10_000)).alias("cut")).first()["cut"]
-            if cut is not None:
+            if cut is None:
+                share = 1.0
+            else:
                 front = waiting.where(F.col("id") <= cut)
-        candidates = measure(short_side(front), long_side(front), settings)
+        candidates = _candidates(front, front, figures, settings)
         if candidates.pairs <= budget or share * total <= 1:
             return front, cut, candidates, share
         share = max(1.0 / total, share * min(0.5, sqrt(budget / candidates.pairs)))
 
 
-def _across(unique: DataFrame, later: DataFrame, settings: MatchSettings) -> DataFrame:
+def _across(unique: DataFrame, later: DataFrame, figures: dict, settings: MatchSettings) -> DataFrame:
     """Matching pairs of a settled unique name and a later name."""
-    forth = verified_pairs(measure(short_side(unique), long_side(later), settings))
-    back = verified_pairs(measure(short_side(later), long_side(unique), settings))
+    forth = verified_pairs(_candidates(unique, later, figures, settings))
+    back = verified_pairs(_candidates(later, unique, figures, settings))
     return forth.unionByName(back)
 
 
@@ -120,37 +135,23 @@ def _first_anchor(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _eliminate(pairs: DataFrame, settings: MatchSettings) -> DataFrame:
+def _eliminate(pairs: Stored, settings: MatchSettings) -> DataFrame:
     """``(id)`` of the records with an earlier unique partner.
 
     Round: a record with partners but no earlier open one is unique; its later partners are beaten
     and leave with all their pairs.  The open pairs shrink every round, and no round is skipped.
     """
-    beaten = [pairs.select(F.col("i").alias("id")).limit(0)]
-    open_pairs = pairs.select("i", "j")
+    beaten = [pairs.table.select(F.col("i").alias("id")).limit(0)]
+    waiting = Stored(pairs.table.select("i", "j"), pairs.rows, {})
     rounds = 0
-    while not open_pairs.isEmpty():
+    while waiting.rows:
         if settings.max_rounds is not None and rounds >= settings.max_rounds:
             raise RuntimeError(f"names are not settled after {rounds} rounds; raise max_rounds")
         rounds += 1
-        ends = (
-            open_pairs.select(F.explode(F.array(F.struct(F.col("i").alias("id"), F.lit(1).alias("later")),
-                                                F.struct(F.col("j").alias("id"), F.lit(0).alias("later")))))
-            .select("col.*")
-            .groupBy("id")
-            .agg(F.sum("later").alias("earlier_partners"), F.count(F.lit(1)).alias("n"))
-        )
-        unique = ends.where("earlier_partners = 0").select(F.col("id").alias("j"), "n")
-        losing = (
-            left_join_by_key(open_pairs, unique, "j", F.col("i"), settings=settings)
-            .where("n is not null")
-            .select(F.col("i").alias("id"))
-            .distinct()
-        )
-        lost = write_out(losing, "beaten")
+        lost = write_out(_beaten_now(waiting, settings), "beaten")
         beaten.append(lost)
-        open_pairs = write_out(
-            open_pairs.join(lost.withColumnRenamed("id", "i"), "i", "left_anti").join(
+        waiting = store(
+            waiting.table.join(lost.withColumnRenamed("id", "i"), "i", "left_anti").join(
                 lost.withColumnRenamed("id", "j"), "j", "left_anti"
             ),
             "open",
@@ -158,6 +159,30 @@ def _eliminate(pairs: DataFrame, settings: MatchSettings) -> DataFrame:
     return _union(beaten)
 
 
+def _beaten_now(waiting: Stored, settings: MatchSettings) -> DataFrame:
+    """Records that meet a partner which has no earlier partner itself."""
+    one, zero = F.lit(1), F.lit(0)
+    ends = waiting.table.select(
+        F.inline(
+            F.array(
+                F.struct(F.col("i").alias("id"), one.alias("later")),
+                F.struct(F.col("j").alias("id"), zero.alias("later")),
+            )
+        )
+    )
+    # Partial aggregation first: a record with very many pairs sends one row per task.
+    unique = (
+        ends.groupBy("id")
+        .agg(F.sum("later").alias("earlier_partners"), F.count(one).alias("n"))
+        .where("earlier_partners = 0")
+        .select(F.col("id").alias("j"), "n")
+    )
+    met = left_join_by_key(
+        waiting.table, unique, "j", F.col("i"), settings=settings, total=waiting.rows
+    ).where("n is not null")
+    return met.select(F.col("i").alias("id")).distinct()
+
+
 def _union(tables: list[DataFrame]) -> DataFrame:
     whole = tables[0]
     for table in tables[1:]:

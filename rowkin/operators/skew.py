@@ -32,12 +32,16 @@ def left_join_by_key(
     spread_by: Column,
     count: str = "n",
     settings: MatchSettings = DEFAULTS,
+    total: int | None = None,
 ) -> DataFrame:
     """``rows LEFT JOIN per_key USING (key)`` where ``per_key`` has one row and a row count per key.
 
     Rows of a hot key are salted over several tasks and its single ``per_key`` row is copied to each
-    of them.  ``spread_by`` must tell the rows of one key apart.
+    of them.  ``spread_by`` must tell the rows of one key apart.  ``total`` is the number of ``rows``
+    where it is known: when even all of them fit one task, no key can be hot.
     """
+    if total is not None and total <= settings.hot_rows:
+        return rows.join(per_key, key, "left")
     hot = hot_keys(per_key, key, count, settings)
     copies = F.coalesce(F.col("parts"), F.lit(1))
     left = rows.join(F.broadcast(hot), key, "left").withColumn(
@@ -67,8 +71,12 @@ def first_per_key(rows: DataFrame, key: str, id_col: str = "id") -> DataFrame:
 
 
 def attach_first(
-    rows: DataFrame, key: str, id_col: str = "id", settings: MatchSettings = DEFAULTS
+    rows: DataFrame,
+    key: str,
+    id_col: str = "id",
+    settings: MatchSettings = DEFAULTS,
+    total: int | None = None,
 ) -> DataFrame:
     """Add ``first_id``: the smallest id that has the row's key, NULL if the row is the only one."""
     firsts = first_per_key(rows, key, id_col)
-    return left_join_by_key(rows, firsts, key, F.col(id_col), settings=settings).drop("n")
+    return left_join_by_key(rows, firsts, key, F.col(id_col), settings=settings, total=total).drop("n")

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -30,9 +32,28 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/rowkin/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def write_out(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return the written table."""
+@dataclass(frozen=True)
+class Stored:
+    """A written table with its row count and further figures, observed while it was written."""
+
+    table: DataFrame
+    rows: int
+    figures: dict
+
+
+def store(df: DataFrame, label: str, **figures: Column) -> Stored:
+    """Write ``df`` to the shared folder and return the written table with its size.
+
+    ``figures`` are further aggregates to observe on the way.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    watched = [F.count(F.lit(1)).alias("rows"), *[value.alias(name) for name, value in figures.items()]]
+    df.observe(seen, *watched).write.parquet(path)
+    values = seen.get
+    return Stored(spark.read.schema(df.schema).parquet(path), values["rows"], values)
+
+
+def write_out(df: DataFrame, label: str) -> DataFrame:
+    return store(df, label).table
