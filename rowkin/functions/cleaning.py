@@ -65,15 +65,20 @@ def normalize_number(text: Column) -> Column:
     Integer-looking text keeps all its digits, so identifiers longer than a double's 53 bits stay
     apart from each other.
     """
-    s = strip(F.coalesce(text, F.lit("")))
-    digits = F.replace(s, F.lit("_"), F.lit(""))
-    return (
-        F.when(s.rlike(_INTEGER_TEXT), _integer_text(digits))
-        .when(s.rlike(_DECIMAL_TEXT), _double_text(digits))
-        .when(s.rlike(_INFINITY_TEXT), F.regexp_replace(s, r"(?i)^\+?(-?)inf.*$", "$1inf"))
-        .when(s.rlike(r"(?i)^[+-]?nan$"), F.lit("nan"))
-        .otherwise(normalize_string(s))
-    )
+
+    def spell(s: Column) -> Column:
+        digits = F.replace(s, F.lit("_"), F.lit(""))
+        return (
+            F.when(s.rlike(_INTEGER_TEXT), _integer_text(digits))
+            .when(s.rlike(_DECIMAL_TEXT), let(digits.try_cast("double"), _double_text))
+            .when(s.rlike(_INFINITY_TEXT), F.regexp_replace(s, r"(?i)^\+?(-?)inf.*$", "$1inf"))
+            .when(s.rlike(r"(?i)^[+-]?nan$"), F.lit("nan"))
+            .otherwise(normalize_string(s))
+        )
+
+    # Bound once: a filter on the result may be moved below the projection that computes it, and
+    # must not multiply the expression.
+    return let(strip(F.coalesce(text, F.lit(""))), spell)
 
 
 def _integer_text(number: Column) -> Column:
@@ -81,8 +86,7 @@ def _integer_text(number: Column) -> Column:
     return F.regexp_replace(trimmed, "^-0$", "0")
 
 
-def _double_text(number: Column) -> Column:
-    value = number.try_cast("double")
+def _double_text(value: Column) -> Column:
     size = F.abs(value)
     whole = value == F.floor(value).cast("double")
     # Fixed-point text holds all digits of a double in this range; smaller values keep an exponent.
@@ -117,9 +121,11 @@ _DATE_FORMS = (
 
 def normalize_date(text: Column) -> Column:
     """ISO date of the first matching day format, otherwise the plain rule."""
-    s = F.lower(strip(F.coalesce(text, F.lit(""))))
-    days = [_iso_day(s, *form) for form in _DATE_FORMS]
-    return F.coalesce(*days, normalize_string(text))
+
+    def first_day(s: Column) -> Column:
+        return F.coalesce(*[_iso_day(s, *form) for form in _DATE_FORMS], normalize_string(s))
+
+    return let(F.lower(strip(F.coalesce(text, F.lit("")))), first_day)
 
 
 def _iso_day(s: Column, pattern: str, year: int, month: int, day: int) -> Column:

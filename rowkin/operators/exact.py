@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowkin.operators.skew import attach_first
+from rowkin.scratch import store
 from rowkin.settings import DEFAULTS, MatchSettings
 
 
@@ -18,8 +19,10 @@ def match_exact(
     rows: DataFrame, key: str = "primary_key", id_col: str = "record_id", settings: MatchSettings = DEFAULTS
 ) -> DataFrame:
     """``(id, first_id)``: every row whose non-empty key occurred earlier, with the first such row."""
-    slim = rows.select(F.col(id_col).alias("id"), digest(F.col(key)).alias("digest"))
-    return attach_first(slim, "digest", settings=settings).where("id > first_id").select("id", "first_id")
+    # Written once, so that the rows are scanned and their keys computed in a single pass.
+    slim = store(rows.select(F.col(id_col).alias("id"), digest(F.col(key)).alias("digest")), "digests")
+    flagged = attach_first(slim.table, "digest", settings=settings, total=slim.rows)
+    return flagged.where("id > first_id").select("id", "first_id")
 
 
 def distinct_first(rows: DataFrame, key: str = "primary_key", id_col: str = "record_id") -> DataFrame:
@@ -28,10 +31,7 @@ def distinct_first(rows: DataFrame, key: str = "primary_key", id_col: str = "rec
     ``min_by`` over the whole row is partially aggregated, so a hot key sends one row per task.
     """
     packed = F.struct(*[F.col(c) for c in rows.columns])
-    firsts = (
-        rows.where(F.col(key) != "")
-        .groupBy(F.sha2(F.col(key), 256))
-        .agg(F.min_by(packed, F.col(id_col)).alias("row"))
-        .select("row.*")
-    )
-    return firsts.unionByName(rows.where(F.coalesce(F.col(key), F.lit("")) == ""))
+    empty = F.coalesce(F.col(key), F.lit("")) == ""
+    # An empty key stands for its row alone.
+    identity = F.when(empty, F.concat(F.lit("row "), F.col(id_col).cast("string"))).otherwise(F.sha2(F.col(key), 256))
+    return rows.groupBy(identity).agg(F.min_by(packed, F.col(id_col)).alias("row")).select("row.*")

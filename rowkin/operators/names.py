@@ -39,10 +39,11 @@ def name_profiles(
 ) -> DataFrame:
     """``rows`` with ``first_id``: the first record with the same name and contexts.
 
-    Only rows with a comparable name are kept.  A context is NULL or "" when missing.
+    Only rows with a comparable name are kept.  A context is NULL, "" or no column when missing.
     """
+    context = lambda field: F.coalesce(F.col(field), F.lit("")) if field in rows.columns else F.lit("")
     named = rows.where(F.length("name") >= MIN_NAME).select(
-        "id", "name", *[F.coalesce(F.col(field), F.lit("")).alias(field) for field in CONTEXT_FIELDS]
+        "id", "name", *[context(field).alias(field) for field in CONTEXT_FIELDS]
     )
     profile = F.sha2(F.to_json(F.array("name", *CONTEXT_FIELDS)), 256)
     keyed = named.withColumn("profile", profile)
@@ -51,8 +52,9 @@ def name_profiles(
 
 def possible_pairs(rows: DataFrame, settings: MatchSettings = DEFAULTS) -> DataFrame:
     """``(i, j, similarity)`` of all matching pairs of name profiles, by the id of their first record."""
-    firsts = name_profiles(rows, settings).where("first_id is null or id = first_id")
-    names = store_names(scoped_names(firsts, settings))
+    named = store(rows.drop("digest"), "match-rows")
+    firsts = name_profiles(named.table, settings, named.rows).where("first_id is null or id = first_id")
+    names = store_names(scoped_names(firsts, settings, named.rows))
     return verified_pairs(_candidates(names.table, names.table, names.figures, settings))
 
 

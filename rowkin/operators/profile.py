@@ -22,10 +22,16 @@ def bucket_profile(
     """
     capacity = bucket_count(buckets)
     groups = [by] if by else []
+    # Empty keys are dropped after the aggregation: a filter on the key itself would be moved below
+    # the projection that computes the key, and compute it twice.
     per_key = (
-        rows.where(F.col(key) != "")
-        .groupBy(*groups, F.sha2(F.col(key), 256).alias("digest"), bucket_id(F.col(key), capacity, algorithm).alias("bucket"))
-        .agg(F.count(F.lit(1)).alias("inserts"))
+        rows.groupBy(
+            *groups,
+            F.sha2(F.col(key), 256).alias("digest"),
+            bucket_id(F.col(key), capacity, algorithm).alias("bucket"),
+        )
+        .agg(F.count(F.lit(1)).alias("inserts"), F.bool_and(F.col(key) != "").alias("used"))
+        .where("used")
     )
     per_bucket = per_key.groupBy(*groups, "bucket").agg(
         F.count(F.lit(1)).alias("chain"), F.sum("inserts").alias("inserts")
@@ -58,7 +64,8 @@ def bucket_collisions(
 ) -> DataFrame:
     """Inserts, occupied buckets, and the inserts that meet a non-empty bucket."""
     bucket = bucket_id(F.col(key), bucket_count(buckets), algorithm)
-    per_bucket = rows.where(F.col(key) != "").groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    used = F.count_if(F.col(key) != "")
+    per_bucket = rows.groupBy(bucket.alias("bucket")).agg(used.alias("n")).where("n > 0")
     return per_bucket.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("inserts"), F.count(F.lit(1)).alias("occupied_buckets")
     ).withColumn("total_collisions", F.col("inserts") - F.col("occupied_buckets"))

@@ -17,7 +17,7 @@ from rowkin.operators.names import match_names, possible_pairs
 from rowkin.plans.detect import detect, match_tier, run_key_tiers, with_outcomes
 from rowkin.plans.people import people
 from rowkin.plans.records import clean_columns, match_rows, records_from_columns, records_from_maps
-from rowkin.scratch import fresh_path
+from rowkin.scratch import fresh_path, write_out
 from rowkin.sources import cards, delimited, files, grids, json_records, scan
 
 QUERIES: dict = {}
@@ -62,7 +62,8 @@ def people_maps(spark, folder) -> DataFrame:
 
 
 def people_full(spark, folder) -> DataFrame:
-    return records_from_maps(people_maps(spark, folder))
+    """Cleaned people with all maps, written once as several steps read them."""
+    return write_out(records_from_maps(people_maps(spark, folder)), "people")
 
 
 def part_rows(spark, folder) -> DataFrame:
@@ -541,7 +542,7 @@ def possible_pairs_parts(spark, folder):
 
 @query
 def match_possible(spark, folder):
-    return match_names(match_rows(part_rows(spark, folder)).withColumns({"company": F.lit(None).cast("string"), "address": F.lit(None).cast("string")})).select(
+    return match_names(match_rows(part_rows(spark, folder))).select(
         "id", F.col("anchor").cast("bigint").alias("anchor"), F.bround(F.col("similarity") * 100, 1).alias("confidence")
     )
 
@@ -565,8 +566,9 @@ def detect_parts(spark, folder):
 def key_lookup_(spark, folder):
     rows = people_records(spark, folder)
     is_master = F.col("record_id") < 1_000_000_000
-    probe = rows.where(~is_master).select("record_id", F.concat(F.lit("email:"), F.col("email")).alias("key"))
-    master = rows.where(is_master).select("record_id", F.concat(F.lit("email:"), F.col("email")).alias("key"))
+    key = F.when(F.col("email") != "", F.concat(F.lit("email:"), F.col("email")))
+    probe = rows.where(~is_master).select("record_id", key.alias("key"))
+    master = rows.where(is_master).select("record_id", key.alias("key"))
     return key_lookup(probe, master, "key").select("record_id", "found_id")
 
 

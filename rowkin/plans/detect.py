@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowkin.operators.blocking import CONTEXT_FIELDS
 from rowkin.operators.names import match_names
 from rowkin.operators.skew import attach_first
 from rowkin.plans.records import match_rows
@@ -101,9 +100,6 @@ def detect(records: DataFrame, settings: MatchSettings = DEFAULTS) -> DataFrame:
     outcomes = [run.outcome for run in runs]
     waiting = runs[-1].left_over
     if "name" in waiting.columns:
-        for field in CONTEXT_FIELDS:
-            if field not in waiting.columns:
-                waiting = waiting.withColumn(field, F.lit(None).cast("string"))
         # Records without any usable field have no key and no name: they stay unique.
         similar = match_names(waiting.where(F.col("digest").isNotNull()), settings, stored.rows)
         confidence = F.bround(F.col("similarity") * 100, 1)

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowkin.functions.cleaning import drop_null_tokens, rule_of
 from rowkin.functions.fields import FieldMap, map_of, normalized_map, raw_map
 from rowkin.functions.keys import IDENTIFIERS, composite_key, composite_key_of_columns
 from rowkin.operators.blocking import CONTEXT_FIELDS
@@ -23,32 +22,12 @@ def clean_columns(
     """
     fields = fields or FieldMap()
     columns = columns or [c for c in df.columns if c != id_col]
-    staged = _cleaned(df, [F.col(id_col).alias("record_id")], columns, fields)
-    by_field = {f: F.col(f"`{_stage(f)}`") for f in fields.sources(columns)}
-    return staged.select(
-        "record_id",
-        *[value.alias(field) for field, value in by_field.items()],
-        composite_key_of_columns(by_field).alias("primary_key"),
-    )
-
-
-def _stage(field: str) -> str:
-    return f"clean {field}"
-
-
-def _cleaned(df: DataFrame, kept: list[Column], columns: list[str], fields: FieldMap) -> DataFrame:
-    """One column per canonical field, cleaned in two steps.
-
-    The rules mention their input several times; an intermediate column keeps the shared part, which
-    drops blanks and null tokens, from being computed at each mention.
-    """
-    raw = fields.fused(columns)
-    names = [df.select(k).columns[0] for k in kept]
-    first = df.select(*kept, *[drop_null_tokens(value).alias(_stage(field)) for field, value in raw.items()])
-    return first.select(
-        *[f"`{name}`" for name in names],
-        *[rule_of(field)(F.col(f"`{_stage(field)}`")).alias(_stage(field)) for field in raw],
+    staged = df.select(
+        F.col(id_col).alias("record_id"),
+        *[value.alias(field) for field, value in fields.cleaned(columns).items()],
     )
+    by_field = {field: F.col(f"`{field}`") for field in fields.sources(columns)}
+    return staged.withColumn("primary_key", composite_key_of_columns(by_field))
 
 
 def records_from_columns(
@@ -57,17 +36,20 @@ def records_from_columns(
     """Wide path to the ``record_id, raw, canonical, normalized, primary_key`` schema."""
     fields = fields or FieldMap()
     columns = columns or [c for c in df.columns if c != id_col]
-    kept = [F.col(id_col).alias("record_id"), raw_map(columns).alias("raw")]
-    by_field = {f: F.col(f"`{_stage(f)}`") for f in fields.sources(columns)}
-    staged = _cleaned(df, kept, columns, fields).select(
+    cleaned = {field: (f"clean {field}", value) for field, value in fields.cleaned(columns).items()}
+    by_field = {field: F.col(f"`{staged}`") for field, (staged, _) in cleaned.items()}
+    canonical = df.select(
+        F.col(id_col).alias("record_id"),
+        raw_map(columns).alias("raw"),
+        *[value.alias(staged) for staged, value in cleaned.values()],
+    ).select(
         "record_id",
         "raw",
         map_of(by_field).alias("canonical"),
         composite_key_of_columns(by_field).alias("primary_key"),
     )
-    return staged.select(
-        "record_id", "raw", "canonical", normalized_map(F.col("raw"), F.col("canonical")).alias("normalized"), "primary_key"
-    )
+    normalized = normalized_map(F.col("raw"), F.col("canonical"))
+    return canonical.select("record_id", "raw", "canonical", normalized.alias("normalized"), "primary_key")
 
 
 def records_from_maps(df: DataFrame, raw: str = "raw", fields: FieldMap | None = None) -> DataFrame:
