@@ -250,9 +250,7 @@ def measure(short: DataFrame, long: DataFrame, settings: MatchSettings = DEFAULT
         counts.where(F.col("pairs") > per_task)
         .orderBy(F.desc("pairs"))
         .limit(settings.hot_keys)
-        .select("scope", "block", F.ceil(F.col("pairs") / per_task).alias("parts"), "shorts")
-        .withColumn("parts", F.least("parts", "shorts").cast("int"))
-        .drop("shorts"),
+        .select("scope", "block", F.ceil(F.sqrt(F.col("pairs") / per_task)).cast("int").alias("parts")),
         "hot-blocks",
     )
     return Candidates(short, long, seen.get["pairs"], hot if seen.get["hot"] else None)
@@ -265,20 +263,16 @@ def _pairs_per_task(settings: MatchSettings) -> float:
 def verified_pairs(candidates: Candidates) -> DataFrame:
     """``(i, j, similarity)`` of the matching pairs among block neighbours, each pair once.
 
-    ``i`` is the later record.  Hot blocks are split over several tasks: their short side is salted
-    and their long side copied, by the bounded broadcast list of :func:`measure`.
+    ``i`` is the later record.  Hot blocks are split over a grid of tasks, by the bounded broadcast list
+    of :func:`measure`.
     """
     left = candidates.short.select("scope", "block", F.col("id").alias("a"), F.col("name").alias("name_a"))
     right = candidates.long.select("scope", "block", F.col("id").alias("b"), F.col("name").alias("name_b"))
     keys = ["scope", "block"]
     if candidates.hot is not None:
-        copies = F.coalesce(F.col("parts"), F.lit(1))
-        hot = F.broadcast(candidates.hot)
-        left = left.join(hot, keys, "left").withColumn(
-            "salt", F.pmod(F.xxhash64("a"), copies.cast("bigint")).cast("int")
-        )
-        right = right.join(hot, keys, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), copies - 1)))
-        left, right, keys = left.drop("parts"), right.drop("parts"), [*keys, "salt"]
+        left = _on_grid(left, candidates.hot, "a", "salt_a", "salt_b")
+        right = _on_grid(right, candidates.hot, "b", "salt_b", "salt_a")
+        keys += ["salt_a", "salt_b"]
     size_a, size_b = F.length("name_a"), F.length("name_b")
     # Names of one length play both roles, so a pair of them would come twice without the id test.
     ordered = (size_a < size_b) | ((size_a == size_b) & (F.col("a") < F.col("b")))
@@ -290,3 +284,14 @@ def verified_pairs(candidates: Candidates) -> DataFrame:
         .groupBy(F.greatest("a", "b").alias("i"), F.least("a", "b").alias("j"))
         .agg(F.max(ratio_of(distance, F.col("name_a"), F.col("name_b"))).alias("similarity"))
     )
+
+
+def _on_grid(side: DataFrame, hot: DataFrame, id_col: str, own: str, other: str) -> DataFrame:
+    """Spread a side of a hot block over parts x parts cells: salted one way, copied the other way."""
+    copies = F.coalesce(F.col("parts"), F.lit(1))
+    return (
+        side.join(F.broadcast(hot), ["scope", "block"], "left")
+        .withColumn(own, F.pmod(F.xxhash64(id_col), copies.cast("bigint")).cast("int"))
+        .withColumn(other, F.explode(F.sequence(F.lit(0), copies - 1)))
+        .drop("parts")
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowkin.operators.skew import attach_first
@@ -10,9 +10,9 @@ from rowkin.scratch import store
 from rowkin.settings import DEFAULTS, MatchSettings
 
 
-def digest(text):
+def digest(text: Column) -> Column:
     """A fixed-length stand-in for a key of any length, NULL for the empty key."""
-    return F.when(text != "", F.sha2(text, 256))
+    return F.when(text != "", F.unhex(F.sha2(text, 256)))
 
 
 def match_exact(
@@ -25,13 +25,13 @@ def match_exact(
     return flagged.where("id > first_id").select("id", "first_id")
 
 
-def distinct_first(rows: DataFrame, key: str = "primary_key", id_col: str = "record_id") -> DataFrame:
+def distinct_first(
+    rows: DataFrame, key: str = "primary_key", id_col: str = "record_id", settings: MatchSettings = DEFAULTS
+) -> DataFrame:
     """The first row of every key; rows with an empty key are all kept.
 
-    ``min_by`` over the whole row is partially aggregated, so a hot key sends one row per task.
+    The repeats are found on narrow rows; whole rows only meet the list of repeated ids, and stay
+    where they are when Spark finds that list small enough to broadcast.
     """
-    packed = F.struct(*[F.col(c) for c in rows.columns])
-    empty = F.coalesce(F.col(key), F.lit("")) == ""
-    # An empty key stands for its row alone.
-    identity = F.when(empty, F.concat(F.lit("row "), F.col(id_col).cast("string"))).otherwise(F.sha2(F.col(key), 256))
-    return rows.groupBy(identity).agg(F.min_by(packed, F.col(id_col)).alias("row")).select("row.*")
+    repeats = match_exact(rows, key, id_col, settings).select(F.col("id").alias(id_col))
+    return rows.join(repeats, id_col, "left_anti")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rowkin.operators.exact import digest, distinct_first
 from rowkin.operators.skew import left_join_by_key
+from rowkin.scratch import store
 from rowkin.settings import DEFAULTS, MatchSettings
 
 
@@ -20,17 +21,18 @@ def key_lookup(
     """``probe`` with ``found_id``: the first master record with the same key, NULL for a miss.
 
     Both sides are reduced to one row per key before they meet, so neither a hot probe key nor a hot
-    master key reaches one task; Spark broadcasts a side that is small enough.
+    master key reaches one task.  A short list of probe keys is broadcast to the master, which is then
+    only filtered; a longer one meets the aggregated master in a shuffle.
     """
     tagged = probe.withColumn("_digest", digest(F.col(key)))
-    wanted = tagged.where("_digest is not null").groupBy("_digest").agg(F.count(F.lit(1)).alias("n"))
-    firsts = (
-        master.select(digest(F.col(key)).alias("_digest"), F.col(id_col).alias("_id"))
-        .where("_digest is not null")
-        .groupBy("_digest")
-        .agg(F.min("_id").alias("found_id"))
+    wanted = store(
+        tagged.where("_digest is not null").groupBy("_digest").agg(F.count(F.lit(1)).alias("n")), "wanted"
     )
-    hits = wanted.join(firsts, "_digest")
+    slim = master.select(digest(F.col(key)).alias("_digest"), F.col(id_col).alias("_id"))
+    if wanted.rows <= settings.broadcast_rows:
+        slim = slim.join(F.broadcast(wanted.table.select("_digest")), "_digest", "left_semi")
+    firsts = slim.where("_digest is not null").groupBy("_digest").agg(F.min("_id").alias("found_id"))
+    hits = wanted.table.join(firsts, "_digest")
     return left_join_by_key(tagged, hits, "_digest", F.col(id_col), settings=settings).drop("_digest", "n")
 
 
@@ -48,5 +50,5 @@ def incremental_match(
     """
     looked = key_lookup(batch, master, key, id_col, settings)
     hits = looked.where("found_id is not null")
-    fresh = distinct_first(looked.where("found_id is null").drop("found_id"), key, id_col)
+    fresh = distinct_first(looked.where("found_id is null").drop("found_id"), key, id_col, settings)
     return hits, fresh

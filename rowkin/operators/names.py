@@ -105,22 +105,27 @@ def _settle(firsts: DataFrame, total: int, settings: MatchSettings) -> DataFrame
 
 def _take_front(waiting: DataFrame, figures: dict, share: float, total: int, settings: MatchSettings):
     """The earliest names whose candidate pairs fit the budget, and the id the front ends with."""
-    names = waiting.where("scope = ''")
     budget = max(settings.pair_budget, settings.pairs_per_name * total)
+    cut = _cut(waiting, share) if share < 1.0 else None
     while True:
-        cut = None
-        front = waiting
-        if share < 1.0:
-            # A sketch is enough: any front is right, only its size is steered.
-            cut = names.agg(F.percentile_approx("id", F.lit(share), F.lit(10_000)).alias("cut")).first()["cut"]
-            if cut is None:
-                share = 1.0
-            else:
-                front = waiting.where(F.col("id") <= cut)
+        front = waiting if cut is None else waiting.where(F.col("id") <= cut)
         candidates = _candidates(front, front, figures, settings)
-        if candidates.pairs <= budget or share * total <= 1:
+        if candidates.pairs <= budget:
             return front, cut, candidates, share
-        share = max(1.0 / total, share * min(0.5, sqrt(budget / candidates.pairs)))
+        ratio = min(0.5, sqrt(budget / candidates.pairs))
+        smaller = _cut(front, ratio)
+        if smaller == cut:
+            return front, cut, candidates, share  # a single name
+        cut, share = smaller, share * ratio
+
+
+def _cut(names: DataFrame, share: float):
+    """Id that ends the first ``share`` of the names; a sketch, as any front is right.
+
+    Its error is relative to the names it is given, so cutting a front again always shrinks it.
+    """
+    first = F.percentile_approx("id", F.lit(share), F.lit(10_000)).alias("cut")
+    return names.where("scope = ''").agg(first).first()["cut"]
 
 
 def _across(unique: DataFrame, later: DataFrame, figures: dict, settings: MatchSettings) -> DataFrame:

@@ -115,7 +115,7 @@ def identifier_rows(runs: list[TierRun]) -> DataFrame:
         if run.tier.key == "digest":
             continue
         field = run.tier.key
-        rows = run.seen.where(F.col(field).isNotNull() & F.col("digest").isNotNull()).select(
+        rows = run.seen.where(F.col(field).isNotNull()).select(
             F.lit(field).alias("key_type"), F.concat(F.lit(f"{field}:"), F.col(field)).alias("key")
         )
         whole = rows if whole is None else whole.unionByName(rows)

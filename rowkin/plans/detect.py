@@ -75,7 +75,8 @@ def run_key_tiers(
                 tier.matched_on,
                 F.lit(tier.confidence),
             )
-            waiting = seen.where("first_id is null or id = first_id").drop("first_id")
+            # The digest is as wide as all other columns together and of no more use.
+            waiting = seen.where("first_id is null or id = first_id").drop("first_id", "digest")
             runs.append(TierRun(tier, seen.drop("first_id"), outcome, waiting))
         if tier.matched_on == last:
             break
@@ -101,7 +102,7 @@ def detect(records: DataFrame, settings: MatchSettings = DEFAULTS) -> DataFrame:
     waiting = runs[-1].left_over
     if "name" in waiting.columns:
         # Records without any usable field have no key and no name: they stay unique.
-        similar = match_names(waiting.where(F.col("digest").isNotNull()), settings, stored.rows)
+        similar = match_names(waiting, settings, stored.rows)
         confidence = F.bround(F.col("similarity") * 100, 1)
         outcomes.append(_outcome(similar, F.col("anchor"), POSSIBLE, "name", confidence))
         waiting = waiting.join(similar.select("id"), "id", "left_anti")

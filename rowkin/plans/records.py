@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rowkin.functions.fields import FieldMap, map_of, normalized_map, raw_map
 from rowkin.functions.keys import IDENTIFIERS, composite_key, composite_key_of_columns
 from rowkin.operators.blocking import CONTEXT_FIELDS
+from rowkin.operators.exact import digest
 
 # The canonical fields the matching tiers read.
 MATCH_FIELDS = ("name", *CONTEXT_FIELDS, *IDENTIFIERS)
@@ -74,6 +75,6 @@ def match_rows(records: DataFrame) -> DataFrame:
         present = {f: F.when(F.col(f) != "", F.col(f)) for f in MATCH_FIELDS if f in records.columns}
     return records.select(
         F.col("record_id").alias("id"),
-        F.when(F.col("primary_key") != "", F.sha2(F.col("primary_key"), 256)).alias("digest"),
+        digest(F.col("primary_key")).alias("digest"),
         *[value.alias(field) for field, value in present.items()],
     )

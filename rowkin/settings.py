@@ -11,8 +11,10 @@ class MatchSettings:
 
     hot_rows        rows of one key that a single task may take; a hotter key is salted into
                     ceil(rows / hot_rows) parts.
-    hot_keys        length of the broadcast list of hot keys.  With 64 byte keys the default stays
+    hot_keys        length of the broadcast list of hot keys.  With keys of 64 bytes the default stays
                     below 4 MB.  Keys beyond it are the least hot ones and are joined unsalted.
+    broadcast_rows  longest list of key digests that is broadcast on purpose: 32 bytes each, about 20 MB
+                    at the default.  Longer lists are joined by a shuffle.
     small_context   members of a context up to which all of them are compared; larger contexts are
                     compared by segment signatures.  About as many comparisons as a 20 character
                     name has signatures.
@@ -23,6 +25,7 @@ class MatchSettings:
 
     hot_rows: int = 200_000
     hot_keys: int = 50_000
+    broadcast_rows: int = 500_000
     small_context: int = 400
     pair_budget: int = 20_000_000
     pairs_per_name: int = 256

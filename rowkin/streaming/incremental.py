@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,22 +41,17 @@ class MasterSink:
 
     def _master_before(self, batch: DataFrame, batch_id: int) -> DataFrame:
         spark = batch.sparkSession
-        slim = batch.select(self.id_col, self.key).schema
-        kept = spark.read.schema(slim.add("batch", "long")).option("basePath", self.master_path)
-        return _existing(kept, self.master_path, batch, slim).where(F.col("batch") < batch_id).select(
-            self.id_col, self.key
-        )
+        schema = batch.select(self.id_col, self.key).schema
+        reader = spark.read.schema(schema.add("batch", "long")).option("basePath", self.master_path)
+        try:
+            master = reader.parquet(self.master_path).where(F.col("batch") < batch_id)
+        except AnalysisException:
+            # Nothing has been written before the first batch.
+            return batch.select(self.id_col, self.key).limit(0)
+        return master.select(self.id_col, self.key)
 
     def start(self, stream: DataFrame, checkpoint: str, **trigger):
         """Start the query; ``trigger`` as for ``writeStream.trigger``, by default ``availableNow``."""
         writer = stream.writeStream.foreachBatch(self).option("checkpointLocation", checkpoint)
         return writer.trigger(**(trigger or {"availableNow": True})).start()
 
-
-def _existing(reader, path: str, batch: DataFrame, schema) -> DataFrame:
-    """The table under ``path``, or an empty one before the first batch."""
-    spark = batch.sparkSession
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root):
-        return reader.parquet(path)
-    return spark.createDataFrame([], schema)
