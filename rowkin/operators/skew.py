@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowkin.settings import DEFAULTS, MatchSettings
 
@@ -15,11 +16,18 @@ _KEYLESS_SPREAD = 65_536
 def hot_keys(counts: DataFrame, key: str, rows: str, settings: MatchSettings = DEFAULTS) -> DataFrame:
     """``(key, parts)`` of the keys too large for one task, the hottest first.
 
-    The list has at most ``settings.hot_keys`` rows, which is what allows it to be broadcast.
+    The list has at most ``settings.hot_keys`` rows, which is what allows it to be broadcast.  Ties are
+    broken by all plain columns: both sides of a join must see the same list, and a list that needs
+    the same columns as the join lets Spark reuse the shuffle of the counts.
     """
+    ties = [
+        f.name
+        for f in counts.schema.fields
+        if f.name != rows and not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))
+    ]
     return (
         counts.where(F.col(rows) > settings.hot_rows)
-        .orderBy(F.desc(rows))
+        .orderBy(F.desc(rows), *ties)
         .limit(settings.hot_keys)
         .select(key, F.ceil(F.col(rows) / settings.hot_rows).cast("int").alias("parts"))
     )
