@@ -257,7 +257,7 @@ def measure(short: DataFrame, long: DataFrame, settings: MatchSettings = DEFAULT
 
 
 def _pairs_per_task(settings: MatchSettings) -> float:
-    return 50.0 * settings.hot_rows
+    return 10.0 * settings.hot_rows
 
 
 def verified_pairs(candidates: Candidates) -> DataFrame:

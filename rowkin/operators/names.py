@@ -86,9 +86,8 @@ def _settle(firsts: DataFrame, total: int, settings: MatchSettings) -> DataFrame
     names = store_names(scoped_names(firsts, settings, total))
     waiting, figures = names.table, names.figures
     found = []
-    share = 1.0
     while True:
-        front, cut, candidates, share = _take_front(waiting, figures, share, total, settings)
+        front, cut, candidates = _take_front(waiting, figures, total, settings)
         pairs = store(verified_pairs(candidates), "pairs")
         beaten = _eliminate(pairs, settings)
         found.append(_first_anchor(pairs.table.join(beaten.withColumnRenamed("id", "j"), "j", "left_anti")))
@@ -99,24 +98,25 @@ def _settle(firsts: DataFrame, total: int, settings: MatchSettings) -> DataFrame
         claimed = write_out(_first_anchor(_across(unique, later, figures, settings)), "claimed")
         found.append(claimed)
         waiting = write_out(later.join(claimed.select("id"), "id", "left_anti"), "names")
-        share = min(1.0, share * 8)
     return write_out(_union(found), "settled")
 
 
-def _take_front(waiting: DataFrame, figures: dict, share: float, total: int, settings: MatchSettings):
-    """The earliest names whose candidate pairs fit the budget, and the id the front ends with."""
+def _take_front(waiting: DataFrame, figures: dict, total: int, settings: MatchSettings):
+    """The earliest names whose candidate pairs fit the budget, and the id the front ends with.
+
+    All waiting names are tried first; the end is None when they fit.
+    """
     budget = max(settings.pair_budget, settings.pairs_per_name * total)
-    cut = _cut(waiting, share) if share < 1.0 else None
+    front, cut = waiting, None
     while True:
-        front = waiting if cut is None else waiting.where(F.col("id") <= cut)
         candidates = _candidates(front, front, figures, settings)
         if candidates.pairs <= budget:
-            return front, cut, candidates, share
-        ratio = min(0.5, sqrt(budget / candidates.pairs))
-        smaller = _cut(front, ratio)
+            return front, cut, candidates
+        smaller = _cut(front, min(0.5, sqrt(budget / candidates.pairs)))
         if smaller == cut:
-            return front, cut, candidates, share  # a single name
-        cut, share = smaller, share * ratio
+            return front, cut, candidates  # a single name
+        cut = smaller
+        front = waiting.where(F.col("id") <= cut)
 
 
 def _cut(names: DataFrame, share: float):

@@ -27,8 +27,8 @@ class MatchSettings:
     hot_keys: int = 50_000
     broadcast_rows: int = 500_000
     small_context: int = 400
-    pair_budget: int = 20_000_000
-    pairs_per_name: int = 256
+    pair_budget: int = 5_000_000
+    pairs_per_name: int = 100
     max_rounds: int | None = None
 
 
