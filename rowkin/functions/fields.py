@@ -20,7 +20,7 @@ from rowkin.functions.cleaning import (
     clean_value,
     normalize_string,
 )
-from rowkin.functions.text import is_blank, let, strip
+from rowkin.functions.text import BLANK_CHARS, is_blank, let, strip
 
 # The canonical fields and the header spellings that mean them.
 CANONICAL_ALIASES = {
@@ -67,7 +67,7 @@ def sanitize(name: str) -> str:
 
 def sanitize_column(name: Column) -> Column:
     """:func:`sanitize` for header names held in data."""
-    joined = F.regexp_replace(F.lower(strip(name)), r"(?U)[\s\x1c-\x1f-]+", "_")
+    joined = F.regexp_replace(F.lower(strip(name)), f"[{BLANK_CHARS}-]+", "_")
     return F.regexp_replace(joined, "[^a-z0-9_]", "")
 
 
@@ -210,6 +210,8 @@ def normalized_map(raw: Column, canonical: Column) -> Column:
         )
     )
     # Reversed, so that the last of several keys that differ only in outer blanks is kept.
-    original = _first_per_key(entries)
-    keep = F.map_filter(canonical, lambda key, _: ~F.map_contains_key(original, key))
-    return F.map_concat(keep, original)
+    def overlay(original: Column) -> Column:
+        keep = F.map_filter(canonical, lambda key, _: ~F.map_contains_key(original, key))
+        return F.map_concat(keep, original)
+
+    return let(_first_per_key(entries), overlay)

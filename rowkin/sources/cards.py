@@ -10,12 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowkin.functions.fields import last_per_key
-from rowkin.functions.text import document_lines, let, strip
+from rowkin.functions.text import BLANK, BLANK_CHARS, document_lines, let, strip
 from rowkin.sources.files import read_documents
 
 # A line that separates cards, and a line that holds a field.
 SEPARATOR_LINE = r"(?iU)^(?:[-=_*]{3,}|record\s*#?\d+|student\s*#?\d+|employee\s*#?\d+)"
-FIELD_LINE = r"(?U)^([A-Za-z0-9_\s]{2,25})\s*[:=\-]\s*(.+)$"
+FIELD_LINE = rf"^([A-Za-z0-9_{BLANK_CHARS}]{{2,25}}){BLANK}*[:=\-]{BLANK}*(.+)$"
 
 # Delimiters of plain text tables in order of preference, and of report rows.
 TEXT_DELIMITERS = (",", "|", "\t", ";")

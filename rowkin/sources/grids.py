@@ -32,6 +32,10 @@ def grid_records(grids: DataFrame, file_type: str = "Excel (.xlsx)", blank_named
     """
     keys = ["source_file", "grid_id"]
     headers = grids.where("row_no = 1").select(*keys, _names(F.col("cells"), blank_named).alias("names"))
+    # Settled once per grid; cells beyond the header are named by their place and could only clash with
+    # a header cell of that very name.
+    plain = (F.size(F.array_distinct("names")) == F.size("names")) & ~F.exists("names", lambda n: n.rlike(r"^col_\d+$"))
+    headers = headers.withColumn("plain", plain | (F.size("names") == 0))
     present = (lambda c: F.coalesce(strip(c), F.lit("")) != "") if blank_named else (lambda c: c.isNotNull())
     body = grids.where("row_no > 1").where(F.exists("cells", present))
     entries = F.transform(
@@ -45,7 +49,7 @@ def grid_records(grids: DataFrame, file_type: str = "Excel (.xlsx)", blank_named
         "source_file",
         F.lit(file_type).alias("file_type"),
         F.col("row_no").cast("bigint").alias("line_number"),
-        last_per_key(entries).alias("raw"),
+        F.when(F.col("plain"), F.map_from_entries(entries)).otherwise(last_per_key(entries)).alias("raw"),
     )
 
 
