@@ -100,4 +100,12 @@ def run_report(outcomes: DataFrame, file_reports: DataFrame) -> DataFrame:
         F.count_distinct("filename").alias("total_files_analyzed"),
         F.count_if(F.col("status") == "error").alias("failed_files"),
     )
-    return summary(outcomes).join(F.broadcast(files))
+    return side_by_side(summary(outcomes), files)
+
+
+def side_by_side(*rows: DataFrame) -> DataFrame:
+    """One row with the columns of several one-row tables."""
+    whole = rows[0]
+    for row in rows[1:]:
+        whole = whole.unionByName(row, allowMissingColumns=True)
+    return whole.agg(*[F.max(c).alias(c) for c in whole.columns])

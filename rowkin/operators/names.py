@@ -74,7 +74,11 @@ def match_names(
     settled = _settle(firsts, profiles.rows, settings)
     copies = profiles.table.where("id > first_id").select("id", "first_id")
     # A copy follows its first record: to its anchor, or to the record itself when that is unique.
-    followed = copies.join(settled.withColumnRenamed("id", "first_id"), "first_id", "left").select(
+    per_first = copies.groupBy("first_id").agg(F.count(F.lit(1)).alias("n"))
+    per_first = per_first.join(settled.withColumnRenamed("id", "first_id"), "first_id", "left")
+    followed = left_join_by_key(
+        copies, per_first, "first_id", F.col("id"), settings=settings, total=profiles.rows
+    ).select(
         "id",
         F.coalesce("anchor", "first_id").alias("anchor"),
         F.coalesce("similarity", F.lit(1.0)).alias("similarity"),

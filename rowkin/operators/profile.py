@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowkin.functions.keys import bucket_count, bucket_id
+from rowkin.operators.groups import side_by_side
 from rowkin.plans.detect import TierRun
 
 # Fixed value: bucket count of the identifier profiles.
@@ -133,7 +134,7 @@ def identifier_profile(
 
 def match_rates(summary: DataFrame, profile: DataFrame, elapsed_ms: float | None = None) -> DataFrame:
     """Load factor and collision rate over all records; with a wall time also records per second."""
-    both = summary.join(F.broadcast(profile.select("capacity", "total_collisions")))
+    both = side_by_side(summary, profile.select("capacity", "total_collisions"))
     total = F.col("total_records")
     nonzero = F.nullif(total, F.lit(0))
     rates = both.select(

@@ -130,12 +130,12 @@ def scan_tsv(spark, folder):
 
 @query
 def scan_json(spark, folder):
-    # One document per conversation; the turns of one conversation are its bounded list.
-    turns = table(spark, folder, "conversations").groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("items")
-    )
-    documents = turns.select(
-        F.col("conv_id").cast("string").alias("source_file"), F.to_json(F.struct("conv_id", "items")).alias("text")
+    # One document per turn, with a list that holds the turn and a note on it.
+    note = F.struct("turn", F.lit("note").alias("role"), F.lower("role").alias("text"))
+    items = F.array(F.struct("turn", "role", "text"), note)
+    documents = table(spark, folder, "conversations").select(
+        F.col("conv_id").cast("string").alias("source_file"),
+        F.to_json(F.struct("conv_id", items.alias("items"))).alias("text"),
     )
     return json_records.records_of_documents(documents).select(
         F.col("source_file").cast("bigint").alias("conv_id"),
@@ -220,9 +220,9 @@ def grid_records(spark, folder):
     body = lines.select(
         as_text("l_orderkey").alias("source_file"),
         sheet,
-        F.row_number().over(_per_order()).alias("row_no"),
+        (F.col("l_linenumber") + 1).alias("row_no"),
         F.array(as_text("l_partkey"), as_text("l_suppkey"), F.lit(None).cast("string"), as_text("l_returnflag")).alias("cells"),
-    ).withColumn("row_no", F.col("row_no") + 1)
+    )
     header = lines.select(as_text("l_orderkey").alias("source_file")).distinct().select(
         "source_file", sheet, F.lit(1).alias("row_no"),
         F.array(F.lit(" part "), F.lit("supplier"), F.lit(None).cast("string")).alias("cells"),
@@ -230,12 +230,6 @@ def grid_records(spark, folder):
     return _record_rows(grids.grid_records(header.unionByName(body)))
 
 
-def _per_order():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
-
-
 @query
 def decode_fallback(spark, folder):
     # German and French pages written in Latin-1, the rest in UTF-8.
@@ -680,8 +674,12 @@ def search_records(spark, folder):
 
 @query
 def page_records(spark, folder):
-    page = views.page_records(_turns(spark, folder), page=3, per_page=20).select("record_id")
-    return page.join(F.broadcast(views.page_info(_turns(spark, folder), 3, 20)))
+    return views.page_records(_turns(spark, folder), page=3, per_page=20).select("record_id", "primary_key")
+
+
+@query
+def page_info(spark, folder):
+    return views.page_info(_turns(spark, folder), 3, 20)
 
 
 @query

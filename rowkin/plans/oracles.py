@@ -298,8 +298,8 @@ ORACLES = {
     "scan_csv_sniff": """select c_name as name, c_acctbal as acctbal, 5 as cells from customer
 union all select s_name, s_acctbal, 4 from supplier""",
     "scan_tsv": "select s_suppkey, s_name, s_nationkey, s_acctbal from supplier",
-    "scan_json": """select conv_id, row_number() over (partition by conv_id order by turn)::bigint as line_number, turn, role,
-  md5(text) as text_md5 from conversations""",
+    "scan_json": """select conv_id, 1::bigint as line_number, turn, role, md5(text) as text_md5 from conversations
+union all select conv_id, 2, turn, 'note', md5(lower(role)) from conversations""",
     "scan_jsonl": """select cast(json_extract_string(props, '$.k') as bigint) as k, count(*)::bigint as n, true as numbered
 from events group by 1""",
     "text_cards": f"""{DOCUMENT_RECORDS.format(kind='TXT', line='5', fields="'Name=' || c_name || ';Segment=' || c_mktsegment")}
@@ -314,7 +314,7 @@ union all {DOCUMENT_RECORDS.format(kind='TXT', line='4', fields="'key=' || c_nat
 union all {DOCUMENT_RECORDS.format(kind='Word (.docx)', line='5', fields="'Segment=' || c_mktsegment")}
 union all {DOCUMENT_RECORDS.format(kind='Word (.docx)', line='5', fields="'segment=other'")}""",
     "grid_records": """select l_orderkey as doc, 'Excel (.xlsx)' as file_type,
-  1 + row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_returnflag)::bigint as line_number,
+  l_linenumber::bigint + 1 as line_number,
   'col_2=;col_3=' || l_returnflag || ';part=' || l_partkey || ';supplier=' || l_suppkey as fields from lineitem""",
     "decode_fallback": "select doc_id, md5(text) as text_md5 from documents",
     "detect_format": """select page_id, case when not regexp_matches(url, '^https?://[^#?]*/$') and not regexp_matches(url, '^https?://[^#?]*/[#?]')
@@ -458,8 +458,9 @@ union all select record_id, 'unique' from outcomes where not is_duplicate""",
     ),
     "search_records": f"with {TURNS} select record_id from t where contains(lower(role), 'nicht') or contains(lower(text), 'nicht') or contains('role:' || role, 'nicht')",
     "page_records": f"""with {TURNS}
-select record_id, (select count(*) from t)::bigint as total_count, 3::bigint as page, 20::bigint as per_page,
-  (select ceil(count(*) / 20.0) from t)::bigint as total_pages from t order by record_id limit 20 offset 40""",
+select record_id, 'role:' || role as primary_key from t order by record_id limit 20 offset 40""",
+    "page_info": f"""with {TURNS}
+select count(*)::bigint as total_count, 3::bigint as page, 20::bigint as per_page, ceil(count(*) / 20.0)::bigint as total_pages from t""",
     "get_record": f"with {TURNS} select record_id, 'role:' || role as primary_key from t where record_id = 3001",
     "search_groups": cascade(
         CLEAN_PEOPLE,

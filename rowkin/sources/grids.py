@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rowkin.functions.fields import last_per_key
 from rowkin.functions.text import strip
+from rowkin.operators.skew import left_join_by_key
 from rowkin.sources.cards import paragraph_records
 
 
@@ -30,8 +31,8 @@ def grid_records(grids: DataFrame, file_type: str = "Excel (.xlsx)", blank_named
     ``blank_named``: a blank header cell is named like a missing one, as in document tables; otherwise
     it keeps its empty name.
     """
-    keys = ["source_file", "grid_id"]
-    headers = grids.where("row_no = 1").select(*keys, _names(F.col("cells"), blank_named).alias("names"))
+    grids = grids.withColumn("_grid", F.to_json(F.array("source_file", F.col("grid_id").cast("string"))))
+    headers = grids.where("row_no = 1").select("_grid", _names(F.col("cells"), blank_named).alias("names"))
     # Settled once per grid; cells beyond the header are named by their place and could only clash with
     # a header cell of that very name.
     plain = (F.size(F.array_distinct("names")) == F.size("names")) & ~F.exists("names", lambda n: n.rlike(r"^col_\d+$"))
@@ -45,7 +46,10 @@ def grid_records(grids: DataFrame, file_type: str = "Excel (.xlsx)", blank_named
             F.coalesce(strip(cell), F.lit("")).alias("value"),
         ),
     )
-    return body.join(headers, keys).select(
+    # A grid may hold a large share of all rows, so its header is joined by the number of its rows.
+    sizes = body.groupBy("_grid").agg(F.count(F.lit(1)).alias("n"))
+    named = left_join_by_key(body, headers.join(sizes, "_grid"), "_grid", F.col("row_no")).where("n is not null")
+    return named.select(
         "source_file",
         F.lit(file_type).alias("file_type"),
         F.col("row_no").cast("bigint").alias("line_number"),

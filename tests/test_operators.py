@@ -60,6 +60,21 @@ def test_profile_of_a_small_table(spark):
     assert profile.bucket_profile(df.limit(0), "key", 7).first()["avg_chain_length_occupied"] == 0.0
 
 
+def test_run_report_and_rates(spark):
+    from rowkin.operators.groups import run_report, summary
+
+    outcomes = spark.createDataFrame(
+        [(1, False, None, None), (2, True, 1, "Exact Duplicate")],
+        "record_id bigint, is_duplicate boolean, duplicate_of_id bigint, duplicate_type string",
+    )
+    reports = spark.createDataFrame([("a.csv", "success"), ("b.xyz", "error")], "filename string, status string")
+    row = run_report(outcomes, reports).first()
+    assert (row["total_records"], row["exact_duplicates"], row["total_files_analyzed"], row["failed_files"]) == (2, 1, 2, 1)
+    keys = spark.createDataFrame([("a",), ("a",)], "key string")
+    rates = profile.match_rates(summary(outcomes), profile.bucket_profile(keys, "key", 31), elapsed_ms=500.0).first()
+    assert (rates["load_factor"], rates["collision_rate_percent"], rates["records_per_second"]) == (0.065, 50.0, 4.0)
+
+
 def test_views(spark):
     rows = [(i, {"a": f"Value {i}", "b": None, "__c": "z"}, f"a:value {i}", i % 2 == 0) for i in range(1, 31)]
     df = spark.createDataFrame(rows, "record_id bigint, raw map<string,string>, primary_key string, is_duplicate boolean")

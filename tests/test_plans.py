@@ -1,5 +1,7 @@
 """Plans stay inside the JVM and free of all-pairs joins and one-task windows."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,12 +11,13 @@ from rowkin.plans.catalog import QUERIES
 from rowkin.sources import delimited
 from tests.conftest import SMALL
 
-FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition, ENSURE")
+FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
+ONE_TASK_WINDOW = re.compile(r"Window \[[^\n]*\n[^\n]*Sort[^\n]*\n[^\n]*Exchange SinglePartition")
 
 LAZY = (
     "text_cards", "report_rows", "paragraph_cards", "decode_fallback", "canonical_field", "fuse_aliases", "normalize_name",
     "normalize_number", "normalize_date", "dispatch_clean", "primary_key", "hash_polynomial", "bucket_id", "match_exact",
-    "distinct_first", "possible_pairs", "scan_json", "grid_records",
+    "distinct_first", "possible_pairs", "scan_json", "grid_records", "page_info", "match_rates", "search_groups",
 )
 
 
@@ -27,6 +30,7 @@ def plan_of(df):
 def test_plan(spark, name):
     plan = plan_of(QUERIES[name](spark, SMALL))
     assert not [word for word in FORBIDDEN if word in plan]
+    assert not ONE_TASK_WINDOW.search(plan)
 
 
 def test_filters_and_columns_reach_the_scan(spark):
