@@ -16,7 +16,7 @@ from rowkin.operators.lookup import incremental_match, key_lookup
 from rowkin.operators.names import match_names, possible_pairs
 from rowkin.plans.detect import detect, match_tier, run_key_tiers, with_outcomes
 from rowkin.plans.people import people
-from rowkin.plans.records import clean_columns, match_rows, records_from_columns, records_from_maps
+from rowkin.plans.records import clean_columns, match_rows, records_from_maps
 from rowkin.scratch import fresh_path, write_out
 from rowkin.sources import cards, delimited, files, grids, json_records, scan
 
@@ -290,7 +290,7 @@ def records_json(spark, folder):
 
 
 def _headers(spark, folder) -> DataFrame:
-    """Header spellings made of the words of the documents and part tables."""
+    """Header spellings made of the words of the part table."""
     return table(spark, folder, "part").select(
         "p_partkey",
         F.element_at(
@@ -384,7 +384,7 @@ def normalize_date(spark, folder):
 
 @query
 def null_tokens(spark, folder):
-    # Letters of the supplier comment stand for the spellings of a missing value.
+    # The customer number picks a spelling of a missing value.
     spelled = F.element_at(
         F.array(*[F.lit(t) for t in ("None", " NULL ", "nan", "N/A", "na", "-", "  ", "nano")]),
         (F.col("c_custkey") % 8 + 1).cast("int"),

@@ -6,7 +6,7 @@ name profiles, and the possible tier walks the profiles one by one.
 
 from __future__ import annotations
 
-from rowkin.functions.cleaning import HONORIFICS, MONTHS, NULL_TOKENS, PLAIN_NULL_TOKENS
+from rowkin.functions.cleaning import HONORIFICS, NULL_TOKENS, PLAIN_NULL_TOKENS
 from rowkin.functions.fields import FieldMap
 from rowkin.functions.keys import bucket_count
 from rowkin.plans.people import PEOPLE_SQL

@@ -6,7 +6,7 @@ from rowkin.operators.groups import group_attributes, group_members, groups, sum
 from rowkin.operators.details import details
 from rowkin.operators.names import possible_pairs
 from rowkin.plans.detect import detect
-from rowkin.plans.records import clean_columns, match_rows, records_from_maps
+from rowkin.plans.records import clean_columns, records_from_maps
 from rowkin.settings import MatchSettings
 from tests.model import cascade, distance, similar
 
