@@ -31,7 +31,9 @@ def grid_records(grids: DataFrame, file_type: str = "Excel (.xlsx)", blank_named
     ``blank_named``: a blank header cell is named like a missing one, as in document tables; otherwise
     it keeps its empty name.
     """
-    grids = grids.withColumn("_grid", F.to_json(F.array("source_file", F.col("grid_id").cast("string"))))
+    # The length keeps the two parts of the key apart.
+    identity = F.concat(F.length("source_file").cast("string"), F.lit(":"), "source_file", F.col("grid_id").cast("string"))
+    grids = grids.withColumn("_grid", identity)
     headers = grids.where("row_no = 1").select("_grid", _names(F.col("cells"), blank_named).alias("names"))
     # Settled once per grid; cells beyond the header are named by their place and could only clash with
     # a header cell of that very name.
