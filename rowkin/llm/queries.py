@@ -16,6 +16,7 @@ from rowkin.llm import (
     pii_anchors,
     quality_rules,
     rank_language,
+    suffix_dedup,
     url_logistic,
 )
 
@@ -44,6 +45,10 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return kk_packing.pack(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.deduplicated(table(spark, folder, "documents"))
+
+
 def op5_curriculum(spark: SparkSession, folder: str) -> DataFrame:
     planned = curriculum.plan(table(spark, folder, "documents"))
     first = curriculum.position(
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_pii": op2_pii,
     "op3_packing": op3_packing,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_curriculum": op5_curriculum,
     "op6_language": op6_language,
     "op8_url_filter": op8_url_filter,
