@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rowkin.llm import (
     curriculum,
+    group_jaccard,
     impact_topk,
     kk_packing,
     nnpu_toxicity,
@@ -66,6 +67,10 @@ def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op7_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return group_jaccard.joined(table(spark, folder, "documents"))
+
+
 def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     model = url_logistic.train(url_logistic.labelled_table(spark))
     return url_logistic.judged(table(spark, folder, "pages"), model)
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_curriculum": op5_curriculum,
     "op6_language": op6_language,
+    "op7_jaccard": op7_jaccard,
     "op8_url_filter": op8_url_filter,
     "op9_topk": op9_topk,
     "op10_toxicity": op10_toxicity,

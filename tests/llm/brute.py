@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
+import re
+from collections import Counter, defaultdict
 
 
 def suffix_removal(texts: list[str | None], length: int = 200) -> list[tuple[int, int, int, str]]:
@@ -20,3 +21,34 @@ def suffix_removal(texts: list[str | None], length: int = 200) -> list[tuple[int
         kept = bytes(b for b, g in zip(d, gone, strict=True) if not g)
         out.append((len(d), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
     return out
+
+
+def jaccard_components(docs: list[tuple], words: int = 4, percent: int = 85) -> list[tuple]:
+    """(id, n_shingles, component_id) of every (id, text), by comparing all pairs that share a shingle."""
+    sets = []
+    for _, text in docs:
+        parts = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        parts = [w for w in re.split(r"[\x20\x09-\x0D]+", parts) if w]
+        n = min(words, len(parts))
+        sets.append({tuple(parts[i : i + n]) for i in range(len(parts) - n + 1)} if parts else set())
+    root = list(range(len(docs)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    holders = defaultdict(list)
+    for i, made in enumerate(sets):
+        for s in made:
+            holders[s].append(i)
+    for i, made in enumerate(sets):
+        common = Counter(j for s in made for j in holders[s] if j < i)
+        for j, both in common.items():
+            if 100 * both >= percent * (len(made) + len(sets[j]) - both):
+                root[find(i)] = find(j)
+    least: dict[int, int] = {}
+    for i, (key, _) in enumerate(docs):
+        if key is not None:
+            least[find(i)] = min(key, least.get(find(i), key))
+    return [(key, len(sets[i]), least.get(find(i))) for i, (key, _) in enumerate(docs)]
