@@ -331,3 +331,19 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     return named.join(smallest, "label").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")
     )
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest id, nulls last.
+
+    Rows without a word are components of their own and stay.  The rows are stored once, as they get the
+    numbers by which the join refers to them.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    kept = write_out(docs.select(F.monotonically_increasing_id().alias("key"), whole), "jaccard-docs")
+    rows = kept.select("key", F.col(f"doc.`{id_col}`").alias("id"), F.col(f"doc.`{text_col}`").alias("text"))
+    found = joined(rows.select("key", "text"), "key", "text", words, percent)
+    order = F.struct(F.col("id").isNull(), "id", "key")
+    ids = kept.select("key", F.col(f"doc.`{id_col}`").alias("id"))
+    chosen = found.join(ids, "key").groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.key").alias("key"))
+    return kept.join(chosen, "key", "left_semi").select("doc.*")

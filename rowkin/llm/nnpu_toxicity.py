@@ -1,6 +1,6 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Confirmed toxic texts are the positives; every other training text is unlabelled.  A linear classifier
+Confirmed toxic texts are the positives; a draw from all training texts is unlabelled.  A linear classifier
 over hashed character n-grams of words is fitted in numpy with the class-prior-corrected risk
 
     prior * R_p(+)  +  max(0, R_u(-) - prior * R_p(-))
@@ -177,8 +177,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           label_col: str = "toxic", allowed: Column | None = None) -> Model:
     """Fit on the documents joined with ``labels`` (id, label: 1 toxic) where ``allowed`` holds.
 
-    The class prior is the toxic share of the labelled rows.  Labels that are null are unlabelled and left
-    out of the prior; unlabelled texts are the rows not confirmed toxic.
+    The class prior is the toxic share of the labelled rows; labels that are null do not count.  An id with
+    several labels is toxic if one of them says so.
     """
     told = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y"))
     if allowed is not None:
@@ -189,10 +189,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ).first()
     if not stats["n"]:
         return fit([], [], 0.5)
-    positive = _sample(told.where("y = 1"), MOST_POSITIVE, stats["p"])
-    others = _sample(told.where("y is null or y <> 1"), MOST_UNLABELLED, stats["rows"] - stats["p"])
-    chosen = positive.unionByName(others).select("id", (F.coalesce("y", F.lit(0)) == 1).alias("positive"))
+    positive = _sample(told.where("y = 1").select("id"), MOST_POSITIVE, stats["p"])
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    if allowed is not None:
+        texts = texts.where(allowed)
+    # Unlabelled texts stand for all texts, so they are drawn without a look at any label.
+    unlabelled = _sample(texts.select("id"), MOST_UNLABELLED, texts.count())
+    chosen = positive.withColumn("positive", F.lit(True)).unionByName(unlabelled.distinct().withColumn("positive", F.lit(False)))
     # At most MOST_POSITIVE + MOST_UNLABELLED ids of 8 bytes and a flag: safe to broadcast.
     rows = texts.join(F.broadcast(chosen), "id").select("positive", "text")
     made = rows.mapInArrow(_make_features, "positive boolean, features binary").collect()

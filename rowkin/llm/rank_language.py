@@ -146,27 +146,29 @@ def nearest(own: np.ndarray, langs: list[str], grams: np.ndarray, ranks: np.ndar
     return langs[best], float(1.0 - moved[best] / (most * len(own)))
 
 
-def identify(docs: DataFrame, profiles: dict[str, list[int]], id_col: str = "doc_id", text_col: str = "text",
-             most: int = PROFILE, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The id, ``lang_pred`` and ``score`` of every row.
-
-    ``und`` with score 0 where the text is null or has no letter, or if nothing was learned.  Whole texts
-    are counted; repeated rows are judged each on its own.  ``keep``: further columns to carry along,
-    none of which is looked at.
-    """
+def identified(docs: DataFrame, profiles: dict[str, list[int]], text_col: str = "text", most: int = PROFILE) -> DataFrame:
+    """``_row`` (all columns of the row), ``lang_pred`` and ``score`` of every row."""
     langs, grams, ranks = _table(profiles, most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [nearest(ranked(*gram_counts(t.as_py()), most), langs, grams, ranks, most) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
-                names=[*batch.schema.names[1:], "_lang", "_score"],
+                [batch.column(1), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
+                names=["_row", "lang_pred", "score"],
             )
 
-    carried = [F.col(f"`{c}`") for c in dict.fromkeys((id_col, *keep))]
-    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("_text"), F.struct(*carried).alias("_row"))
-    schema = rows.drop("_text").schema.add("_lang", "string").add("_score", "double")
-    out = rows.mapInArrow(run, schema)
-    return out.select(*[F.col(f"_row.`{c}`").alias(c) for c in dict.fromkeys((id_col, *keep))],
-                      F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("_text"), row.alias("_row"))
+    return rows.mapInArrow(run, rows.drop("_text").schema.add("lang_pred", "string").add("score", "double"))
+
+
+def identify(docs: DataFrame, profiles: dict[str, list[int]], id_col: str = "doc_id", text_col: str = "text",
+             most: int = PROFILE) -> DataFrame:
+    """The id, ``lang_pred`` and ``score`` of every row.
+
+    ``und`` with score 0 where the text is null or has no letter, or if nothing was learned.  Whole texts
+    are counted; repeated rows are judged each on its own.  Other columns are not read.
+    """
+    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_t"))
+    return identified(rows, profiles, "_t", most).select(F.col("_row._id").alias(id_col), "lang_pred", "score")
