@@ -227,33 +227,30 @@ class Candidates:
 def measure(short: DataFrame, long: DataFrame, settings: MatchSettings = DEFAULTS) -> Candidates:
     """Count the candidates of every block, before any is formed.
 
-    One job: the total is observed on the way and the blocks too large for one task are written, at
-    most ``settings.hot_keys`` of them.
+    One job writes the counts and observes their total.  A block is too large for one task from a task's
+    share of pairs on, or from ``total / settings.hot_keys`` on where that is more: no more than
+    ``settings.hot_keys`` blocks can be, so the list is complete and may be broadcast.
     """
     per_task = _pairs_per_task(settings)
     one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     both = short.select("scope", "block", one.alias("s"), zero.alias("l")).unionByName(
         long.select("scope", "block", zero.alias("s"), one.alias("l"))
     )
-    seen = Observation()
-    counts = (
+    counts = store(
         both.groupBy("scope", "block")
         .agg(F.sum("s").alias("shorts"), F.sum("l").alias("longs"))
         .withColumn("pairs", F.col("shorts").cast("double") * F.col("longs"))
-        .observe(
-            seen,
-            F.coalesce(F.sum("pairs"), F.lit(0.0)).alias("pairs"),
-            F.count_if(F.col("pairs") > per_task).alias("hot"),
-        )
+        # Most blocks are small; of those only the total counts.
+        .observe(seen := Observation(), F.coalesce(F.sum("pairs"), F.lit(0.0)).alias("pairs"))
+        .where(F.col("pairs") > per_task),
+        "large-blocks",
     )
-    hot = write_out(
-        counts.where(F.col("pairs") > per_task)
-        .orderBy(F.desc("pairs"))
-        .limit(settings.hot_keys)
-        .select("scope", "block", F.ceil(F.sqrt(F.col("pairs") / per_task)).cast("int").alias("parts")),
-        "hot-blocks",
+    total = seen.get["pairs"]
+    least = max(per_task, total / settings.hot_keys)
+    hot = counts.table.where(F.col("pairs") > least).select(
+        "scope", "block", F.ceil(F.sqrt(F.col("pairs") / least)).cast("int").alias("parts")
     )
-    return Candidates(short, long, seen.get["pairs"], hot if seen.get["hot"] else None)
+    return Candidates(short, long, total, hot if counts.rows else None)
 
 
 def _pairs_per_task(settings: MatchSettings) -> float:

@@ -7,12 +7,10 @@ from pyspark.sql import functions as F
 
 from rowkin.operators.details import details
 from rowkin.operators.numbering import number_rows
+from rowkin.operators.skew import left_join_by_key
 from rowkin.plans.detect import EXACT, PARTIAL, POSSIBLE
 from rowkin.settings import DEFAULTS, MatchSettings
 
-# Record ids are distinct integers, so a slice of this many consecutive ids bounds a member array.
-MEMBERS_PER_SLICE = 1_000_000
-
 
 def group_attributes(outcomes: DataFrame) -> DataFrame:
     """One row per anchor: size, and type, field and confidence of its first duplicate.
@@ -49,20 +47,25 @@ def groups(outcomes: DataFrame, records: DataFrame | None = None, settings: Matc
     return numbered.join(texts, "first_duplicate_id")
 
 
-def group_members(outcomes: DataFrame, members_per_slice: int = MEMBERS_PER_SLICE) -> DataFrame:
-    """``(primary_id, slice, duplicate_ids)``: sorted member ids of every group.
+def group_members(outcomes: DataFrame, settings: MatchSettings = DEFAULTS) -> DataFrame:
+    """``(group_id, primary_id, position, record_id)``: the members of every group in order.
 
-    A group is cut into slices of ``members_per_slice`` consecutive record ids, which bounds the array
-    and spreads a huge group over tasks; slices in order give the whole group.  Every group of a
-    table with fewer ids than that is one row.
+    Position 0 is the anchor itself, then come its duplicates by record id; ``group_id`` is that of
+    :func:`groups`.  All members are numbered at once in one range-sorted pass and counted from the start of
+    their group, so neither the size of a group nor the values of the ids bound anything.
     """
-    return (
-        outcomes.where("is_duplicate")
-        .groupBy(
-            F.col("duplicate_of_id").alias("primary_id"),
-            F.floor(F.col("record_id") / members_per_slice).alias("slice"),
-        )
-        .agg(F.sort_array(F.collect_list("record_id")).alias("duplicate_ids"))
+    attributes = number_rows(group_attributes(outcomes), ["first_duplicate_id"], "group_id")
+    heads = attributes.select("group_id", "primary_id", F.col("total_records").alias("n"))
+    found = outcomes.where("is_duplicate").select(F.col("duplicate_of_id").alias("primary_id"), "record_id")
+    members = left_join_by_key(found, heads, "primary_id", F.col("record_id"), settings=settings)
+    anchors = heads.select("primary_id", F.col("primary_id").alias("record_id"), "group_id", "n")
+    rows = members.unionByName(anchors).withColumn("later", F.col("record_id") != F.col("primary_id"))
+    placed = number_rows(rows, ["group_id", "later", "record_id"], "at")
+    # Groups stand one behind the other, so a group starts behind the members of those before it.
+    starts = placed.where("not later").select("primary_id", F.col("at").alias("start"), "n")
+    counted = left_join_by_key(placed.drop("n"), starts, "primary_id", F.col("record_id"), settings=settings)
+    return counted.select(
+        "group_id", "primary_id", (F.col("at") - F.col("start")).cast("bigint").alias("position"), "record_id"
     )
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rowkin.settings import DEFAULTS, MatchSettings
 
@@ -13,24 +12,17 @@ from rowkin.settings import DEFAULTS, MatchSettings
 _KEYLESS_SPREAD = 65_536
 
 
-def hot_keys(counts: DataFrame, key: str, rows: str, settings: MatchSettings = DEFAULTS) -> DataFrame:
-    """``(key, parts)`` of the keys too large for one task, the hottest first.
+def hot_keys(
+    counts: DataFrame, key: str, rows: str, total: int, settings: MatchSettings = DEFAULTS
+) -> DataFrame:
+    """``(key, parts)`` of the keys too large for one task.
 
-    The list has at most ``settings.hot_keys`` rows, which is what allows it to be broadcast.  Ties are
-    broken by all plain columns: both sides of a join must see the same list, and a list that needs
-    the same columns as the join lets Spark reuse the shuffle of the counts.
+    A key is hot from ``settings.hot_rows`` rows on, and from ``total / settings.hot_keys`` on where that is
+    more.  ``total`` is the number of rows over all keys, so no more than ``settings.hot_keys`` keys can be
+    hot: the list is complete and may be broadcast.
     """
-    ties = [
-        f.name
-        for f in counts.schema.fields
-        if f.name != rows and not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))
-    ]
-    return (
-        counts.where(F.col(rows) > settings.hot_rows)
-        .orderBy(F.desc(rows), *ties)
-        .limit(settings.hot_keys)
-        .select(key, F.ceil(F.col(rows) / settings.hot_rows).cast("int").alias("parts"))
-    )
+    least = max(settings.hot_rows, -(-total // settings.hot_keys))
+    return counts.where(F.col(rows) > least).select(key, F.ceil(F.col(rows) / least).cast("int").alias("parts"))
 
 
 def left_join_by_key(
@@ -46,11 +38,11 @@ def left_join_by_key(
 
     Rows of a hot key are salted over several tasks and its single ``per_key`` row is copied to each
     of them.  ``spread_by`` must tell the rows of one key apart.  ``total`` is the number of ``rows``
-    where it is known: when even all of them fit one task, no key can be hot.
+    where it is known, else the counts are summed first.
     """
-    if total is not None and total <= settings.hot_rows:
-        return rows.join(per_key, key, "left")
-    hot = hot_keys(per_key, key, count, settings)
+    if total is None:
+        total = per_key.agg(F.sum(count)).first()[0] or 0
+    hot = hot_keys(per_key, key, count, total, settings)
     copies = F.coalesce(F.col("parts"), F.lit(1))
     left = rows.join(F.broadcast(hot), key, "left").withColumn(
         "salt",

@@ -80,6 +80,8 @@ CLEAN_PARTS = f"""c as (
 k as (
   select *, concat_ws('|', 'department:' || nullif(department, ''), 'name:' || nullif(name, '')) as key from c)"""
 
+CLEAN_SPARSE = CLEAN_PARTS.replace("p_partkey as id", "p_partkey * 1000003 as id")
+
 KEY_TIERS = """
 e0 as (select *, case when key <> '' then min(id) over (partition by key) end as a0 from k),
 s0 as (select * from e0 where key <> '' and id = a0),
@@ -251,6 +253,14 @@ GROUPS = """g as (
     arg_min(confidence, record_id) as confidence
   from outcomes where is_duplicate group by duplicate_of_id)"""
 
+MEMBERS = f""", {GROUPS},
+ids as (select primary_id, row_number() over (order by first_duplicate_id) as group_id from g),
+members as (
+  select duplicate_of_id as primary_id, record_id from outcomes where is_duplicate
+  union all select primary_id, primary_id from g)
+select group_id, primary_id, row_number() over (partition by primary_id order by record_id <> primary_id, record_id) - 1 as position,
+  record_id from members join ids using (primary_id)"""
+
 SUMMARY_COLUMNS = """count(*)::bigint as total_records, count_if(not is_duplicate)::bigint as unique_records,
   count_if(is_duplicate)::bigint as duplicate_records,
   count_if(duplicate_type = 'Exact Duplicate')::bigint as exact_duplicates,
@@ -402,19 +412,17 @@ select id, anchor, round_even(similarity * 100, 1)::double as confidence from po
 select p.id as record_id, min(m.id) as found_id from c p left join c m on m.email = p.email and m.email <> '' and m.id < 1000000000
 where p.id >= 1000000000 group by p.id""",
     "incremental_match": f"""with {CLEAN_PEOPLE},
-b as (select c.id, c.email, (select min(m.id) from c m where m.id < 1000000000 and m.email = c.email and m.email <> '') as found
-  from c where c.id >= 1000000000)
-select id as record_id, 'hit' as result, found as found_id from b where found is not null
-union all
-select id, 'fresh', null from (select id, email, min(id) over (partition by email) as f from b where found is null)
-where id = f or email = ''""",
+p as (select id, substr(email, 1, 3) as key from c),
+m as (select key, min(id) as found from p where id <= 100 and key <> '' group by key),
+b as (
+  select p.id, p.key, m.found, min(p.id) over (partition by p.key) as f
+  from p left join m on m.key = p.key where p.id > 100)
+select id as record_id, case when found is not null or (key <> '' and id <> f) then 'hit' else 'fresh' end as result,
+  case when found is not null then found when key <> '' and id <> f then f end as found_id from b""",
     # groups
-    "groups": cascade(
-        CLEAN_PEOPLE,
-        """select duplicate_of_id as primary_id, (record_id // 1000000)::bigint as slice,
-  string_agg(record_id::varchar, ',' order by record_id) as duplicate_ids, count(*)::bigint as members
-from outcomes where is_duplicate group by 1, 2""",
-    ),
+    "groups": cascade(CLEAN_SPARSE, MEMBERS),
+    "groups_salted": cascade(CLEAN_SPARSE, MEMBERS),
+    "detect_salted": cascade(CLEAN_PEOPLE, "select * from outcomes"),
     "group_attrs": cascade(CLEAN_PEOPLE, f", {GROUPS} select * from g"),
     "group_ids": cascade(
         CLEAN_PEOPLE,

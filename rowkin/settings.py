@@ -11,8 +11,9 @@ class MatchSettings:
 
     hot_rows        rows of one key that a single task may take; a hotter key is salted into
                     ceil(rows / hot_rows) parts.
-    hot_keys        length of the broadcast list of hot keys.  With keys of 64 bytes the default stays
-                    below 4 MB.  Keys beyond it are the least hot ones and are joined unsalted.
+    hot_keys        bound of the broadcast list of hot keys; with keys of 64 bytes the default stays below
+                    4 MB.  A key is hot only if it has more than 1 / hot_keys of all rows, too, which keeps
+                    the list complete within the bound.
     broadcast_rows  longest list of key digests that is broadcast on purpose: 32 bytes each, about 20 MB
                     at the default.  Longer lists are joined by a shuffle.
     small_context   members of a context up to which all of them are compared; larger contexts are

@@ -45,7 +45,9 @@ class MasterSink:
         reader = spark.read.schema(schema.add("batch", "long")).option("basePath", self.master_path)
         try:
             master = reader.parquet(self.master_path).where(F.col("batch") < batch_id)
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             # Nothing has been written before the first batch.
             return batch.select(self.id_col, self.key).limit(0)
         return master.select(self.id_col, self.key)

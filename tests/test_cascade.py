@@ -139,16 +139,22 @@ def test_small_mixed_headers(spark):
     assert [(g["group_id"], g["primary_id"], g["total_records"], g["duplicate_type"]) for g in listed] == [
         (1, 1, 3, "Exact Duplicate"), (2, 2, 2, "Possible Duplicate"),
     ]
-    members = {r["primary_id"]: r["duplicate_ids"] for r in group_members(found).collect()}
-    assert members == {1: [3, 4], 2: [5]}
-    sliced = sorted((r["slice"], r["duplicate_ids"]) for r in group_members(found, 4).where("primary_id = 1").collect())
-    assert sliced == [(0, [3]), (1, [4])]
+    members = sorted(tuple(r) for r in group_members(found).collect())
+    assert members == [(1, 1, 0, 1), (1, 1, 1, 3), (1, 1, 2, 4), (2, 2, 0, 2), (2, 2, 1, 5)]
     total = summary(found).first()
     assert (total["total_records"], total["unique_records"], total["duplicate_percentage"]) == (6, 3, 50.0)
     assert total["duplicate_groups_count"] == 2
     assert summary(found.limit(0)).first()["duplicate_percentage"] == 0.0
 
 
+def test_group_members_over_sparse_ids(spark):
+    kinds = "record_id bigint, is_duplicate boolean, duplicate_of_id bigint, duplicate_type string, matched_on string, confidence double"
+    rows = [(i, True, 1, "x", "y", 1.0) for i in (5, 9, 2_000_005, 10**15)] + [(7, True, 5, "x", "y", 1.0), (1, False, None, None, None, None)]
+    for settings in (HARSH, MatchSettings()):
+        found = sorted(tuple(r) for r in group_members(spark.createDataFrame(rows, kinds), settings).collect())
+        assert found == [(1, 1, 0, 1), (1, 1, 1, 5), (1, 1, 2, 9), (1, 1, 3, 2_000_005), (1, 1, 4, 10**15), (2, 5, 0, 5), (2, 5, 1, 7)]
+
+
 def test_invariants(spark):
     rows = random_people(5, 120)
     found = detect(clean_columns(table(spark, rows), "id"))

@@ -23,7 +23,20 @@ def test_attach_first_with_and_without_salt(spark):
 
 def test_hot_keys_are_spread_over_tasks(spark):
     counts = spark.createDataFrame([("a", 10), ("b", 4), ("c", 9), ("d", 2)], "key string, n bigint")
-    assert [tuple(r) for r in skew.hot_keys(counts, "key", "n", HOT).collect()] == [("a", 4), ("c", 3)]
+    assert [tuple(r) for r in skew.hot_keys(counts, "key", "n", 8, HOT).collect()] == [("a", 3), ("c", 3)]
+
+
+def test_every_hot_key_is_split_whatever_the_bound_of_the_list(spark):
+    rows = spark.range(400).select(F.col("id"), (F.col("id") % 20).alias("key"))
+    counts = rows.groupBy("key").agg(F.count("*").alias("n"))
+    for bound in (1, 5, 19, 100):
+        settings = MatchSettings(hot_rows=3, hot_keys=bound)
+        hot = skew.hot_keys(counts, "key", "n", 400, settings).collect()
+        # No key is left with more rows per part than its share of the bound.
+        assert len(hot) <= bound
+        assert all(20 / parts <= max(3, 400 / bound) for _, parts in hot) and len(hot) in (0, 20)
+        joined = skew.left_join_by_key(rows, counts.withColumn("v", F.col("key") * 2), "key", F.col("id"), settings=settings)
+        assert joined.where("v = key * 2").count() == 400
 
 
 def test_exact_and_distinct(spark):
@@ -40,10 +53,35 @@ def test_lookup_and_increment(spark):
     found = {r["record_id"]: r["found_id"] for r in lookup.key_lookup(batch, master, settings=HOT).collect()}
     assert found == {9: 1, 8: None, 7: None, 6: None, 5: None}
     hits, fresh = lookup.incremental_match(batch, master)
-    assert [r["record_id"] for r in hits.collect()] == [9]
+    assert {(r["record_id"], r["found_id"]) for r in hits.collect()} == {(9, 1), (8, 7)}
     assert {r["record_id"] for r in fresh.collect()} == {7, 6, 5}
 
 
+def test_increment_keeps_every_row_of_a_batch(spark):
+    master = spark.createDataFrame([(1, "k")], "record_id bigint, primary_key string")
+    rows = [(11, "n"), (12, "n"), (13, "m"), (14, "k"), (15, "n"), (16, ""), (17, "")]
+    batch = spark.createDataFrame(rows, "record_id bigint, primary_key string")
+    for settings in (HOT, MatchSettings()):
+        hits, fresh = lookup.incremental_match(batch, master, settings=settings)
+        found = {r["record_id"]: r["found_id"] for r in hits.collect()}
+        assert found == {12: 11, 14: 1, 15: 11}
+        assert sorted(r["record_id"] for r in fresh.collect()) == [11, 13, 16, 17]
+        assert fresh.columns == batch.columns and hits.columns == [*batch.columns, "found_id"]
+    assert lookup.incremental_match(batch.limit(0), master)[0].count() == 0
+
+
+def test_sink_replays_a_batch_and_fails_on_a_broken_master(spark, tmp_path):
+    sink = MasterSink(str(tmp_path / "master"), str(tmp_path / "hits"))
+    first = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "record_id bigint, primary_key string")
+    second = spark.createDataFrame([(4, "b"), (5, "c"), (6, "c")], "record_id bigint, primary_key string")
+    for batch, number in ((first, 0), (second, 1), (second, 1)):
+        sink(batch, number)
+    master = spark.read.parquet(str(tmp_path / "master"))
+    hits = spark.read.parquet(str(tmp_path / "hits"))
+    assert sorted(r["record_id"] for r in master.collect()) == [1, 3, 5]
+    assert sorted((r["record_id"], r["found_id"]) for r in hits.collect()) == [(2, 1), (4, 3), (6, 5)]
+
+
 def test_number_rows(spark):
     df = spark.range(1000).select((F.col("id") * 37 % 1000).alias("v")).repartition(5)
     numbered = numbering.number_rows(df, ["v"], "n")
