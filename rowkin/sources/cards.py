@@ -1,7 +1,9 @@
 """Records written as text: key-value cards, delimited lines, report rows, paragraphs.
 
 A document is one row; documents are parallel, the boundary between two cards is a fold over the
-lines of a document, as it depends on the keys seen since the last boundary.
+lines of a document, as it depends on the keys seen since the last boundary.  The fold goes piece by piece:
+finished cards are only copied within the piece of ``PIECE`` lines they end in, so the work grows with the
+number of lines.
 """
 
 from __future__ import annotations
@@ -21,6 +23,9 @@ FIELD_LINE = rf"^([A-Za-z0-9_{BLANK_CHARS}]{{2,25}}){BLANK}*[:=\-]{BLANK}*(.+)$"
 TEXT_DELIMITERS = (",", "|", "\t", ";")
 REPORT_DELIMITERS = r"[,|\t]"
 
+#: Lines that are folded together.
+PIECE = 256
+
 _ENTRIES = "array<struct<key:string,value:string>>"
 _CARDS = f"array<struct<line_number:bigint,fields:{_ENTRIES}>>"
 
@@ -42,10 +47,11 @@ def fold_cards(lines: Column, closes) -> Column:
         ),
     )
     none = F.array()
+    nothing = none.cast(_CARDS).alias("done")
     start = F.struct(
         none.cast("array<string>").alias("seen"),
         none.cast(_ENTRIES).alias("fields"),
-        none.cast(_CARDS).alias("done"),
+        none.cast(f"array<{_CARDS}>").alias("pieces"),
     )
 
     def close(state: Column, line_number: Column) -> Column:
@@ -66,9 +72,24 @@ def fold_cards(lines: Column, closes) -> Column:
         )
         return F.when(is_field | ends, grown).otherwise(state)
 
-    cards = F.aggregate(parsed, start, step, lambda state: close(state, F.size(lines).cast("bigint")))
+    def fold_piece(state: Column, piece: Column) -> Column:
+        inner = F.aggregate(piece, F.struct(state["seen"], state["fields"], nothing), step)
+        return let(
+            inner,
+            lambda r: F.struct(r["seen"], r["fields"], F.concat(state["pieces"], F.array(r["done"])).alias("pieces")),
+        )
+
+    def finish(state: Column) -> Column:
+        last = F.struct(state["seen"], state["fields"], nothing)
+        return F.flatten(F.concat(state["pieces"], F.array(close(last, F.size(lines).cast("bigint")))))
+
+    def fold(found: Column) -> Column:
+        starts = F.when(F.size(found) > 0, F.sequence(F.lit(1), F.size(found), F.lit(PIECE))).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(F.transform(starts, lambda i: F.slice(found, i, F.lit(PIECE))), start, fold_piece, finish)
+
     return F.transform(
-        cards, lambda card: F.struct(card["line_number"], F.map_from_entries(card["fields"]).alias("raw"))
+        let(parsed, fold),
+        lambda card: F.struct(card["line_number"], F.map_from_entries(card["fields"]).alias("raw")),
     )
 
 

@@ -177,3 +177,41 @@ def test_list_files(spark, tmp_path):
     row = files.list_files(spark, str(tmp_path)).first()
     assert (row["filename"], row["format"], row["size_bytes"], row["size_kb"]) == ("a.csv", "CSV", 2048, 2.0)
     assert SMALL.endswith("sf0.001")
+
+
+def _plain_cards(lines):
+    """Cards of stripped lines, in plain Python."""
+    done, fields = [], {}
+    seen = set()
+    for i, line in enumerate(lines, start=1):
+        key, mark, value = line.partition(":")
+        closes = line.startswith("---")
+        is_field = bool(mark) and not closes
+        if closes or (is_field and key.lower() in seen):
+            if seen:
+                done.append((i, fields))
+            seen, fields = set(), {}
+        if is_field:
+            seen.add(key.lower())
+            fields[key] = value.strip()
+    return done + ([(len(lines), fields)] if seen else [])
+
+
+def test_many_cards_in_one_document_take_time_in_proportion(spark):
+    import time
+
+    def lines_of(n):
+        out = []
+        for i in range(n):
+            out += [f"Name: n{i}", f"Mail: m{i}"] + (["-----"] if i % 7 == 0 else [])
+        return out
+
+    seconds = {}
+    for n in (1, 300, 4000, 16000):
+        lines = lines_of(n)
+        df = spark.createDataFrame([("\n".join(lines),)], "text string")
+        begun = time.perf_counter()
+        found = df.select(F.inline(cards.text_cards(F.col("text")))).collect()
+        seconds[n] = time.perf_counter() - begun
+        assert [(r["line_number"], r["raw"]) for r in found] == _plain_cards(lines)
+    assert seconds[16000] < 8 * seconds[4000] + 2
