@@ -92,9 +92,11 @@ def with_row_numbers(rows: DataFrame, path: str, block: str, at: str, name: str,
     """Number the rows of each file in file order, from ``start``.
 
     ``at`` is ``monotonically_increasing_id`` taken at the scan and ``block`` the start of the file
-    split a row came from.  Only one row per file split is aggregated and joined back, so a file of any
-    size is numbered without gathering its rows.
+    split a row came from.  The scanned rows are written once and numbered from that table, as another
+    scan may split the files differently.  Only one row per file split is aggregated and joined back, so a
+    file of any size is numbered without gathering its rows.
     """
+    rows = write_out(rows, "scanned")
     splits = rows.groupBy(path, block).agg(F.min(at).alias("_first"), F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy(path).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     placed = splits.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowkin.functions.fields import last_per_key
 from rowkin.functions.text import let, strip
 from rowkin.sources.files import RECORD_COLUMNS, file_name, read_documents, with_row_numbers
 
@@ -18,45 +19,58 @@ def json_records(text: Column) -> Column:
     """Array of ``(line_number, raw)`` of a JSON document, NULL when the text is not JSON.
 
     The records are the objects of the root list; or of the first list found under one of
-    ``LIST_KEYS``; or the root object itself.  Values keep their JSON text, strings lose the quotes.
+    ``LIST_KEYS``; or the root object itself.  Values keep their JSON text, strings lose the quotes; of a
+    repeated key the last value counts.
+
+    Lists are read item by item, so a document may be of any size.  Variants only tell the types of
+    values: where they cannot be made (a repeated key, a value beyond their size limit), a value that
+    reads as an object or list is taken for one.
     """
 
-    def of_variant(root: Column) -> Column:
-        listed = F.coalesce(
-            F.try_variant_get(root, "$", "array<variant>"),
-            *[F.try_variant_get(root, f"$.{key}", "array<variant>") for key in LIST_KEYS],
-        )
-        # The list again as JSON text, which keeps the order of the keys; the variant tells the types.
-        fields = F.from_json(text, _MAP)
-        listed_text = F.coalesce(
-            F.when(F.schema_of_variant(root).startswith("ARRAY"), text),
-            *[
+    def items_of(listed: Column) -> Column:
+        def typed(items: Column) -> Column:
+            def raw(types: Column) -> Column:
+                return F.transform(
+                    items,
+                    lambda item, i: F.struct(
+                        (i + 1).cast("bigint").alias("line_number"),
+                        F.when(_is(F.get(types, i), item, types.isNotNull(), "OBJECT", "{"), json_object(item)).alias("raw"),
+                    ),
+                )
+
+            return let(F.from_json(listed, "array<variant>"), raw)
+
+        found = let(F.from_json(listed, "array<string>"), typed)
+        return F.filter(found, lambda item: item["raw"].isNotNull())
+
+    def of_object(fields: Column) -> Column:
+        def under(types: Column) -> Column:
+            lists = [
                 F.when(
-                    F.try_variant_get(root, f"$.{key}", "array<variant>").isNotNull(),
+                    _is(F.try_element_at(types, F.lit(key)), F.try_element_at(fields, F.lit(key)), types.isNotNull(), "ARRAY", "["),
                     F.try_element_at(fields, F.lit(key)),
                 )
                 for key in LIST_KEYS
-            ],
-        )
-        items = F.zip_with(
-            F.from_json(listed_text, "array<string>"),
-            listed,
-            lambda item, typed: F.when(
-                F.schema_of_variant(typed).startswith("OBJECT"), F.from_json(item, _MAP)
-            ),
-        )
-        numbered = F.transform(
-            items, lambda raw, i: F.struct((i + 1).cast("bigint").alias("line_number"), raw.alias("raw"))
-        )
-        whole = F.array(F.struct(F.lit(1).cast("bigint").alias("line_number"), fields.alias("raw")))
-        return (
-            F.when(root.isNull(), F.lit(None))
-            .when(listed_text.isNotNull(), F.filter(numbered, lambda item: item["raw"].isNotNull()))
-            .when(F.schema_of_variant(root).startswith("OBJECT"), whole)
-            .otherwise(F.filter(whole, lambda _: F.lit(False)))
-        )
+            ]
+            whole = F.array(F.struct(F.lit(1).cast("bigint").alias("line_number"), fields.alias("raw")))
+            return let(F.coalesce(*lists), lambda listed: F.coalesce(items_of(listed), whole))
+
+        return let(F.from_json(text, "map<string,variant>"), under)
+
+    nothing = F.array().cast(f"array<struct<line_number:bigint,raw:{_MAP}>>")
+    other = F.when(F.try_parse_json(text).isNotNull(), nothing)
+    return F.coalesce(items_of(text), let(json_object(text), lambda fields: F.when(fields.isNotNull(), of_object(fields))), other)
 
-    return let(F.try_parse_json(text), of_variant)
+
+def _is(typed: Column, value: Column, known: Column, kind: str, opening: str) -> Column:
+    """Whether a value is an object or list: by its type where types are known, else by its text."""
+    by_type = F.coalesce(F.schema_of_variant(typed).startswith(kind), F.lit(False))
+    return F.when(known, by_type).otherwise(F.coalesce(F.startswith(F.ltrim(value), F.lit(opening)), F.lit(False)))
+
+
+def json_object(text: Column) -> Column:
+    """A JSON object as a map, NULL for anything else; of a repeated key the last value counts."""
+    return let(F.from_json(text, _MAP), lambda found: F.when(found.isNotNull(), last_per_key(F.map_entries(found))))
 
 
 def records_of_documents(documents: DataFrame, file_type: str = "JSON") -> DataFrame:
@@ -72,7 +86,7 @@ def scan_json(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def broken_documents(documents: DataFrame) -> DataFrame:
     """``(filename, reason)`` of the documents that are not JSON."""
-    return documents.where(F.try_parse_json("text").isNull()).select(
+    return documents.where(json_records(F.col("text")).isNull()).select(
         F.col("source_file").alias("filename"), F.lit("not a JSON document").alias("reason")
     )
 
@@ -87,7 +101,11 @@ def json_line(line: Column) -> Column:
 
 
 def strip_keys(raw: Column) -> Column:
-    return F.transform_keys(raw, lambda key, _: strip(key))
+    """Keys without outer blanks; of keys that then are the same the last value counts."""
+    entries = F.transform(
+        F.map_entries(raw), lambda e: F.struct(strip(e["key"]).alias("key"), e["value"].alias("value"))
+    )
+    return last_per_key(entries)
 
 
 def scan_jsonl(spark: SparkSession, paths: str | list[str], line_numbers: bool = True) -> DataFrame:

@@ -215,3 +215,48 @@ def test_many_cards_in_one_document_take_time_in_proportion(spark):
         seconds[n] = time.perf_counter() - begun
         assert [(r["line_number"], r["raw"]) for r in found] == _plain_cards(lines)
     assert seconds[16000] < 8 * seconds[4000] + 2
+
+
+def test_rows_are_numbered_from_one_scan_whatever_its_splits(spark, tmp_path):
+    lines = [json.dumps({"i": i}) for i in range(30_000)]
+    path = write(tmp_path, "big.jsonl", "\n".join(lines))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+        found = json_records.scan_jsonl(spark, path)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "170000")
+        assert found.count() == 30_000
+        assert found.where("line_number <> cast(raw['i'] as bigint) + 1").count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_repeated_keys_last_wins(spark, tmp_path):
+    path = write(tmp_path, "a.jsonl", '{"a":1,"a":2}\n{"a":1," a":3}\n{"b":4}\n')
+    assert [raw for _, _, raw in rows_of(json_records.scan_jsonl(spark, path))] == [{"a": "2"}, {"a": "3"}, {"b": "4"}]
+    write(tmp_path, "b.json", '[{"a":1,"a":2}, 7, {"b":{"x":1,"x":2}}]')
+    write(tmp_path, "c.json", '{"data":[{"k":1,"k":2},{" k":3,"k ":4}]}')
+    write(tmp_path, "d.json", '{"a":1,"a":2}')
+    found = rows_of(json_records.scan_json(spark, [str(tmp_path / n) for n in ("b.json", "c.json", "d.json")]))
+    assert found == [
+        ("b.json", 1, {"a": "2"}), ("b.json", 3, {"b": '{"x":1,"x":2}'}),
+        ("c.json", 1, {"k": "2"}), ("c.json", 2, {"k": "4"}), ("d.json", 1, {"a": "2"}),
+    ]
+
+
+def test_texts_that_look_like_lists_or_objects_are_not(spark):
+    texts = ['[{"a":1},"{}","x"]', '{"records":"[{}]","data":[{"k":1}]}', '{"records":"[1]"}', "[]", '"s"', "{", "", "[1] x"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    found = [r[0] for r in df.sort("i").select(json_records.json_records(F.col("t"))).collect()]
+    plain = [None if f is None else [(r["line_number"], r["raw"]) for r in f] for f in found]
+    assert plain == [[(1, {"a": "1"})], [(1, {"k": "1"})], [(1, {"records": "[1]"})], [], [], None, None, []]
+
+
+def test_json_document_beyond_the_size_of_a_variant(spark, tmp_path):
+    filler = "x" * 4000
+    with open(tmp_path / "large.json", "w") as out:
+        out.write('{"count": 34000, "records": [')
+        out.write(",".join(f'{{"i": {i}, "t": "{filler}"}}' for i in range(34_000)))
+        out.write("]}")
+    found = json_records.scan_json(spark, str(tmp_path / "large.json"))
+    assert found.agg(F.count("*"), F.max("line_number"), F.max(F.length(F.col("raw")["t"]))).first() == (34_000, 34_000, 4000)
