@@ -4,13 +4,16 @@ Shingles are put into one order for all documents; two sets with similarity t or
 among the first ``n - ceil(t n) + 1`` of each, their prefixes.
 
 1. Every task collapses equal sets and writes the rest with their texts to the shared folder.
-2. Shingles that many prefixes hold are moved to the end of the order.  Only the order depends on that
-   list, no result does; it is bounded, and made from counts over all documents.
+2. Shingles that many documents hold are moved to the end of the order, so that prefixes are made of
+   what sets a document apart.  The list is bounded and made from all documents: every task counts the
+   shingles it meets several times.  Only the order, and so the work, depends on it; no result does.
 3. Prefix entries (shingle, document, size, place, digest of the prefix) go to buckets by shingle in
    blocks; entries whose shingle nobody else has end there.
+   A document also gets a sketch: one bit per hash class, flipped by each of its shingles.  Bits in which
+   two sketches differ stand for shingles that only one of them has, so they bound the overlap.
 4. Documents with one prefix and size are a group: in a shingle's list they stand together, and a
    pair of groups is filtered once, by size and place, for all its members.
-5. Pairs that pass are verified on whole sets, in rounds: a round takes as partners the first 1, 8, 64, ...
+5. Pairs that pass, and whose sketches allow it, are verified on whole sets, in rounds: a round takes as partners the first 1, 8, 64, ...
    entries of every list, and leaves out pairs already in one component, so a large group of copies
    costs a comparison or two per document and not all pairs.  Rounds end when every list is in one
    component or used up; no pair is left out for any other reason.
@@ -33,14 +36,18 @@ from rowkin.scratch import store, write_out
 
 WORDS = 4
 PERCENT = 85
-#: A shingle in more prefixes than this is moved to the end of the order; the list's bound is 8 MB.
-OFTEN = 50
+#: A shingle counted more often than this is moved to the end of the order; the list's bound is 8 MB.
+OFTEN = 8
 MOST_OFTEN = 1_000_000
+#: Shingles that are counted together: 16 MB.
+TOGETHER = 1 << 21
 #: Partners per list in the first round, and by how much each round has more.
 PARTNERS = 1
 GROWTH = 8
 #: Pairs of 16 bytes that are broadcast; more are joined by a shuffle.
 BROADCAST_PAIRS = 1_000_000
+#: Bits of a sketch.
+SKETCH = 1024
 _COUNTER_BITS = 33
 _M = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -72,14 +79,19 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def sketch(made: np.ndarray) -> bytes:
+    flipped = np.bincount((made >> np.uint64(20)) % np.uint64(SKETCH), minlength=SKETCH) & 1
+    return np.packbits(flipped.astype(bool)).tobytes()
+
+
 def _collapsed(words: int):
-    """(node, same_as, id, n, digest, text): text only where no earlier row of the task has the set."""
+    """(node, same_as, id, n, digest, sketch, text): sketch and text only where no earlier row of the task has the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node = TaskContext.get().partitionId() << _COUNTER_BITS
         first: dict[bytes, int] = {}
         for batch in batches:
-            nodes, same, sizes, digests, texts = [], [], [], [], []
+            nodes, same, sizes, digests, sketches, texts = [], [], [], [], [], []
             for value in batch.column(1):
                 text = (value.as_py() or "").encode()
                 made = shingles(text, words)
@@ -89,11 +101,12 @@ def _collapsed(words: int):
                 same.append(first.setdefault(digest, node) if len(made) else node)
                 sizes.append(len(made))
                 digests.append(digest)
+                sketches.append(sketch(made) if fresh else None)
                 texts.append(len(text).to_bytes(8, "little") + pa.compress(text, codec="zstd", asbytes=True) if fresh else None)
                 node += 1
             columns = [pa.array(nodes, pa.int64()), pa.array(same, pa.int64()), batch.column(0), pa.array(sizes, pa.int64())]
-            columns += [pa.array(digests, pa.binary()), pa.array(texts, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["node", "same_as", "id", "n", "digest", "text"])
+            columns += [pa.array(x, pa.binary()) for x in (digests, sketches, texts)]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "same_as", "id", "n", "digest", "sketch", "text"])
 
     return run
 
@@ -113,24 +126,35 @@ def _ordered(made: np.ndarray, often: np.ndarray) -> np.ndarray:
 
 def _bucketed(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
     bucket = (keys % np.uint64(buckets)).astype(np.int64)
+    if not len(bucket):
+        return
     order = np.argsort(bucket, kind="stable")
-    cuts = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0]) if len(order) else []
+    cuts = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0])
     for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True):
         yield int(bucket[order[a]]), order[a:b]
 
 
-def _count_blocks(buckets: int, words: int, percent: int):
-    """Shingles of prefixes, and half as many beyond (they may move up), with counts by batch."""
+def _count_blocks(buckets: int, words: int):
+    """Shingles that some ``TOGETHER`` shingles of a task hold twice or more, with their counts there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def counted(found: list[np.ndarray]) -> pa.RecordBatch:
+            keys, counts = np.unique(np.concatenate(found), return_counts=True)
+            keys, counts = keys[counts > 1], counts[counts > 1]
+            blocks = [(b, keys[w].tobytes() + counts[w].astype("<i4").tobytes()) for b, w in _bucketed(keys, buckets)]
+            columns = [pa.array([b for b, _ in blocks], pa.int32()), pa.array([d for _, d in blocks], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["bucket", "data"])
+
+        found, size = [], 0
         for batch in batches:
-            found = []
             for text in batch.column(0):
-                made = shingles(_plain(text.as_py()), words)
-                found.append(made[: 3 * prefix_length(len(made), percent) // 2 + 8])
-            keys, counts = np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, np.uint64),) * 2
-            blocks = [(b, keys[w].tobytes() + counts[w].astype("<i4").tobytes()) for b, w in _bucketed(keys, buckets)]
-            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in blocks], pa.int32()), pa.array([d for _, d in blocks], pa.binary())], names=["bucket", "data"])
+                found.append(shingles(_plain(text.as_py()), words))
+                size += len(found[-1])
+                if size >= TOGETHER:
+                    yield counted(found)
+                    found, size = [], 0
+        if found:
+            yield counted(found)
 
     return run
 
@@ -224,12 +248,36 @@ def _verified(words: int, percent: int):
     return run
 
 
-def verified(pairs: DataFrame, rows: int, texts: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The (x, y) of ``pairs`` whose sets are similar; ``texts`` is (node, text)."""
+def _attached(pairs: DataFrame, rows: int, sides: DataFrame) -> DataFrame:
+    """Pairs with both sides' ``n`` and ``data``; ``sides`` is (node, n, data)."""
     hint = F.broadcast if rows <= BROADCAST_PAIRS else (lambda df: df)
-    partners = texts.join(hint(pairs.select(F.col("y").alias("node")).distinct()), "node").select(F.col("node").alias("y"), F.col("text").alias("their_text"))
-    mine = texts.join(hint(pairs.withColumnRenamed("x", "node")), "node").select(F.col("node").alias("x"), "y", "text")
-    return mine.join(partners.hint("merge"), "y").select("x", "y", "text", "their_text").mapInArrow(_verified(words, percent), "x long, y long")
+    theirs = sides.join(hint(pairs.select(F.col("y").alias("node")).distinct()), "node")
+    theirs = theirs.select(F.col("node").alias("y"), F.col("n").alias("their_n"), F.col("data").alias("their_data"))
+    mine = sides.join(hint(pairs.withColumnRenamed("x", "node")), "node").withColumnRenamed("node", "x")
+    return mine.join(theirs.hint("merge"), "y").select("x", "y", "data", "their_data", "n", "their_n")
+
+
+def _possible(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in (2, 3))
+            size = batch.column(4).to_numpy() + batch.column(5).to_numpy()
+            differ = np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64)
+            # The overlap is at most (size - differ) / 2 and must be at least percent / (100 + percent) * size.
+            keep = (100 + percent) * (size - differ) >= 2 * percent * size
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["x", "y"]).filter(pa.array(keep))
+
+    return run
+
+
+def verified(pairs: DataFrame, rows: int, sets: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The (x, y) of ``pairs`` whose sets are similar; ``sets`` is (node, n, sketch, text)."""
+    sketches = sets.select("node", "n", F.col("sketch").alias("data"))
+    likely = store(_attached(pairs, rows, sketches).mapInArrow(_possible(percent), "x long, y long"), "jaccard-likely")
+    texts = sets.select("node", "n", F.col("text").alias("data"))
+    return _attached(likely.table, likely.rows, texts).mapInArrow(_verified(words, percent), "x long, y long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -243,7 +291,7 @@ def components(edges: DataFrame) -> DataFrame:
     while now.rows:
         way = now.table.unionByName(now.table.select(F.col("y").alias("x"), F.col("x").alias("y")))
         least = way.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
-        large = way.join(least, "x").where("y > x").select(F.col("y").alias("x"), F.col("m").alias("y")).where("x <> y").distinct()
+        large = way.join(least, "x").where("y > x").select(F.col("y").alias("x"), F.col("m").alias("y")).where("x <> y")
         least = large.groupBy("x").agg(F.min("y").alias("m"))
         joined = large.join(least, "x")
         small = joined.select(F.col("y").alias("x"), F.col("m").alias("y")).where("x <> y").unionByName(least.select("x", F.col("m").alias("y"))).distinct()
@@ -277,15 +325,15 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     saved = write_out(
-        rows.mapInArrow(_collapsed(words), f"node long, same_as long, id {kind}, n long, digest binary, text binary"), "jaccard-sets"
+        rows.mapInArrow(_collapsed(words), f"node long, same_as long, id {kind}, n long, digest binary, sketch binary, text binary"), "jaccard-sets"
     )
-    texts = saved.where("text is not null").select("node", "text")
-    counted = texts.select("text").mapInArrow(_count_blocks(buckets, words, percent), "bucket int, data binary")
+    sets = saved.where("text is not null").select("node", "n", "sketch", "text")
+    counted = sets.select("text").mapInArrow(_count_blocks(buckets, words), "bucket int, data binary")
     found = counted.groupBy("bucket").applyInArrow(_often(OFTEN), "shingle long, documents long")
     top = found.orderBy(F.desc("documents"), "shingle").limit(MOST_OFTEN).select("shingle").toArrow()
     often = np.sort(top["shingle"].to_numpy().view(np.uint64))
 
-    blocks = texts.select("text", "node").mapInArrow(_entry_blocks(buckets, words, percent, often), "bucket int, data binary, entries long")
+    blocks = sets.select("text", "node").mapInArrow(_entry_blocks(buckets, words, percent, often), "bucket int, data binary, entries long")
     lists = store(blocks.groupBy("bucket").applyInArrow(_shared(often), _SHARED), "jaccard-entries")
 
     # Equal sets of different tasks.
@@ -319,7 +367,7 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
         )
         chosen = store(pairs, "jaccard-pairs")
         if chosen.rows:
-            links = verified(chosen.table, chosen.rows, texts, words, percent)
+            links = verified(chosen.table, chosen.rows, sets, words, percent)
             # What is connected already is a star each: its links are not needed any more.
             labels = components(links.unionByName(labels.select(F.col("node").alias("x"), F.col("label").alias("y"))))
         if open_lists.figures["most"] <= high:

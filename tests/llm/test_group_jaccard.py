@@ -27,7 +27,7 @@ def _docs(seed: int) -> list:
     return [(rng.randint(1, 10**6), t) for t in texts] + [(5, texts[0]), (5, texts[1]), (None, texts[2])]
 
 
-@pytest.mark.parametrize("often", [2, 50])
+@pytest.mark.parametrize("often", [1, 50])
 def test_components_against_all_pairs(spark, monkeypatch, often):
     monkeypatch.setattr(J, "OFTEN", often)
     for seed in (1, 2):
