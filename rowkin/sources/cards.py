@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rowkin.functions.fields import last_per_key
 from rowkin.functions.text import BLANK, BLANK_CHARS, document_lines, let, strip
-from rowkin.sources.files import read_documents
+from rowkin.sources.files import read_documents, with_path
 
 # A line that separates cards, and a line that holds a field.
 SEPARATOR_LINE = r"(?iU)^(?:[-=_*]{3,}|record\s*#?\d+|student\s*#?\d+|employee\s*#?\d+)"
@@ -160,8 +160,9 @@ def report_rows(text: Column) -> Column:
 
 
 def _records(documents: DataFrame, file_type: str, found: Column) -> DataFrame:
-    return documents.select("source_file", F.lit(file_type).alias("file_type"), F.inline(found)).select(
-        "source_file", "file_type", "line_number", "raw"
+    path = with_path(documents)
+    return documents.select("source_file", F.lit(file_type).alias("file_type"), F.inline(found), *path).select(
+        "source_file", "file_type", "line_number", "raw", *path
     )
 
 

@@ -10,20 +10,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowkin.functions.text import strip
-from rowkin.sources.files import RECORD_COLUMNS, file_name, union_sources, with_row_numbers
+from rowkin.sources.files import (
+    NO_RECORDS_YET,
+    RECORD_COLUMNS,
+    SOURCE_PATH,
+    decoded_path,
+    file_name,
+    path_key,
+    union_sources,
+    with_row_numbers,
+)
 
 # Delimiters to choose from, in order of preference.
 DELIMITERS = (",", ";", "\t", "|")
 
+#: Characters of a header line.  A file with a longer one is reported as failed; the others are read.
+MOST_HEADER = 1_000_000
+TOO_LONG = "header line of %s characters"
+
 
 def inspect_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``path, header, sep, encoding`` of delimited files, found in one pass over all of them.
+    """``path, header, header_chars, sep, encoding`` of delimited files, found in one pass over all of them.
+
+    ``header`` is the first line that is not blank, NULL if it is longer than ``MOST_HEADER``.
 
     The delimiter is the candidate of the header line that most lines of the file contain; ``,`` if
     the header has none.  A file that is not valid UTF-8 as a whole is read as Latin-1.
     """
     lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"),
+        decoded_path(F.col("_metadata.file_path")).alias("path"),
         F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
         "value",
     )
@@ -48,11 +63,12 @@ def inspect_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         ]
     )
     best = F.array_max(F.filter(scores, lambda s: s["cells"] > 0))["sep"]
+    decoded = F.when(F.col("utf8"), F.col("header")).otherwise(F.decode(F.col("header").cast("binary"), "ISO-8859-1"))
+    size = F.length("header")
     return files.where(F.col("header").isNotNull()).select(
         "path",
-        F.when(F.col("utf8"), F.col("header"))
-        .otherwise(F.decode(F.col("header").cast("binary"), "ISO-8859-1"))
-        .alias("header"),
+        F.when(size <= MOST_HEADER, decoded).alias("header"),
+        size.alias("header_chars"),
         F.coalesce(best, F.lit(",")).alias("sep"),
         F.when(F.col("utf8"), F.lit("UTF-8")).otherwise(F.lit("ISO-8859-1")).alias("encoding"),
     )
@@ -65,28 +81,44 @@ def scan_csv(
     multi_line: bool = True,
     line_numbers: bool = True,
     file_type: str = "CSV",
+    inspected: DataFrame | None = None,
 ) -> DataFrame:
     """Raw records of CSV files, each with its own header; ``sep`` None finds the delimiter per file.
 
     Cells are stripped, missing ones are "", extra ones dropped, rows without any value skipped.
     Quoted cells may hold line breaks only with ``multi_line``, which keeps Spark from splitting a file
-    over tasks: turn it off for large files without such cells.
+    over tasks: turn it off for large files without such cells.  ``inspected`` is the outcome of
+    :func:`inspect_files`, where the caller has it already.
     """
+    if inspected is None:
+        inspected = inspect_files(spark, paths)
     # One row per file: the file listing, which the driver holds for any scan.
     kinds = defaultdict(list)
-    for row in inspect_files(spark, paths).collect():
-        kinds[(row["header"], sep or row["sep"], row["encoding"])].append(row["path"])
+    for row in inspected.where("header is not null").select("path", "header", "sep", "encoding").toLocalIterator():
+        found = sep or row["sep"]
+        if multi_line and row["header"].count('"') % 2:  # a quoted cell of the header goes on behind the line
+            names = _first_record(spark, row["path"], found, row["encoding"])
+        else:
+            names = header_names(row["header"], found)
+        kinds[(tuple(names), found, row["encoding"])].append(row["path"])
     scans = [
-        _scan_alike(spark, files, header, found, encoding, multi_line, line_numbers, file_type)
-        for (header, found, encoding), files in sorted(kinds.items())
+        _scan_alike(spark, files, names, found, encoding, multi_line, line_numbers, file_type)
+        for (names, found, encoding), files in sorted(kinds.items())
     ]
     if not scans:
-        return spark.createDataFrame(
-            [], "source_file string, file_type string, line_number bigint, raw map<string,string>"
-        )
+        return spark.createDataFrame([], NO_RECORDS_YET)
     return union_sources(*scans)
 
 
+def failed_files(inspected: DataFrame) -> DataFrame:
+    """``(filename, reason, path)`` of the files whose header is too long to be read."""
+    return inspected.where("header is null").select(
+        file_name(F.col("path")).alias("filename"),
+        F.format_string(TOO_LONG, F.col("header_chars").cast("string")).alias("reason"),
+        path_key(F.col("path")).alias("path"),
+    )
+
+
 def scan_tsv(spark: SparkSession, paths: str | list[str], **options) -> DataFrame:
     """:func:`scan_csv` with tabs."""
     return scan_csv(spark, paths, sep="\t", file_type="TSV", **options)
@@ -94,12 +126,25 @@ def scan_tsv(spark: SparkSession, paths: str | list[str], **options) -> DataFram
 
 def header_names(header: str, sep: str) -> list[str]:
     """Cell names of a header line; a missing name becomes ``col_i``."""
-    cells = next(csv.reader([header.lstrip("\ufeff")], delimiter=sep))
+    before = csv.field_size_limit(MOST_HEADER)
+    try:
+        return _names(next(csv.reader([header.lstrip("\ufeff")], delimiter=sep)))
+    finally:
+        csv.field_size_limit(before)
+
+
+def _names(cells: list[str | None]) -> list[str]:
     return [cell.strip() if cell else f"col_{i}" for i, cell in enumerate(cells)]
 
 
-def _scan_alike(spark, files, header, sep, encoding, multi_line, line_numbers, file_type) -> DataFrame:
-    names = header_names(header, sep)
+def _first_record(spark: SparkSession, path: str, sep: str, encoding: str) -> list[str]:
+    """The names in a header that spans lines, read by the reader of the records themselves."""
+    options = {"sep": sep, "encoding": encoding, "multiLine": True, "quote": '"', "escape": '"', "maxCharsPerColumn": MOST_HEADER}
+    first = list(spark.read.options(header=False, **options).csv(path).limit(1).first())
+    return _names([first[0].lstrip("\ufeff") if first[0] else first[0], *first[1:]])
+
+
+def _scan_alike(spark, files, names, sep, encoding, multi_line, line_numbers, file_type) -> DataFrame:
     columns = [f"c{i}" for i in range(len(names))]
     rows = (
         spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
@@ -113,6 +158,7 @@ def _scan_alike(spark, files, header, sep, encoding, multi_line, line_numbers, f
         file_name(F.col("_metadata.file_path")).alias("source_file"),
         F.lit(file_type).alias("file_type"),
         raw.alias("raw"),
+        path_key(F.col("_metadata.file_path")).alias(SOURCE_PATH),
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_at"),
@@ -121,7 +167,8 @@ def _scan_alike(spark, files, header, sep, encoding, multi_line, line_numbers, f
         picked = with_row_numbers(picked, "_path", "_block", "_at", "line_number", 2)
     else:
         picked = picked.withColumn("line_number", F.lit(None).cast("bigint"))
-    return picked.where(F.exists(F.map_values("raw"), lambda v: v != "")).select(*RECORD_COLUMNS)
+    found = picked.where(F.exists(F.map_values("raw"), lambda v: v != ""))
+    return found.select(*RECORD_COLUMNS, SOURCE_PATH)
 
 
 def _cell(column: str) -> Column:

@@ -31,6 +31,9 @@ NO_RECORDS = "No records could be extracted from '%s'. The file may be empty or
 FAILED = "Error parsing '%s': %s"
 
 RECORD_COLUMNS = ("source_file", "file_type", "line_number", "raw")
+#: Scans of files also give the path, which tells files of one name apart.
+SOURCE_PATH = "source_path"
+NO_RECORDS_YET = "source_file string, file_type string, line_number bigint, raw map<string,string>, source_path string"
 
 
 def extension(name: str) -> str:
@@ -47,6 +50,21 @@ def file_name(path: Column) -> Column:
     return F.url_decode(F.replace(F.regexp_extract(path, r"([^/]*)$", 1), F.lit("+"), F.lit("%2B")))
 
 
+def decoded_path(path: Column) -> Column:
+    """A path with its blanks and other marks as they are, so that it can be read again."""
+    return F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+
+
+def path_key(path: Column) -> Column:
+    """One spelling of a path, however the reader that gave it writes its scheme and its blanks."""
+    return F.regexp_replace(decoded_path(path), "^([A-Za-z0-9+.-]+):/+", "$1:/")
+
+
+def with_path(df: DataFrame) -> list[str]:
+    """The path column, where ``df`` has it."""
+    return [c for c in df.columns if c == SOURCE_PATH]
+
+
 def detect_format(path: Column) -> Column:
     """Display name of the file format, NULL when unsupported."""
     return _lookup(path, 0)
@@ -82,9 +100,11 @@ def decode_text(content: Column) -> Column:
 
 
 def read_documents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``source_file, text``: whole decoded files, one row each."""
+    """``source_file, text, source_path``: whole decoded files, one row each."""
     return spark.read.format("binaryFile").load(paths).select(
-        file_name(F.col("path")).alias("source_file"), decode_text(F.col("content")).alias("text")
+        file_name(F.col("path")).alias("source_file"),
+        decode_text(F.col("content")).alias("text"),
+        path_key(F.col("path")).alias(SOURCE_PATH),
     )
 
 
@@ -116,22 +136,29 @@ def union_sources(*scans: DataFrame) -> DataFrame:
     return whole
 
 
-def with_record_ids(records: DataFrame, order: tuple[str, ...] = ("source_file", "line_number")) -> DataFrame:
-    """Add ``record_id``: 1, 2, 3, ... over files in name order and lines in file order."""
-    return number_rows(records, list(order), "record_id")
+def with_record_ids(records: DataFrame, order: tuple[str, ...] | None = None) -> DataFrame:
+    """Add ``record_id``: 1, 2, 3, ... over files in name order, those of one name by path, and lines in
+    file order."""
+    return number_rows(records, list(order or ("source_file", *with_path(records), "line_number")), "record_id")
 
 
 def file_reports(files: DataFrame, records: DataFrame, failures: DataFrame | None = None) -> DataFrame:
     """``filename, record_count, status, error`` of every file in ``files(filename)``.
 
-    ``failures(filename, reason)`` names files that could not be parsed at all.
+    ``failures(filename, reason)`` names files that could not be parsed at all.  Where all of them carry
+    paths (``path`` of files and failures, ``source_path`` of records), files are told apart by path, and the
+    path is given, too.
     """
-    counts = records.groupBy(F.col("source_file").alias("filename")).agg(F.count(F.lit(1)).alias("record_count"))
-    joined = files.select("filename").join(counts, "filename", "left")
+    by_path = "path" in files.columns and SOURCE_PATH in records.columns
+    own, theirs = ("path", SOURCE_PATH) if by_path else ("filename", "source_file")
+    if by_path:
+        files = files.withColumn("path", path_key(F.col("path")))
+    counts = records.groupBy(F.col(theirs).alias(own)).agg(F.count(F.lit(1)).alias("record_count"))
+    joined = files.select(*dict.fromkeys((own, "filename"))).join(counts, own, "left")
     if failures is None:
         joined = joined.withColumn("reason", F.lit(None).cast("string"))
     else:
-        joined = joined.join(failures.select("filename", "reason"), "filename", "left")
+        joined = joined.join(failures.select(own, "reason"), own, "left")
     name = F.col("filename")
     supported = F.coalesce(F.col("record_count"), F.lit(0)) > 0
     error = (
@@ -144,6 +171,7 @@ def file_reports(files: DataFrame, records: DataFrame, failures: DataFrame | Non
     )
     failed = error.isNotNull()
     return joined.select(
+        *([own] if by_path else []),
         name,
         F.when(failed, F.lit(0)).otherwise(F.col("record_count")).cast("bigint").alias("record_count"),
         F.when(failed, F.lit("error")).otherwise(F.lit("success")).alias("status"),

@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 from rowkin.functions.fields import last_per_key
 from rowkin.functions.text import let, strip
-from rowkin.sources.files import RECORD_COLUMNS, file_name, read_documents, with_row_numbers
+from rowkin.sources.files import (
+    RECORD_COLUMNS,
+    SOURCE_PATH,
+    file_name,
+    path_key,
+    read_documents,
+    with_path,
+    with_row_numbers,
+)
 
 # Keys of a root object that may hold the list of records, in priority order.
 LIST_KEYS = ("records", "data", "items", "rows", "students", "employees", "customers", "results")
@@ -75,9 +83,10 @@ def json_object(text: Column) -> Column:
 
 def records_of_documents(documents: DataFrame, file_type: str = "JSON") -> DataFrame:
     """Raw records of ``(source_file, text)`` JSON documents."""
+    path = with_path(documents)
     return documents.select(
-        "source_file", F.lit(file_type).alias("file_type"), F.inline(json_records(F.col("text")))
-    ).select("source_file", "file_type", "line_number", strip_keys(F.col("raw")).alias("raw"))
+        "source_file", F.lit(file_type).alias("file_type"), F.inline(json_records(F.col("text"))), *path
+    ).select("source_file", "file_type", "line_number", strip_keys(F.col("raw")).alias("raw"), *path)
 
 
 def scan_json(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -85,9 +94,11 @@ def scan_json(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def broken_documents(documents: DataFrame) -> DataFrame:
-    """``(filename, reason)`` of the documents that are not JSON."""
+    """``(filename, reason, path)`` of the documents that are not JSON."""
     return documents.where(json_records(F.col("text")).isNull()).select(
-        F.col("source_file").alias("filename"), F.lit("not a JSON document").alias("reason")
+        F.col("source_file").alias("filename"),
+        F.lit("not a JSON document").alias("reason"),
+        *[F.col(c).alias("path") for c in with_path(documents)],
     )
 
 
@@ -129,8 +140,9 @@ def scan_jsonl(spark: SparkSession, paths: str | list[str], line_numbers: bool =
             F.lit("JSONL").alias("file_type"),
             "line_number",
             json_line(value).alias("raw"),
+            path_key(F.col("_path")).alias(SOURCE_PATH),
         )
         .where(F.col("raw").isNotNull())
         .withColumn("raw", strip_keys(F.col("raw")))
-        .select(*RECORD_COLUMNS)
+        .select(*RECORD_COLUMNS, SOURCE_PATH)
     )

@@ -7,9 +7,10 @@ from collections import defaultdict
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowkin.scratch import write_out
 from rowkin.sources.cards import scan_text
-from rowkin.sources.delimited import scan_csv, scan_tsv
-from rowkin.sources.files import file_reports, list_files, read_documents, union_sources
+from rowkin.sources.delimited import failed_files, inspect_files, scan_csv, scan_tsv
+from rowkin.sources.files import NO_RECORDS_YET, file_reports, list_files, read_documents, union_sources
 from rowkin.sources.json_records import broken_documents, scan_json, scan_jsonl
 
 _SCANS = {"csv": scan_csv, "tsv": scan_tsv, "json": scan_json, "jsonl": scan_jsonl, "text": scan_text}
@@ -28,15 +29,21 @@ def scan_files(
     # One row per file: the listing, which the driver holds for any scan.
     for row in files.select("path", "reader").where("reader is not null").collect():
         by_reader[row["reader"]].append(row["path"])
-    scans = [scan(spark, by_reader[reader]) for reader, scan in _SCANS.items() if by_reader[reader]]
+    scans, failures = [], []
+    for reader, scan in _SCANS.items():
+        if not by_reader[reader]:
+            continue
+        if reader in ("csv", "tsv"):
+            inspected = write_out(inspect_files(spark, by_reader[reader]), "inspected")
+            scans.append(scan(spark, by_reader[reader], inspected=inspected))
+            failures.append(failed_files(inspected))
+        else:
+            scans.append(scan(spark, by_reader[reader]))
+    if by_reader["json"]:
+        failures.append(broken_documents(read_documents(spark, by_reader["json"])))
     scans += extracted
-    if not scans:
-        records = spark.createDataFrame(
-            [], "source_file string, file_type string, line_number bigint, raw map<string,string>"
-        )
-    else:
-        records = union_sources(*scans)
-    failures = broken_documents(read_documents(spark, by_reader["json"])) if by_reader["json"] else None
+    records = union_sources(*scans) if scans else spark.createDataFrame([], NO_RECORDS_YET)
+    failures = union_sources(*failures) if failures else None
     return records, file_reports(files, records, failures)
 
 

@@ -260,3 +260,35 @@ def test_json_document_beyond_the_size_of_a_variant(spark, tmp_path):
         out.write("]}")
     found = json_records.scan_json(spark, str(tmp_path / "large.json"))
     assert found.agg(F.count("*"), F.max("line_number"), F.max(F.length(F.col("raw")["t"]))).first() == (34_000, 34_000, 4000)
+
+
+def test_header_with_a_quoted_line_break(spark, tmp_path):
+    path = write(tmp_path, "h.csv", 'name,"email\naddress",phone\nArun,a@b,12\n')
+    assert rows_of(delimited.scan_csv(spark, path)) == [("h.csv", 2, {"name": "Arun", "email\naddress": "a@b", "phone": "12"})]
+
+
+def test_one_overlong_header_fails_its_file_alone(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(delimited, "MOST_HEADER", 150_000)
+    write(tmp_path, "good.csv", "name\nArun\n")
+    write(tmp_path, "wide.csv", ",".join(f"column{i}" for i in range(12_000)) + "\n1\n")
+    write(tmp_path, "bad.csv", "x" * 200_000 + "\n1\n")
+    records, reports = scan.scan_files(spark, str(tmp_path))
+    assert {name for name, _, _ in rows_of(records)} == {"good.csv", "wide.csv"}
+    found = {r["filename"]: (r["record_count"], r["status"], r["error"]) for r in reports.collect()}
+    assert found["good.csv"] == (1, "success", None) and found["wide.csv"][:2] == (1, "success")
+    assert found["bad.csv"] == (0, "error", "Error parsing 'bad.csv': header line of 200000 characters")
+
+
+def test_files_of_one_name_are_told_apart(spark, tmp_path):
+    for folder, text in (("a b", "n\n1\n2\n3\n"), ("c+d", "n\n4\n"), ("e", "\n")):
+        (tmp_path / folder).mkdir()
+        write(tmp_path / folder, "part.csv", text)
+        write(tmp_path / folder, "part.json", '[{"k": 1}]' if folder == "e" else "{")
+    records, reports = scan.scan_files(spark, [str(tmp_path / f) for f in ("a b", "c+d", "e")])
+    found = sorted((r["path"].split("/")[-2:], r["record_count"], r["status"]) for r in reports.collect())
+    assert found == [
+        (["a b", "part.csv"], 3, "success"), (["a b", "part.json"], 0, "error"), (["c+d", "part.csv"], 1, "success"),
+        (["c+d", "part.json"], 0, "error"), (["e", "part.csv"], 0, "error"), (["e", "part.json"], 1, "success"),
+    ]
+    numbered = files.with_record_ids(records).sort("record_id").collect()
+    assert [(r["raw"].get("n"), r["line_number"]) for r in numbered] == [("1", 2), ("2", 3), ("3", 4), ("4", 2), (None, 1)]
