@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from rowkin.llm.rank_language import _BLANK, CHUNK, _codes
 
 #: Bounds of the fitting sample, in texts.
-MOST_POSITIVE = 2000
-MOST_UNLABELLED = 5000
+MOST_POSITIVE = 1500
+MOST_UNLABELLED = 4000
 #: Features: character n-grams of these lengths inside a blank-padded word, hashed to 2**HASH_BITS places.
 GRAMS = (4, 5)
 HASH_BITS = 30
@@ -201,7 +201,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     made = rows.mapInArrow(_make_features, "positive boolean, features binary").collect()
     lists: dict[bool, list[np.ndarray]] = {True: [], False: []}
     for flag, data in made:
-        lists[flag].append(np.frombuffer(data, "<i4").astype(np.int64))
+        lists[flag].append(np.frombuffer(data, "<i4"))
     for flag in lists:  # the order of rows depends on the partitions
         lists[flag].sort(key=lambda x: x.tobytes())
     return fit(lists[True], lists[False], stats["p"] / stats["n"])
