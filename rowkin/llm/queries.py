@@ -56,7 +56,9 @@ def op5_curriculum(spark: SparkSession, folder: str) -> DataFrame:
         F.least(F.col("start") / F.greatest(F.col("target"), F.lit(1.0)), F.lit(1.0)), F.col("tilt")
     )
     placed = planned.withColumn("position", F.when(F.col("taken") > 0, first))
-    ordered = placed.repartitionByRange("position").sortWithinPartitions("position", "source", "start")
+    # Documents that are not taken have no position: the further columns spread them.
+    order = ("position", "source", "start")
+    ordered = placed.repartitionByRange(*order).sortWithinPartitions(*order)
     return ordered.select("doc_id", "size", "source_size", "target", "taken")
 
 
