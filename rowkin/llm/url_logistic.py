@@ -1,7 +1,7 @@
 """URL filters: host and path rules first, then logistic regression on hashed character n-grams.
 
-The model is trained from a small labelled URL table by batch gradient descent with momentum, each step
-being one aggregate over the table's exploded features; its state is one array of ``BUCKETS`` weights.  Judging a
+The model is trained from a small labelled URL table by batch gradient descent with momentum, as one fold
+over the table in a single row; its state is one array of weights.  Judging a
 URL is a column expression inside its row: no shuffle, and no key that could be hot.
 """
 
@@ -10,16 +10,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowkin.functions.text import let
+
 #: Length of the weight array.  It is the only thing that travels with the tasks: 64 KB.
 BUCKETS = 8192
 GRAMS = (3, 4, 5)
-STEPS = 60
+#: Log-odds of a URL that the model knows nothing of: it is allowed.
+BIAS = -0.7
+STEPS = 150
 #: Features have length one, so the mean loss allows steps of this size; momentum does the rest.
-RATE = 3.0
+RATE = 10.0
 MOMENTUM = 0.9
 #: Most labelled rows that training takes; a longer table is refused, not cut.
-MOST_LABELLED = 100_000
-THRESHOLD = 0.6
+MOST_LABELLED = 10_000
+THRESHOLD = 0.5
 
 #: (host, path): each fits its host and all subdomains of it, below its path.
 ALLOW = (("com", "/"), ("www.example.com", "/en/"))
@@ -104,45 +108,67 @@ def score(features: Column, weights: list[float], bias: float) -> Column:
 def train(labelled: DataFrame, steps: int = STEPS, rate: float = RATE) -> tuple[list[float], float]:
     """Weights and bias from (url, label).  Rows with a null url or label are left out.
 
-    Every step sums the gradient over all labelled rows by bucket; at most ``BUCKETS`` sums come back.
-    A table without rows gives zero weights and a bias that allows everything.
+    The labelled table is small by contract (``MOST_LABELLED``, else refused), so it becomes one row: its
+    examples, and for every bucket the examples that have it.  All steps are one fold over that row.  A
+    table without rows gives zero weights, which allow everything.
     """
     rows = labelled.where("url is not null and label is not null")
     n = rows.limit(MOST_LABELLED + 1).count()
     if n > MOST_LABELLED:
         raise ValueError(f"more than {MOST_LABELLED} labelled urls")
-    weights, bias = [0.0] * BUCKETS, 0.0
     if n == 0:
-        return weights, -1.0
+        return [0.0] * BUCKETS, BIAS
     host, path = host_and_path(F.col("url"))
     table = rows.select(F.col("label").cast("double").alias("y"), buckets(host, path).alias("f"))
-    table = table.coalesce(1).persist()
-    at, at_bias = weights, bias
-    for _ in range(steps):
-        off = (score(F.col("f"), weights, bias) - F.col("y")).alias("off")
-        ways = table.select(off, F.col("f")).select("off", (F.col("off") / F.sqrt(F.size("f"))).alias("g"), "f")
-        # Bucket -1 stands for the bias.
-        sums = ways.select(
-            F.inline(
-                F.concat(
-                    F.array(F.struct(F.lit(-1).alias("b"), F.col("off").alias("g"))),
-                    F.transform("f", lambda b: F.struct(b.alias("b"), F.col("g").alias("g"))),
-                )
+    table = table.agg(F.sort_array(F.collect_list(F.struct("y", "f"))).alias("examples"))
+    table = table.withColumn("known", F.sort_array(F.array_distinct(F.flatten(F.transform("examples", lambda e: e["f"])))))
+    known = F.col("known")
+    places = F.transform(
+        "examples",
+        lambda e: F.struct(
+            e["y"].alias("y"),
+            (1 / F.sqrt(F.size(e["f"]).cast("double"))).alias("s"),
+            F.transform(e["f"], lambda b: (F.array_position(known, b) - 1).cast("int")).alias("f"),
+        ),
+    )
+    holders = F.transform(
+        known,
+        lambda b: F.filter(
+            F.transform("examples", lambda e, r: F.when(F.array_contains(e["f"], b), r)), lambda r: r.isNotNull()
+        ),
+    )
+    table = table.select("known", places.alias("rows"), holders.alias("holders"))
+    examples, holders = F.col("rows"), F.col("holders")
+    zeros = F.transform("known", lambda _: F.lit(0.0))
+
+    def step(state: Column, _: Column) -> Column:
+        # Nesterov: the gradient is taken at the place ahead; ``at`` is where the last step ended.
+        def offs(e: Column) -> Column:
+            total = F.aggregate(e["f"], F.lit(0.0), lambda t, j: t + F.get(state["ahead"], j))
+            return 1 / (1 + F.exp(-(F.lit(BIAS) + e["s"] * total))) - e["y"]
+
+        def moved(off: Column) -> Column:
+            def slope(members: Column) -> Column:
+                return F.aggregate(members, F.lit(0.0), lambda t, r: t + F.get(off, r) * F.get(examples, r)["s"])
+
+            new = F.transform(holders, lambda members, j: F.get(state["ahead"], j) - rate / n * slope(members))
+            return let(
+                new,
+                lambda at: F.struct(
+                    at.alias("at"),
+                    F.zip_with(at, state["at"], lambda x, old: x + MOMENTUM * (x - old)).alias("ahead"),
+                ),
             )
-        ).groupBy("b").agg(F.sum("g").alias("g")).collect()
-        # Nesterov: the gradient was taken at the place ahead, ``weights``; ``at`` is where the last step ended.
-        new = list(weights)
-        new_bias = bias
-        for b, g in sums:
-            if b < 0:
-                new_bias -= rate * g / n
-            else:
-                new[b] -= rate * g / n
-        weights = [w + MOMENTUM * (w - old) for w, old in zip(new, at, strict=True)]
-        bias = new_bias + MOMENTUM * (new_bias - at_bias)
-        at, at_bias = new, new_bias
-    table.unpersist()
-    return at, at_bias
+
+        return let(F.transform(examples, offs), moved)
+
+    start = F.struct(zeros.alias("at"), zeros.alias("ahead"))
+    model = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step)
+    found = table.select("known", model.alias("m")).select("known", "m.at").first()
+    weights = [0.0] * BUCKETS
+    for bucket, weight in zip(found["known"], found["at"], strict=True):
+        weights[bucket] = weight
+    return weights, BIAS
 
 
 def labelled_table(spark: SparkSession) -> DataFrame:
