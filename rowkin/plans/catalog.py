@@ -93,8 +93,8 @@ def _written(spark, df: DataFrame, kind: str, **options) -> str:
     return path
 
 
-def _read_back(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    return df.select(*[F.try_element_at("raw", F.lit(c)).cast(t).alias(c) for c, t in types.items()])
+def _read_back(df: DataFrame, types: dict[str, str], *also: str) -> DataFrame:
+    return df.select(*also, *[F.try_element_at("raw", F.lit(c)).cast(t).alias(c) for c, t in types.items()])
 
 
 CUSTOMER = {
@@ -103,10 +103,15 @@ CUSTOMER = {
 SUPPLIER = {"s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double"}
 
 
+def _in_order(df: DataFrame, *order: str) -> DataFrame:
+    """Test data for one file, so that line numbers are known."""
+    return df.repartition(1).sortWithinPartitions(*order)
+
+
 @query
 def scan_csv(spark, folder):
-    path = _written(spark, table(spark, folder, "customer"), "csv", header=True)
-    return _read_back(delimited.scan_csv(spark, path), CUSTOMER)
+    path = _written(spark, _in_order(table(spark, folder, "customer"), "c_custkey"), "csv", header=True)
+    return _read_back(delimited.scan_csv(spark, path), CUSTOMER, "file_type", "line_number")
 
 
 @query
@@ -125,35 +130,62 @@ def scan_csv_sniff(spark, folder):
 
 @query
 def scan_tsv(spark, folder):
-    path = _written(spark, table(spark, folder, "supplier"), "csv", header=True, sep="\t")
-    return _read_back(delimited.scan_tsv(spark, path), SUPPLIER)
+    path = _written(spark, _in_order(table(spark, folder, "supplier"), "s_suppkey"), "csv", header=True, sep="\t")
+    return _read_back(delimited.scan_tsv(spark, path), SUPPLIER, "file_type", "line_number")
 
 
 @query
 def scan_json(spark, folder):
-    # One document per turn, with a list that holds the turn and a note on it.
-    note = F.struct("turn", F.lit("note").alias("role"), F.lower("role").alias("text"))
-    items = F.array(F.struct("turn", "role", "text"), note)
-    documents = table(spark, folder, "conversations").select(
-        F.col("conv_id").cast("string").alias("source_file"),
-        F.to_json(F.struct("conv_id", items.alias("items"))).alias("text"),
-    )
-    return json_records.records_of_documents(documents).select(
-        F.col("source_file").cast("bigint").alias("conv_id"),
+    # Twenty documents, each a file with a list of turns in order.
+    turns = F.array_sort(F.collect_list(F.struct("conv_id", "turn", "role", "text")))
+    documents = table(spark, folder, "conversations").groupBy((F.col("conv_id") % 20).alias("part")).agg(turns.alias("items"))
+    path = fresh_path(spark, "scan-json")
+    documents.write.partitionBy("part").json(path)
+    raw = lambda key: F.try_element_at("raw", F.lit(key))
+    return json_records.scan_json(spark, f"{path}/*/*.json").select(
+        F.regexp_extract("source_path", "part=([0-9]+)/", 1).cast("bigint").alias("part"),
+        "file_type",
         "line_number",
-        F.col("raw")["turn"].cast("bigint").alias("turn"),
-        F.col("raw")["role"].alias("role"),
-        F.md5(F.col("raw")["text"]).alias("text_md5"),
+        raw("conv_id").cast("bigint").alias("conv_id"),
+        raw("turn").cast("bigint").alias("turn"),
+        raw("role").alias("role"),
+        F.md5(raw("text")).alias("text_md5"),
+    )
+
+
+def _mixed_files(spark, folder) -> list[str]:
+    """Folders with a CSV file, a JSON document, and a file of no known format."""
+    nations = table(spark, folder, "nation").agg(
+        F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name", "n_regionkey"))).alias("records")
+    )
+    return [
+        _written(spark, _in_order(table(spark, folder, "supplier").select("s_suppkey", "s_name"), "s_suppkey"), "csv", header=True, sep="|"),
+        _written(spark, nations, "json"),
+        _written(spark, table(spark, folder, "region").repartition(1), "parquet"),
+    ]
+
+
+@query
+def scan_files(spark, folder):
+    records, _ = scan.scan_files(spark, _mixed_files(spark, folder))
+    return records.select("file_type", "line_number", map_text(F.col("raw")).alias("fields"))
+
+
+@query
+def scan_files_reports(spark, folder):
+    _, reports = scan.scan_files(spark, _mixed_files(spark, folder))
+    return reports.select(
+        F.regexp_extract("filename", "[.]([a-z]+)$", 1).alias("extension"), "record_count", "status",
+        F.regexp_replace("error", "part-.*[.]", "part.").alias("error"),
     )
 
 
 @query
 def scan_jsonl(spark, folder):
-    path = _written(spark, table(spark, folder, "events").select("props"), "text")
-    return (
-        json_records.scan_jsonl(spark, path)
-        .groupBy(F.col("raw")["k"].cast("bigint").alias("k"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("line_number").isNotNull().alias("numbered"))
+    events = _in_order(table(spark, folder, "events"), "event_id").select("props")
+    path = _written(spark, events, "text")
+    return json_records.scan_jsonl(spark, path).select(
+        "file_type", "line_number", F.col("raw")["k"].cast("bigint").alias("k")
     )
 
 
@@ -622,6 +654,12 @@ def group_ids(spark, folder):
     return grouping.groups(detect(people_records(spark, folder))).select("group_id", "primary_id", "first_duplicate_id")
 
 
+@query
+def run_report(spark, folder):
+    files = spark.createDataFrame([("a.csv", "success"), ("b.json", "error"), ("b.json", "error")], "filename string, status string")
+    return grouping.run_report(detect(people_records(spark, folder)), files)
+
+
 @query
 def masters(spark, folder):
     return grouping.masters(detect(people_records(spark, folder))).select("record_id")

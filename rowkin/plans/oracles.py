@@ -304,14 +304,25 @@ IDENTIFIER_ROWS = """ids as (
 
 ORACLES = {
     # sources
-    "scan_csv": "select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer",
+    "scan_csv": """select 'CSV' as file_type, row_number() over (order by c_custkey) + 1 as line_number,
+  c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer""",
     "scan_csv_sniff": """select c_name as name, c_acctbal as acctbal, 5 as cells from customer
 union all select s_name, s_acctbal, 4 from supplier""",
-    "scan_tsv": "select s_suppkey, s_name, s_nationkey, s_acctbal from supplier",
-    "scan_json": """select conv_id, 1::bigint as line_number, turn, role, md5(text) as text_md5 from conversations
-union all select conv_id, 2, turn, 'note', md5(lower(role)) from conversations""",
-    "scan_jsonl": """select cast(json_extract_string(props, '$.k') as bigint) as k, count(*)::bigint as n, true as numbered
-from events group by 1""",
+    "scan_tsv": """select 'TSV' as file_type, row_number() over (order by s_suppkey) + 1 as line_number,
+  s_suppkey, s_name, s_nationkey, s_acctbal from supplier""",
+    "scan_json": """select conv_id % 20 as part, 'JSON' as file_type,
+  row_number() over (partition by conv_id % 20 order by conv_id, turn, role, text) as line_number,
+  conv_id, turn, role, md5(text) as text_md5 from conversations""",
+    "scan_files": """select 'CSV' as file_type, row_number() over (order by s_suppkey) + 1 as line_number,
+  's_name=' || s_name || ';s_suppkey=' || s_suppkey as fields from supplier
+union all select 'JSON', row_number() over (order by n_nationkey),
+  'n_name=' || n_name || ';n_nationkey=' || n_nationkey || ';n_regionkey=' || n_regionkey from nation""",
+    "scan_files_reports": """select 'csv' as extension, (select count(*) from supplier) as record_count, 'success' as status, null as error
+union all select 'json', (select count(*) from nation), 'success', null
+union all select 'parquet', 0, 'error',
+  'Unsupported file extension ''.parquet''. Supported: CSV, TSV, XLSX, XLS, JSON, JSONL, PDF, DOCX, TXT.'""",
+    "scan_jsonl": """select 'JSONL' as file_type, row_number() over (order by event_id) as line_number,
+  cast(json_extract_string(props, '$.k') as bigint) as k from events""",
     "text_cards": f"""{DOCUMENT_RECORDS.format(kind='TXT', line='5', fields="'Name=' || c_name || ';Segment=' || c_mktsegment")}
 union all {DOCUMENT_RECORDS.format(kind='TXT', line='6', fields="'NAME=second of ' || c_name")}""",
     "text_delimited": f"""{DOCUMENT_RECORDS.format(kind='TXT', line='2',
@@ -429,6 +440,9 @@ select id as record_id, case when found is not null or (key <> '' and id <> f) t
         f", {GROUPS} select row_number() over (order by first_duplicate_id)::bigint as group_id, primary_id, first_duplicate_id from g",
     ),
     "masters": cascade(CLEAN_PEOPLE, "select record_id from outcomes where not is_duplicate"),
+    "run_report": cascade(
+        CLEAN_PEOPLE, f"select {SUMMARY_COLUMNS}, 2::bigint as total_files_analyzed, 2::bigint as failed_files from outcomes"
+    ),
     "summary": cascade(CLEAN_PEOPLE, f"select {SUMMARY_COLUMNS} from outcomes"),
     "bucket_profile": f"with {CLEAN_PEOPLE} " + " union all ".join(profile_of(a, bucket_count(300)) for a in HASHES),
     "bucket_collisions": f"""with {CLEAN_PEOPLE},
