@@ -319,6 +319,11 @@ def records_json(spark, folder):
     return scan.record_documents(found)
 
 
+@query
+def outcomes_json(spark, folder):
+    return scan.record_documents(detect(people_records(spark, folder)))
+
+
 # -- schema mapping --------------------------------------------------------------------------------
 
 

@@ -355,6 +355,11 @@ select filename, case when unsupported then 0 else n end::bigint as record_count
   case when unsupported then 'Unsupported file extension ''.xyz''. Supported: CSV, TSV, XLSX, XLS, JSON, JSONL, PDF, DOCX, TXT.'
     when n = 0 then 'No records could be extracted from ''' || filename || '''. The file may be empty or unformatted.' end as error
 from n""",
+    "outcomes_json": cascade(
+        CLEAN_PEOPLE,
+        """select to_json({'record_id': record_id, 'is_duplicate': is_duplicate, 'duplicate_of_id': duplicate_of_id,
+  'duplicate_type': duplicate_type, 'matched_on': matched_on, 'confidence': confidence})::varchar as document from outcomes""",
+    ),
     # schema mapping
     "sanitize_field": f"with {HEADERS} select p_partkey, field from f",
     "canonical_field": canonical_sql(FieldMap()),
