@@ -1,14 +1,15 @@
 """The same results in plain SQL for an independent engine: ``name -> SQL``.
 
 None of these shares the blocking or the rounds of the library: pairs come from a nested loop over
-name profiles, and the possible tier walks the profiles one by one.
+name profiles, and the possible tier walks the profiles one by one.  The only thing taken from the library
+is its table of aliases; word lists and sizes are written out again.
 """
 
 from __future__ import annotations
 
-from rowkin.functions.cleaning import HONORIFICS, NULL_TOKENS, PLAIN_NULL_TOKENS
+import re
+
 from rowkin.functions.fields import FieldMap
-from rowkin.functions.keys import bucket_count
 from rowkin.plans.people import PEOPLE_SQL
 
 BLANK = (
@@ -16,6 +17,12 @@ BLANK = (
 )
 
 
+# Fixed values.
+HONORIFICS = ('mr', 'ms', 'mrs', 'dr', 'prof', 'er')
+NULL_TOKENS = ('none', 'null', 'nan', 'n/a', 'na', '-', '')
+PLAIN_NULL_TOKENS = ('none', 'null', 'nan')
+
+
 def quoted(*words: str) -> str:
     return ", ".join(f"'{w}'" for w in words)
 
@@ -201,9 +208,9 @@ f as (
 
 def canonical_sql(fields: FieldMap) -> str:
     pairs = [(a, f) for f, names in fields.aliases.items() for a in [f, *names]]
-    from rowkin.functions.fields import sanitize
-
-    values = ", ".join(f"({n}, '{sanitize(a)}', '{f}')" for n, (a, f) in enumerate(pairs))
+    # Sanitised again here: lower case, words joined by underscores, other signs dropped.
+    bare = [re.sub("[^a-z0-9_]", "", "_".join(re.split(r"[\s-]+", a.strip().lower()))) for a, _ in pairs]
+    values = ", ".join(f"({n}, '{a}', '{f}')" for n, (a, (_, f)) in enumerate(zip(bare, pairs, strict=True)))
     return f"""with {HEADERS},
 aliases as (select alias, max_by(field, n) as canonical from (values {values}) v(n, alias, field) group by alias)
 select p_partkey, coalesce(canonical, field) as field from f left join aliases on alias = field"""
@@ -449,7 +456,7 @@ select id as record_id, case when found is not null or (key <> '' and id <> f) t
         CLEAN_PEOPLE, f"select {SUMMARY_COLUMNS}, 2::bigint as total_files_analyzed, 2::bigint as failed_files from outcomes"
     ),
     "summary": cascade(CLEAN_PEOPLE, f"select {SUMMARY_COLUMNS} from outcomes"),
-    "bucket_profile": f"with {CLEAN_PEOPLE} " + " union all ".join(profile_of(a, bucket_count(300)) for a in HASHES),
+    "bucket_profile": f"with {CLEAN_PEOPLE} " + " union all ".join(profile_of(a, 401) for a in HASHES),
     "bucket_collisions": f"""with {CLEAN_PEOPLE},
 b as (select ({fnv1a('key')}) % 101 as bucket, count(*) as n from k where key <> '' group by 1)
 select sum(n)::bigint as inserts, count(*)::bigint as occupied_buckets, (sum(n) - count(*))::bigint as total_collisions from b""",
