@@ -10,12 +10,19 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Paths made inside the innermost :func:`dropping`.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``; a temporary one only on a local master."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -31,7 +38,27 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing has been written to."""
-    return f"{shared_folder(spark)}/rowkin/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/rowkin/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    if (made := _MADE.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def dropping(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove, in the end, the tables written inside; those taken off the list stay.
+
+    Nothing that is read later may depend on them: the result has to be written itself.
+    """
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield made
+    finally:
+        _MADE.reset(token)
+        for path in made:
+            name = spark._jvm.org.apache.hadoop.fs.Path(path)
+            name.getFileSystem(spark._jsc.hadoopConfiguration()).delete(name, True)
 
 
 @dataclass(frozen=True)

@@ -143,3 +143,16 @@ def test_stream_against_a_growing_master(spark, tmp_path):
     # A replay of the last batch changes nothing.
     sink(spark.createDataFrame(batches[1], schema), 1)
     assert spark.read.parquet(str(tmp_path / "master")).count() == 3
+
+
+def test_dropped_tables_are_gone_and_the_result_stays(spark):
+    import os
+
+    from rowkin.scratch import dropping, write_out
+
+    with dropping(spark) as made:
+        first = write_out(spark.range(5).toDF("x"), "first")
+        result = write_out(first.where("x > 2"), "result")
+        gone, kept = made[0], made.pop()
+    assert not os.path.exists(gone) and os.path.exists(kept)
+    assert sorted(r["x"] for r in result.collect()) == [3, 4]
