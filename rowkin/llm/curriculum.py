@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowkin.operators.numbering import number_rows
+from rowkin.llm.rows import bounded, keyed
 from rowkin.scratch import store, write_out
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -182,15 +183,13 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     """The documents of the mix in training order, with the columns of ``docs``.
 
     A document appears once per time it is taken; where the target falls inside one, its text is cut
-    after the words taken (the spaces between them stay).  ``docs`` is stored once, as its rows get
-    numbers that the plan refers to.
+    after the words taken (the spaces between them stay).
     """
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-    kept = write_out(docs.select(F.monotonically_increasing_id().alias("key"), whole), "mix-docs")
+    kept = keyed(docs, "mix-docs")
     rows = kept.select("key", *[F.col(f"doc.`{c}`").alias(c) for c in dict.fromkeys((id_col, text_col, source_col))])
     planned = plan(rows, id_col, text_col, source_col, key=F.col("key"))
-    times = scheduled(planned).select("key", "words", "size", "position")
-    joined = kept.join(times, "key").repartitionByRange("position").sortWithinPartitions("position", "key")
+    times = store(scheduled(planned).select("key", "words", "size", "position"), "mix-times")
+    joined = kept.join(bounded(times.table, times.rows), "key").repartitionByRange("position").sortWithinPartitions("position", "key")
     parts = F.regexp_extract_all(F.col(f"doc.`{text_col}`"), F.lit(rf"[\x20\x09-\x0D]*{WORD}"), 0)
     cut = F.when(F.col("words") < F.col("size"), F.array_join(F.slice(parts, F.lit(1), F.col("words").cast("int")), ""))
     text = F.coalesce(cut, F.col(f"doc.`{text_col}`"))

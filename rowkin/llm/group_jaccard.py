@@ -32,7 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowkin.scratch import store, write_out
+from rowkin.llm.rows import bounded, keyed
+from rowkin.scratch import dropping, store, write_out
 
 WORDS = 4
 PERCENT = 85
@@ -320,6 +321,14 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     with equal sets are linked, also where they repeat an id.  A null id is reachable but is no component's
     smallest unless it has only null ids.  An empty table gives no rows; other columns are not read.
     """
+    spark = docs.sparkSession
+    with dropping(spark) as made:
+        result = write_out(_components_of_rows(docs, id_col, text_col, words, percent), "jaccard-result")
+        made.pop()  # the result stays, all tables that led to it go
+    return result
+
+
+def _components_of_rows(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
@@ -384,14 +393,12 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest id, nulls last.
 
-    Rows without a word are components of their own and stay.  The rows are stored once, as they get the
-    numbers by which the join refers to them.
+    Rows without a word are components of their own and stay.
     """
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-    kept = write_out(docs.select(F.monotonically_increasing_id().alias("key"), whole), "jaccard-docs")
-    rows = kept.select("key", F.col(f"doc.`{id_col}`").alias("id"), F.col(f"doc.`{text_col}`").alias("text"))
-    found = joined(rows.select("key", "text"), "key", "text", words, percent)
+    rows = keyed(docs, "jaccard-docs")
+    found = joined(rows.select("key", F.col(f"doc.`{text_col}`").alias("text")), "key", "text", words, percent)
     order = F.struct(F.col("id").isNull(), "id", "key")
-    ids = kept.select("key", F.col(f"doc.`{id_col}`").alias("id"))
-    chosen = found.join(ids, "key").groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.key").alias("key"))
-    return kept.join(chosen, "key", "left_semi").select("doc.*")
+    ids = rows.select("key", F.col(f"doc.`{id_col}`").alias("id"))
+    first = found.join(ids, "key").groupBy("component_id").agg(F.min(order).alias("first"))
+    chosen = store(first.select(F.col("first.key").alias("key")), "jaccard-chosen")
+    return rows.join(bounded(chosen.table, chosen.rows), "key", "left_semi").select("doc.*")
