@@ -13,7 +13,8 @@ among the first ``n - ceil(t n) + 1`` of each, their prefixes.
    two sketches differ stand for shingles that only one of them has, so they bound the overlap.
 4. Documents with one prefix and size are a group: in a shingle's list they stand together, and a
    pair of groups is filtered once, by size and place, for all its members.
-5. Pairs that pass, and whose sketches allow it, are verified on whole sets, in rounds: a round takes as partners the first 1, 8, 64, ...
+   Entries carry the sketch folded to 128 bits, which bounds the overlap of shorter documents at once.
+5. Pairs that pass, and whose whole sketches allow it, are verified on whole sets, in rounds: a round takes as partners the first 1, 8, 64, ...
    entries of every list, and leaves out pairs already in one component, so a large group of copies
    costs a comparison or two per document and not all pairs.  Rounds end when every list is in one
    component or used up; no pair is left out for any other reason.
@@ -176,7 +177,9 @@ def _often(often: int):
     return run
 
 
-_ENTRY = np.dtype([("shingle", "<u8"), ("node", "<i8"), ("n", "<i4"), ("place", "<i4"), ("prefix", "<u8")])
+_ENTRY = np.dtype(
+    [("shingle", "<u8"), ("node", "<i8"), ("n", "<i4"), ("place", "<i4"), ("prefix", "<u8"), ("low", "<i8"), ("high", "<i8")]
+)
 
 
 def _entry_blocks(buckets: int, words: int, percent: int, often: np.ndarray):
@@ -193,6 +196,7 @@ def _entry_blocks(buckets: int, words: int, percent: int, often: np.ndarray):
                 part["shingle"], part["node"], part["n"] = prefix, node, len(made)
                 part["place"] = np.arange(len(prefix))
                 part["prefix"] = xxhash.xxh3_64_intdigest(prefix.tobytes())
+                part["low"], part["high"] = np.bitwise_xor.reduce(np.frombuffer(sketch(made), "<i8").reshape(-1, 2))
                 found.append(part)
             every = np.concatenate(found) if found else np.empty(0, _ENTRY)
             keys = every["shingle"].copy()
@@ -231,7 +235,7 @@ def _shared(often: np.ndarray):
     return run
 
 
-_SHARED = "shingle long, node long, n int, place int, prefix long"
+_SHARED = "shingle long, node long, n int, place int, prefix long, low long, high long"
 
 
 def _verified(words: int, percent: int):
@@ -362,14 +366,16 @@ def _components_of_rows(docs: DataFrame, id_col: str, text_col: str, words: int,
         place = Window.partitionBy("shingle").orderBy("n", "prefix", "node")
         ranked = open_lists.table.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= high)
         partners = ranked.where(F.col("rank") > low).select(
-            "shingle", *[F.col(c).alias(f"p_{c}") for c in ("node", "n", "place", "prefix", "label")]
+            "shingle", *[F.col(c).alias(f"p_{c}") for c in ("node", "n", "place", "prefix", "low", "high", "label")]
         )
         e, p = F.col("n"), F.col("p_n")
         reach = F.least("place", "p_place") + 1 + F.least(e - 1 - F.col("place"), p - 1 - F.col("p_place"))
+        differ = sum(F.bit_count(F.col(c).bitwiseXOR(F.col(f"p_{c}"))) for c in ("low", "high"))
         pairs = (
             open_lists.table.join(partners, "shingle")
             .where(F.struct("p_n", "p_prefix", "p_node") < F.struct("n", "prefix", "node"))
             .where(F.col("label") != F.col("p_label"))
+            .where((100 + percent) * (e + p - differ) >= 2 * percent * (e + p))
             .where((100 * p >= percent * e) & (reach >= _required(e, p, percent)))
             .select(F.col("node").alias("x"), F.col("p_node").alias("y"))
             .distinct()
