@@ -47,9 +47,9 @@ def test_only_a_limited_list_is_broadcast_on_purpose(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = plan_of(attach_first(df, "key"))
-        assert "TakeOrderedAndProject(limit=50000" in plan and "SortMergeJoin" in plan
-        # With a known small number of rows there is no list at all.
-        assert "TakeOrderedAndProject" not in plan_of(attach_first(df, "key", total=10))
+        # What is broadcast is the list of keys above the bound, which holds for at most hot_keys of them.
+        assert "> 200000" in plan and "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+        assert "> 200000" in plan_of(attach_first(df, "key", total=10))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
