@@ -16,6 +16,9 @@ from rowkin.scratch import write_out
 TOKENIZER = "byte_bpe_50k.json"
 #: Texts that are less near to every language than this are rejected: they are in none of them.
 LEAST_LANGUAGE_SCORE = 0.3
+#: The near-duplicate stage: word n-grams of this length, and this similarity or more.  op7_jaccard has its own contract.
+NEAR_WORDS = 5
+NEAR_PERCENT = 80
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +32,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join: one document of each component stays, the one with the smallest doc_id."""
-    return group_jaccard.one_of_each(docs)
+    return group_jaccard.one_of_each(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

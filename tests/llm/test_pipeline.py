@@ -1,5 +1,6 @@
 import corpus_pipeline as P
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from rowkin.llm import kk_packing, pii_anchors
 from rowkin.llm.queries import ORACLES, QUERIES, table
@@ -61,3 +62,21 @@ def test_repeated_rows(spark):
     docs = table(spark, SMALL, "documents")
     twice = docs.unionByName(docs.limit(5))
     assert P.keep_one_of_near_copies(spark, twice, SMALL).count() == P.keep_one_of_near_copies(spark, docs, SMALL).count()
+
+
+def test_near_copies_by_five_words_and_four_fifths(spark):
+    def text(name, n):
+        return [f"{name}{i}" for i in range(n)]
+
+    edited = [f"new{i}" if i % 46 == 20 else w for i, w in enumerate(text("b", 460))]
+    made = [
+        (1, text("a", 1000)), (2, text("a", 1200)),  # 0.83: 200 words appended
+        (3, text("b", 460)), (4, edited),  # 0.80 on five words, 0.84 on four: 10 words edited
+        (5, text("c", 1000)), (6, text("c", 1300)),  # 0.77
+    ]
+    docs = spark.createDataFrame([(i, " ".join(t), "en", "src0", 0) for i, t in made], table(spark, SMALL, "documents").schema)
+    both = docs.unionByName(table(spark, SMALL, "documents").withColumn("doc_id", F.col("doc_id") + 1000)).cache()
+    kept = {r["doc_id"] for r in P.keep_one_of_near_copies(spark, both, SMALL).collect()}
+    rows = [(r["doc_id"], r["text"]) for r in both.collect()]
+    assert kept & {1, 2, 3, 4, 5, 6} == {1, 3, 5, 6}
+    assert kept == {c if n else i for i, n, c in jaccard_components(rows, 5, 80)}
