@@ -8,13 +8,17 @@ down.  After each segment the part of a score still to come is bounded by
 this bound is below the k-th best proven score.  When few rows are possible, or no segment is left,
 the possible members are scored exactly in whole numbers.
 
+Rows whose squares sum to ``LARGEST`` or more could round in this arithmetic.  They are scored against
+all others in Python's whole numbers, after floating-point bounds have left few of them.
+
 Rows and queries are cut into blocks of fixed size, and every pair of blocks is one group: what a task
 holds is bounded whatever the size of the table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +30,8 @@ from rowkin.scratch import store
 SCALE = 256
 ROW_BLOCK = 8192
 QUERY_BLOCK = 2048
-#: Components from here on could overflow a score; such vectors take no part.
-LARGEST = 1 << 26
+#: Below this sum of squares every product and sum is exact in a double.
+LARGEST = 1 << 52
 #: Queries that go through the segments together; bounds the score matrix at 4 MB.
 STRIP = 64
 #: Once so few rows per query are possible, they are scored exactly.
@@ -35,26 +39,28 @@ FEW = 64
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """(vec_id, v array<bigint>): one row per id.
+    """(vec_id, v array<bigint>, x array<double>): ``floor(scale * x)`` of a vector as ``v``, or, if its squares
+    sum to ``LARGEST`` or more, divided by the scale as ``x``; the other one is null.
 
     Vectors that are null, empty or hold a null or non-finite component take no part, nor do those with a
-    component beyond ``LARGEST`` or a null id.  Rows that repeat an id count once, with the least vector.
+    null id.  Different vectors of one id are all kept; equal ones count once.
     """
-    x = F.transform(F.col(vector_col), lambda c: F.floor(c.cast("double") * scale))
-    fine = F.forall(
-        F.col(vector_col),
-        lambda c: F.coalesce(~F.isnan(c) & (F.abs(c.cast("double")) * scale < LARGEST), F.lit(False)),
-    )
-    rows = vectors.where(F.col(id_col).isNotNull() & (F.size(vector_col) > 0) & fine)
-    return rows.select(F.col(id_col).alias("vec_id"), x.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
-
-
-def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
-    """Rows of whole numbers; shorter vectors are filled up with zeros."""
+    c = F.col(vector_col).cast("array<double>")
+    finite = F.forall(c, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
+    rows = vectors.where(F.col(id_col).isNotNull() & (F.size(vector_col) > 0) & finite)
+    small = F.aggregate(c, F.lit(0.0), lambda a, x: a + F.floor(x * scale).cast("double") * F.floor(x * scale)) < LARGEST
+    v = F.transform(c, lambda x: F.floor(x * scale))
+    # From 2^53 on a double has no fraction.
+    x = F.transform(c, lambda x: F.when(F.abs(x * scale) < 2.0**53, F.floor(x * scale) / F.lit(float(scale))).otherwise(x))
+    return rows.select(F.col(id_col).alias("vec_id"), F.when(small, v).alias("v"), F.when(~small, x).alias("x")).distinct()
+
+
+def _matrix(column: pa.ChunkedArray, width: int, kind: type = np.int64) -> np.ndarray:
+    """Rows of numbers; shorter vectors are filled up with zeros."""
     lists = column.combine_chunks()
     lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
-    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    out = np.zeros((len(lengths), width), np.int64)
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(kind)
+    out = np.zeros((len(lengths), width), kind)
     at = np.arange(width)[None, :] < lengths[:, None]
     out[at] = flat
     return out
@@ -112,14 +118,78 @@ def best(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids:
     return np.concatenate(found_q), np.concatenate(found_r), np.concatenate(found_s)
 
 
+class Side:
+    """Rows of ``quantised`` with their ids: whole numbers exactly, and as doubles between -1 and 1 times powers of two."""
+
+    def __init__(self, rows: pa.Table, width: int, scale: int):
+        self.ids, self.scale = rows["vec_id"].to_numpy(), scale
+        self.large = ~rows["v"].is_valid().to_numpy()
+        self.v = np.zeros((len(rows), width), np.int64)
+        self.v[~self.large] = _matrix(rows["v"].filter(pa.array(~self.large)), width)
+        self.x = {}
+        real = self.v / scale
+        if self.large.any():
+            real[self.large] = _matrix(rows["x"].filter(pa.array(self.large)), width, np.float64)
+            self.x = {n: real[n] for n in np.flatnonzero(self.large)}
+        self.power = np.frexp(np.abs(real).max(axis=1))[1] if len(rows) else np.empty(0, np.int32)
+        self.unit = np.ldexp(real, -self.power[:, None])
+        self.norm = np.sqrt((self.unit**2).sum(axis=1))
+
+    def whole(self, n: int) -> list[int]:
+        if n not in self.x:
+            return self.v[n].tolist()
+        return [round(c * self.scale) if math.isfinite(c * self.scale) else int(c) * self.scale for c in self.x[n].tolist()]
+
+    def without_copies(self, among: np.ndarray, most: int) -> np.ndarray:
+        """``among``, but of equal rows only the ``most`` with the smallest ids."""
+        seen, keep = Counter(), []
+        for n in among[np.argsort(self.ids[among], kind="stable")]:
+            key = self.x[n].tobytes() if n in self.x else self.v[n].tobytes()
+            seen[n in self.x, key] += 1
+            if seen[n in self.x, key] <= most:
+                keep.append(n)
+        return np.array(sorted(keep), np.int64)
+
+
+def best_large(queries: Side, who: np.ndarray, rows: Side, which: np.ndarray, k: int):
+    """As ``best``, of the chosen queries and rows of any size."""
+    out = []
+    if len(who) and len(which):
+        which = rows.without_copies(which, k + 1)  # one of them may be the query's own
+        share = np.ldexp(1.0, rows.power[which] - rows.power[which].max())
+        error = (rows.unit.shape[1] + 8) * 2.0**-50
+        whole = {}
+        for at in range(0, len(who), STRIP):
+            q = who[at : at + STRIP]
+            score = (queries.unit[q] @ rows.unit[which].T) * share
+            slack = error * queries.norm[q, None] * (rows.norm[which] * share)[None, :] + 1e-300
+            possible = queries.ids[q, None] != rows.ids[None, which]
+            low = np.where(possible, score - slack, -np.inf)
+            if low.shape[1] > k:
+                possible &= score + slack >= np.partition(low, low.shape[1] - k, axis=1)[:, -k][:, None]
+            for n, some in zip(q, possible, strict=True):
+                mine, found = queries.whole(n), []
+                for r in which[some]:
+                    if r not in whole:
+                        whole[r] = rows.whole(r)
+                    found.append((-sum(a * b for a, b in zip(mine, whole[r], strict=True)), rows.ids[r], r))
+                out += [(n, r, -s) for s, _, r in sorted(found)[:k]]
+    for n, r, s in out:
+        if not -(1 << 63) <= s < 1 << 63:
+            raise OverflowError(f"the score {s} of vectors {queries.ids[n]} and {rows.ids[r]} is no bigint")
+    found_q, found_r, found_s = zip(*out, strict=True) if out else ((), (), ())
+    return np.array(found_q, np.int64), np.array(found_r, np.int64), np.array(found_s, np.int64)
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
           scale: int = SCALE) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k best rows of every query, ties to the smaller id.
 
     ``is_query`` is a condition on ``vec_id``.  A query with fewer candidates than k gets them all; an
-    empty table gives no rows.
+    empty table gives no rows.  Different vectors of one query id are one query: its best pairs count.  A score
+    that does not fit a bigint is an error.
     """
-    saved = store(quantised(vectors, id_col, vector_col, scale), "impact-rows", queries=F.count(F.when(is_query, 1)), width=F.max(F.size("v")))
+    saved = store(quantised(vectors, id_col, vector_col, scale), "impact-rows", queries=F.count(F.when(is_query, 1)), width=F.max(F.size(F.coalesce("x", F.col("v").cast("array<double>")))))
     row_blocks = max(1, -(-saved.rows // ROW_BLOCK))
     query_blocks = max(1, -(-saved.figures["queries"] // QUERY_BLOCK))
     width = saved.figures["width"] or 1
@@ -130,14 +200,26 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     def every(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    rows = saved.table.select(block(row_blocks, 1).alias("rb"), every(query_blocks).alias("qb"), "vec_id", "v")
-    queries = saved.table.where(is_query).select(every(row_blocks).alias("rb"), block(query_blocks, 2).alias("qb"), "vec_id", "v")
+    rows = saved.table.select(block(row_blocks, 1).alias("rb"), every(query_blocks).alias("qb"), "vec_id", "v", "x")
+    queries = saved.table.where(is_query).select(every(row_blocks).alias("rb"), block(query_blocks, 2).alias("qb"), "vec_id", "v", "x")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        q, r = _matrix(left["v"], width), _matrix(right["v"], width)
-        q_ids, r_ids = left["vec_id"].to_numpy(), right["vec_id"].to_numpy()
-        who, which, score = best(q, q_ids, r, r_ids, k)
-        return pa.table({"query_id": q_ids[who], "vec_id": r_ids[which], "score": score})
+        large = left["v"].null_count or right["v"].null_count
+        if not large:
+            q, r = _matrix(left["v"], width), _matrix(right["v"], width)
+            q_ids, r_ids = left["vec_id"].to_numpy(), right["vec_id"].to_numpy()
+            who, which, score = best(q, q_ids, r, r_ids, k)
+            return pa.table({"query_id": q_ids[who], "vec_id": r_ids[which], "score": score})
+        q, r = Side(left, width, scale), Side(right, width, scale)
+        small_q, small_r = np.flatnonzero(~q.large), np.flatnonzero(~r.large)
+        who, which, score = best(q.v[small_q], q.ids[small_q], r.v[small_r], r.ids[small_r], k)
+        found = [
+            (small_q[who], small_r[which], score),
+            best_large(q, small_q, r, np.flatnonzero(r.large), k),
+            best_large(q, np.flatnonzero(q.large), r, np.arange(len(r.ids)), k),
+        ]
+        who, which, score = (np.concatenate(x) for x in zip(*found, strict=True))
+        return pa.table({"query_id": q.ids[who], "vec_id": r.ids[which], "score": score})
 
     kind = saved.table.schema["vec_id"].dataType.simpleString()
     part = (
