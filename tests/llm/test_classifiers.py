@@ -140,3 +140,12 @@ def test_url_score_is_that_of_the_weights(spark):
     features = pages.select(U.buckets(host, path)).first()[0]
     z = 0.5 + sum(weights[b] for b in features) / len(features) ** 0.5
     assert abs(U.judged(pages, (weights, 0.5)).first()["score"] - 1 / (1 + np.exp(-z))) < 1e-12
+
+
+def test_fitting_sample_holds_2000_positive_and_5000_unlabelled_texts(spark, monkeypatch):
+    sizes = []
+    monkeypatch.setattr(N, "fit", lambda positive, unlabelled, prior: sizes.append((len(positive), len(unlabelled))))
+    docs = spark.range(5000).selectExpr("id as doc_id", "concat('text ', id) as text")
+    labels = spark.range(2500).selectExpr("id as doc_id", "cast(id < 2000 as int) as toxic")
+    N.train(docs, labels)
+    assert sizes == [(2000, 5000)]
