@@ -88,13 +88,19 @@ def scan_csv(
     Cells are stripped, missing ones are "", extra ones dropped, rows without any value skipped.
     Quoted cells may hold line breaks only with ``multi_line``, which keeps Spark from splitting a file
     over tasks: turn it off for large files without such cells.  ``inspected`` is the outcome of
-    :func:`inspect_files`, where the caller has it already.
+    :func:`inspect_files`, where the caller has it already, and reports what :func:`failed_files` says;
+    without it a header longer than ``MOST_HEADER`` is an error.
     """
+    reported = inspected is not None
     if inspected is None:
         inspected = inspect_files(spark, paths)
     # One row per file: the file listing, which the driver holds for any scan.
     kinds = defaultdict(list)
-    for row in inspected.where("header is not null").select("path", "header", "sep", "encoding").toLocalIterator():
+    for row in inspected.select("path", "header", "header_chars", "sep", "encoding").toLocalIterator():
+        if row["header"] is None:
+            if not reported:
+                raise ValueError(f"{row['path']}: {TOO_LONG % row['header_chars']}")
+            continue
         found = sep or row["sep"]
         if multi_line and row["header"].count('"') % 2:  # a quoted cell of the header goes on behind the line
             names = _first_record(spark, row["path"], found, row["encoding"])

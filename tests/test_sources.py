@@ -279,6 +279,16 @@ def test_one_overlong_header_fails_its_file_alone(spark, tmp_path, monkeypatch):
     assert found["bad.csv"] == (0, "error", "Error parsing 'bad.csv': header line of 200000 characters")
 
 
+@pytest.mark.parametrize("read", [delimited.scan_csv, delimited.scan_tsv])
+def test_an_overlong_header_without_a_report_is_an_error(spark, tmp_path, monkeypatch, read):
+    monkeypatch.setattr(delimited, "MOST_HEADER", 1000)
+    write(tmp_path, "good.csv", "name\nArun\n")
+    assert read(spark, str(tmp_path)).count() == 1
+    write(tmp_path, "bad.csv", "x" * 2000 + "\n1\n")
+    with pytest.raises(ValueError, match="bad.csv: header line of 2000 characters"):
+        read(spark, str(tmp_path))
+
+
 def test_files_of_one_name_are_told_apart(spark, tmp_path):
     for folder, text in (("a b", "n\n1\n2\n3\n"), ("c+d", "n\n4\n"), ("e", "\n")):
         (tmp_path / folder).mkdir()
