@@ -14,6 +14,7 @@ from rowkin.llm import (
     impact_topk,
     kk_packing,
     nnpu_toxicity,
+    periodic_runs,
     pii_anchors,
     quality_rules,
     rank_language,
@@ -92,6 +93,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.found_runs(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_pii": op2_pii,
@@ -103,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_topk": op9_topk,
     "op10_toxicity": op10_toxicity,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
