@@ -13,6 +13,7 @@ from rowkin.llm import (
     group_jaccard,
     impact_topk,
     kk_packing,
+    multi_index,
     nnpu_toxicity,
     periodic_runs,
     pii_anchors,
@@ -97,6 +98,10 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic_runs.found_runs(table(spark, folder, "documents"))
 
 
+def op12_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    return multi_index.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_pii": op2_pii,
@@ -109,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_topk": op9_topk,
     "op10_toxicity": op10_toxicity,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_multi_index": op12_multi_index,
 }
 
 ORACLES: dict[str, str] = {
