@@ -17,6 +17,7 @@ from rowkin.llm import (
     nnpu_toxicity,
     periodic_runs,
     pii_anchors,
+    prefix_trie,
     quality_rules,
     rank_language,
     suffix_dedup,
@@ -102,6 +103,10 @@ def op12_multi_index(spark: SparkSession, folder: str) -> DataFrame:
     return multi_index.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_pii": op2_pii,
@@ -115,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_multi_index": op12_multi_index,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
