@@ -8,7 +8,8 @@ maximal independent set of the match graph.  It is computed as Spark jobs (Blell
 2. a front of the earliest waiting names is taken, as long as its candidate pairs stay within a
    budget that is linear in the waiting names; dense neighbourhoods make the front shorter, so a
    cluster of n similar names never forms its n * n pairs;
-3. inside the front, rounds settle names whose earlier neighbours are all settled;
+3. inside the front, rounds settle all names whose fate follows from one range of ids, and chains of
+   names that each hang on one other, however long;
 4. the new unique names claim their later neighbours, which leave; then the next front is taken.
 """
 
@@ -19,6 +20,7 @@ from math import sqrt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowkin.operators import chains
 from rowkin.operators.blocking import (
     CONTEXT_FIELDS,
     MIN_NAME,
@@ -30,7 +32,7 @@ from rowkin.operators.blocking import (
     verified_pairs,
 )
 from rowkin.operators.skew import attach_first, left_join_by_key
-from rowkin.scratch import Stored, store, write_out
+from rowkin.scratch import Growing, Stored, store, write_out
 from rowkin.settings import DEFAULTS, MatchSettings
 
 
@@ -89,20 +91,18 @@ def match_names(
 def _settle(firsts: DataFrame, total: int, settings: MatchSettings) -> DataFrame:
     names = store_names(scoped_names(firsts, settings, total))
     waiting, figures = names.table, names.figures
-    found = []
+    found = Growing(firsts.sparkSession, "settled")
     while True:
         front, cut, candidates = _take_front(waiting, figures, total, settings)
         pairs = store(verified_pairs(candidates), "pairs")
         beaten = _eliminate(pairs, settings)
-        found.append(_first_anchor(pairs.table.join(beaten.withColumnRenamed("id", "j"), "j", "left_anti")))
+        found.add(_first_anchor(pairs.table.join(beaten.withColumnRenamed("id", "j"), "j", "left_anti")))
         if cut is None:
-            break
+            return found.table().drop("step")
         unique = front.join(beaten, "id", "left_anti")
         later = waiting.where(F.col("id") > cut)
-        claimed = write_out(_first_anchor(_across(unique, later, figures, settings)), "claimed")
-        found.append(claimed)
+        claimed = found.add(_first_anchor(_across(unique, later, figures, settings))).table
         waiting = write_out(later.join(claimed.select("id"), "id", "left_anti"), "names")
-    return write_out(_union(found), "settled")
 
 
 def _take_front(waiting: DataFrame, figures: dict, total: int, settings: MatchSettings):
@@ -149,53 +149,19 @@ def _first_anchor(pairs: DataFrame) -> DataFrame:
 def _eliminate(pairs: Stored, settings: MatchSettings) -> DataFrame:
     """``(id)`` of the records with an earlier unique partner.
 
-    Round: a record with partners but no earlier open one is unique; its later partners are beaten
-    and leave with all their pairs.  The open pairs shrink every round, and no round is skipped.
+    A round settles every record whose fate follows from what one range of ids knows, and whole chains of
+    records that hang on a single other one.  Beaten records leave with their pairs; the rest goes on.
     """
-    beaten = [pairs.table.select(F.col("i").alias("id")).limit(0)]
-    waiting = Stored(pairs.table.select("i", "j"), pairs.rows, {})
-    rounds = 0
-    while waiting.rows:
-        if settings.max_rounds is not None and rounds >= settings.max_rounds:
-            raise RuntimeError(f"names are not settled after {rounds} rounds; raise max_rounds")
-        rounds += 1
-        lost = write_out(_beaten_now(waiting, settings), "beaten")
-        beaten.append(lost)
-        waiting = store(
-            waiting.table.join(lost.withColumnRenamed("id", "i"), "i", "left_anti").join(
-                lost.withColumnRenamed("id", "j"), "j", "left_anti"
-            ),
-            "open",
-        )
-    return _union(beaten)
-
-
-def _beaten_now(waiting: Stored, settings: MatchSettings) -> DataFrame:
-    """Records that meet a partner which has no earlier partner itself."""
-    one, zero = F.lit(1), F.lit(0)
-    ends = waiting.table.select(
-        F.inline(
-            F.array(
-                F.struct(F.col("i").alias("id"), one.alias("later")),
-                F.struct(F.col("j").alias("id"), zero.alias("later")),
-            )
-        )
-    )
-    # Partial aggregation first: a record with very many pairs sends one row per task.
-    unique = (
-        ends.groupBy("id")
-        .agg(F.sum("later").alias("earlier_partners"), F.count(one).alias("n"))
-        .where("earlier_partners = 0")
-        .select(F.col("id").alias("j"), "n")
-    )
-    met = left_join_by_key(
-        waiting.table, unique, "j", F.col("i"), settings=settings, total=waiting.rows
-    ).where("n is not null")
-    return met.select(F.col("i").alias("id")).distinct()
-
-
-def _union(tables: list[DataFrame]) -> DataFrame:
-    whole = tables[0]
-    for table in tables[1:]:
-        whole = whole.unionByName(table)
-    return whole
+    beaten = Growing(pairs.table.sparkSession, "beaten")
+    waiting, links = Stored(pairs.table.select("i", "j"), pairs.rows, {}), 0
+    while True:
+        fates = chains.fates(waiting, settings)
+        links += fates.figures["links"] or 0
+        if settings.max_rounds is not None and links > settings.max_rounds:
+            raise RuntimeError(f"names that settle each other in a chain of {links} links; raise max_rounds")
+        lost = beaten.add(fates.table.where(F.col("fate") == chains.BEATEN).select("id"))
+        if not fates.figures["open"]:
+            return beaten.table().select("id")
+        still = fates.table.where(F.col("fate") >= chains.FOLLOWS).select(F.col("id").alias("i"))
+        rest = waiting.table.join(still, "i", "left_semi")
+        waiting = store(rest.join(lost.table.withColumnRenamed("id", "j"), "j", "left_anti"), "open")

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 #: Paths made inside the innermost :func:`dropping`.
@@ -75,14 +76,34 @@ def store(df: DataFrame, label: str, **figures: Column) -> Stored:
 
     ``figures`` are further aggregates to observe on the way.
     """
-    spark = df.sparkSession
-    path = fresh_path(spark, label)
+    return _written(df, fresh_path(df.sparkSession, label), figures)
+
+
+def _written(df: DataFrame, path: str, figures: dict[str, Column]) -> Stored:
     seen = Observation()
     watched = [F.count(F.lit(1)).alias("rows"), *[value.alias(name) for name, value in figures.items()]]
     df.observe(seen, *watched).write.parquet(path)
     values = seen.get
-    return Stored(spark.read.schema(df.schema).parquet(path), values["rows"], values)
+    return Stored(df.sparkSession.read.schema(df.schema).parquet(path), values["rows"], values)
 
 
 def write_out(df: DataFrame, label: str) -> DataFrame:
     return store(df, label).table
+
+
+class Growing:
+    """One table written in steps: each adds a folder, and reading it is one scan however many there were."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.path, self.steps, self.schema = spark, fresh_path(spark, label), 0, None
+
+    def add(self, df: DataFrame, **figures: Column) -> Stored:
+        """Write ``df`` as the next step and return what was written."""
+        path = f"{self.path}/step={self.steps}"
+        self.steps, self.schema = self.steps + 1, df.schema
+        return _written(df, path, figures)
+
+    def table(self) -> DataFrame:
+        """All steps so far, with their number as ``step``."""
+        whole = T.StructType([*self.schema, T.StructField("step", T.IntegerType())])
+        return self.spark.read.schema(whole).parquet(self.path)

@@ -21,7 +21,8 @@ class MatchSettings:
                     name has signatures.
     pair_budget     candidate pairs of one name-matching round below which the round is not cut.
     pairs_per_name  candidate pairs per waiting name allowed in a round above that budget.
-    max_rounds      stop with an error after so many elimination rounds; None means no limit.
+    max_rounds      stop with an error where names settle each other in a chain of more links than that; None
+                    means no limit.
     """
 
     hot_rows: int = 200_000
