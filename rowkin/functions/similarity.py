@@ -48,3 +48,25 @@ def bounded_distance(a: Column, b: Column, theta: Column) -> Column:
 def ratio_of(distance: Column, a: Column, b: Column) -> Column:
     """Similarity of two non-empty strings with a known distance."""
     return _ratio(distance, F.greatest(F.length(a), F.length(b)))
+
+
+def letter_marks(text: Column) -> Column:
+    """64 bits that say which of 32 classes of characters a text has, and which it has twice or more."""
+
+    def marked(seen: Column, letter: Column) -> Column:
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.ascii(letter) % 32)
+        return F.struct(
+            seen["once"].bitwiseOR(bit).alias("once"), seen["twice"].bitwiseOR(seen["once"].bitwiseAND(bit)).alias("twice")
+        )
+
+    none = F.lit(0).cast("bigint")
+    return F.aggregate(
+        F.split(text, ""), F.struct(none.alias("once"), none.alias("twice")), marked,
+        lambda seen: seen["once"].bitwiseOR(F.shiftleft(seen["twice"], 32)),
+    )
+
+
+def least_edits(marks_a: Column, marks_b: Column) -> Column:
+    """No fewer edits than this turn one text into the other: an edit makes up for one mark on either side."""
+    lacks = lambda a, b: F.bit_count(a.bitwiseAND(F.bitwise_not(b)))
+    return F.greatest(lacks(marks_a, marks_b), lacks(marks_b, marks_a))

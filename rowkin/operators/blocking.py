@@ -6,6 +6,11 @@ edits t by the longer length L, so the shorter name cut into t + 1 pieces keeps
 intact in the longer one (pigeonhole; Li, Deng, Wang, Feng 2011, "Pass-Join: A Partition-based Method
 for Similarity Joins").  Equal pieces turn the theta join into a hash join.
 
+One short piece says little where very many names share a context, and candidates grow with the square of
+the names.  There the shorter name is cut into t + 2 pieces, two of which must be intact, in places that leave
+enough edits before, between and behind them; the pair is the key.  Before any two names are compared, the
+letters that only one of them has bound their distance.
+
 Rows that describe names here are ``(id, name, scope)``: ``scope`` is "" for the strict tier and
 ``field=value`` for a shared context.
 """
@@ -13,11 +18,14 @@ Rows that describe names here are ``(id, name, scope)``: ``scope`` is "" for the
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
+from itertools import combinations, product
+from math import inf
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from rowkin.functions.similarity import bounded_distance, max_edits, ratio_of
+from rowkin.functions.similarity import bounded_distance, least_edits, letter_marks, max_edits, ratio_of
 from rowkin.operators.skew import left_join_by_key
 from rowkin.scratch import Stored, store, write_out
 from rowkin.settings import DEFAULTS, MatchSettings
@@ -32,24 +40,30 @@ CONTEXT_FIELDS = ("department", "company", "address")
 # the most selective key.  The number of such keys grows with the cube of the edits, so longer names
 # use pieces keyed by their text alone, which grows linearly.
 _PLACED_LENGTH = 40
+# Up to this longer length two pieces may be asked for; the ways to place them grow fast with the edits.
+_PAIRED_LENGTH = 23
+# Ways to place two pieces of a name of 12 letters, beyond those to place one: the measure of ``large_context``.
+_USUAL_PLACES = 240
 
 
 def scoped_names(
     nodes: DataFrame, settings: MatchSettings = DEFAULTS, total: int | None = None
 ) -> DataFrame:
-    """``(id, name, len, scope, direct)``: the strict scope of every name and each context it shares.
+    """``(id, name, marks, len, scope, direct, members)``: the strict scope of every name and each context it shares.
 
     A context with one member has no pair to offer and is dropped.  ``direct`` marks the contexts
-    small enough to compare all their members, a bounded number of comparisons per name.
+    small enough to compare all their members, a bounded number of comparisons per name.  ``members`` is
+    the size of a context, 0 for the strict scope.
     """
-    named = nodes.where(F.length("name") >= MIN_NAME)
+    named = nodes.where(F.length("name") >= MIN_NAME).select("*", letter_marks(F.col("name")).alias("marks"))
     strict = named.select(
-        "id", "name", F.length("name").alias("len"), F.lit("").alias("scope"), F.lit(False).alias("direct")
+        "id", "name", "marks", F.length("name").alias("len"), F.lit("").alias("scope"), F.lit(False).alias("direct"),
+        F.lit(0).cast("bigint").alias("members"),
     )
     contexts = [
         F.when(F.col(field) != "", F.concat(F.lit(f"{field}="), F.col(field))) for field in CONTEXT_FIELDS
     ]
-    shared = named.select("id", "name", F.explode(F.array_compact(F.array(*contexts))).alias("scope"))
+    shared = named.select("id", "name", "marks", F.explode(F.array_compact(F.array(*contexts))).alias("scope"))
     members = shared.groupBy("scope").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     sized = left_join_by_key(
         shared,
@@ -63,9 +77,11 @@ def scoped_names(
         sized.select(
             "id",
             "name",
+            "marks",
             F.length("name").alias("len"),
             "scope",
             (F.col("n") <= settings.small_context).alias("direct"),
+            F.col("n").alias("members"),
         )
     )
 
@@ -77,6 +93,7 @@ def store_names(scoped: DataFrame) -> Stored:
         "names",
         longest=F.coalesce(F.max("len"), F.lit(0)),
         direct=F.count_if("direct"),
+        members=F.coalesce(F.max("members"), F.lit(0).cast("bigint")),
         # One bit per length in use: lengths nobody has need no block.
         lengths=F.coalesce(
             F.bit_or(
@@ -90,30 +107,84 @@ def store_names(scoped: DataFrame) -> Stored:
     )
 
 
-def short_side(scoped: DataFrame, figures: dict) -> DataFrame:
-    """``(scope, block, id, name)``: names cut into pieces, to be found inside names as long or longer."""
-    return _keyed(scoped, _short_placed, _short_free, figures)
+KEYED = ("scope", "block", "id", "name", "marks")
+
+
+def short_side(scoped: DataFrame, figures: dict, settings: MatchSettings = DEFAULTS) -> DataFrame:
+    """Names cut into pieces, to be found inside names as long or longer, as ``KEYED`` says."""
+    return _keyed(scoped, _short_placed, _short_free, figures, settings, "short")
 
 
-def long_side(scoped: DataFrame, figures: dict) -> DataFrame:
-    """``(scope, block, id, name)``: the substrings of names where a piece may turn up."""
-    return _keyed(scoped, _long_placed, _long_free, figures)
+def long_side(scoped: DataFrame, figures: dict, settings: MatchSettings = DEFAULTS) -> DataFrame:
+    """The substrings of names where a piece may turn up, as ``KEYED`` says."""
+    return _keyed(scoped, _long_placed, _long_free, figures, settings, "long")
 
 
-def _keyed(scoped: DataFrame, placed, free, figures: dict) -> DataFrame:
+def _keyed(scoped: DataFrame, placed, free, figures: dict, settings: MatchSettings, side: str) -> DataFrame:
     cut = scoped.where("not direct").withColumn("theta", _theta())
     in_use = [n for n in range(_PLACED_LENGTH + 1) if figures["lengths"] >> n & 1]
-    parts = [placed(cut, in_use)]
+    paired = {n: least for n in in_use if (least := _least_members(n, settings)) <= figures["members"]}
+    # In a context that asks for two pieces of a length, one piece is no key.
+    single = [F.when(F.col("long_len") == n, F.col("members") < least) for n, least in paired.items()]
+    parts = [placed(cut, in_use).where(F.coalesce(*single, F.lit(True)))]
+    if paired:
+        parts.append(_paired(cut, side, paired, in_use))
     if figures["longest"] > _PLACED_LENGTH:
         parts.append(free(cut))
     if figures["direct"]:
         parts.append(scoped.where("direct").withColumn("block", F.lit(0).cast("bigint")))
-    whole = parts[0].select("scope", "block", "id", "name")
+    whole = parts[0].select(*KEYED)
     for part in parts[1:]:
-        whole = whole.unionByName(part.select("scope", "block", "id", "name"))
+        whole = whole.unionByName(part.select(*KEYED))
     return whole
 
 
+@cache
+def places(longer: int, side: str) -> list[tuple[int, ...]]:
+    """Ways to place two of the t + 2 pieces of a shorter name in one of ``longer`` letters, loose tier:
+    ``(len, short_len, long_len, a, b, at_a, size_a, at_b, size_b)``.
+
+    A piece that is moved by s takes s edits before it, and the letters behind the last one have to make up
+    for the rest of the difference in length.
+    """
+    t = max(d for d in range(longer) if 1.0 - d / longer >= LOOSE)
+    found = []
+    for shorter in range(max(MIN_NAME, longer - t), longer + 1):
+        small, larger = divmod(shorter, t + 2)
+        sizes = [small + (k >= t + 2 - larger) for k in range(t + 2)]
+        starts = [sum(sizes[:k]) for k in range(t + 2)]
+        for a, b in combinations(range(t + 2), 2):
+            pair = (shorter, longer, a, b)
+            if side == "short":
+                found.append((shorter, *pair, starts[a], sizes[a], starts[b], sizes[b]))
+                continue
+            for x, y in product(range(-t, t + 1), repeat=2):
+                at_a, at_b = starts[a] + x, starts[b] + y
+                room = at_a >= 0 and at_b >= at_a + sizes[a] and at_b + sizes[b] <= longer
+                if room and abs(x) + abs(y - x) + abs(longer - shorter - y) <= t:
+                    found.append((longer, *pair, at_a, sizes[a], at_b, sizes[b]))
+    return found
+
+
+def _least_members(longer: int, settings: MatchSettings) -> float:
+    """Members of a context from which on names of this longer length are found by two pieces."""
+    if longer > _PAIRED_LENGTH:
+        return inf
+    return max(1.0, len(places(longer, "long")) / _USUAL_PLACES) * settings.large_context
+
+
+def _paired(scoped: DataFrame, side: str, paired: dict[int, float], in_use: list[int]) -> DataFrame:
+    rows = [(*row, least) for n, least in paired.items() for row in places(n, side) if row[1] in in_use]
+    ways = scoped.sparkSession.createDataFrame(
+        rows, "len int, short_len int, long_len int, a int, b int, at_a int, size_a int, at_b int, size_b int, least double"
+    )
+    piece = lambda k: F.substring(F.col("name"), F.col(f"at_{k}") + 1, F.col(f"size_{k}"))
+    block = F.xxhash64(F.lit("pair"), "short_len", "long_len", "a", "b", piece("a"), piece("b"))
+    # A fixed table of at most some 30,000 rows.
+    found = scoped.join(F.broadcast(ways), "len").where(F.col("members") >= F.col("least"))
+    return found.withColumn("block", block)
+
+
 def _theta() -> Column:
     return F.when(F.col("scope") == "", F.lit(STRICT)).otherwise(F.lit(LOOSE))
 
@@ -149,6 +220,7 @@ def _long_placed(scoped: DataFrame, in_use: list[int]) -> DataFrame:
     return (
         scoped.where(F.col("len") <= _PLACED_LENGTH)
         .withColumn("t", max_edits(F.col("len"), F.col("theta")))
+        .withColumn("long_len", F.col("len"))
         .withColumn("short_len", F.explode(F.sequence(shortest, F.col("len"))))
         .where(F.col("short_len").isin(in_use))
         .withColumn("k", F.explode(F.sequence(F.lit(0), F.col("t"))))
@@ -263,8 +335,10 @@ def verified_pairs(candidates: Candidates) -> DataFrame:
     ``i`` is the later record.  Hot blocks are split over a grid of tasks, by the bounded broadcast list
     of :func:`measure`.
     """
-    left = candidates.short.select("scope", "block", F.col("id").alias("a"), F.col("name").alias("name_a"))
-    right = candidates.long.select("scope", "block", F.col("id").alias("b"), F.col("name").alias("name_b"))
+    left, right = (
+        side.select("scope", "block", *[F.col(c).alias(f"{c}_{end}") for c in ("name", "marks")], F.col("id").alias(end))
+        for side, end in ((candidates.short, "a"), (candidates.long, "b"))
+    )
     keys = ["scope", "block"]
     if candidates.hot is not None:
         left = _on_grid(left, candidates.hot, "a", "salt_a", "salt_b")
@@ -276,7 +350,7 @@ def verified_pairs(candidates: Candidates) -> DataFrame:
     distance = bounded_distance(F.col("name_a"), F.col("name_b"), _theta())
     return (
         left.join(right, keys)
-        .where(ordered & (size_b - size_a <= max_edits(size_b, F.lit(LOOSE))))
+        .where(ordered & (F.greatest(size_b - size_a, least_edits(F.col("marks_a"), F.col("marks_b"))) <= max_edits(size_b, _theta())))
         .where(distance >= 0)
         .groupBy(F.greatest("a", "b").alias("i"), F.least("a", "b").alias("j"))
         .agg(F.max(ratio_of(distance, F.col("name_a"), F.col("name_b"))).alias("similarity"))

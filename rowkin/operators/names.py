@@ -61,7 +61,7 @@ def possible_pairs(rows: DataFrame, settings: MatchSettings = DEFAULTS) -> DataF
 
 
 def _candidates(shorter: DataFrame, longer: DataFrame, figures: dict, settings: MatchSettings):
-    return measure(short_side(shorter, figures), long_side(longer, figures), settings)
+    return measure(short_side(shorter, figures, settings), long_side(longer, figures, settings), settings)
 
 
 def match_names(

@@ -19,6 +19,9 @@ class MatchSettings:
     small_context   members of a context up to which all of them are compared; larger contexts are
                     compared by segment signatures.  About as many comparisons as a 20 character
                     name has signatures.
+    large_context   members of a context from which on short names have to share two pieces instead of one: more
+                    signatures a name, far fewer candidates.  Longer names, which have more signatures, change
+                    over later.
     pair_budget     candidate pairs of one name-matching round below which the round is not cut.
     pairs_per_name  candidate pairs per waiting name allowed in a round above that budget.
     max_rounds      stop with an error where names settle each other in a chain of more links than that; None
@@ -29,6 +32,7 @@ class MatchSettings:
     hot_keys: int = 50_000
     broadcast_rows: int = 500_000
     small_context: int = 400
+    large_context: int = 50_000
     pair_budget: int = 5_000_000
     pairs_per_name: int = 100
     max_rounds: int | None = None
