@@ -14,6 +14,7 @@ from rowkin.operators.details import details
 from rowkin.operators.exact import distinct_first, match_exact
 from rowkin.operators.lookup import incremental_match, key_lookup
 from rowkin.operators.names import match_names, possible_pairs
+from rowkin.operators.numbering import number_rows
 from rowkin.plans.detect import detect, match_tier, run_key_tiers, with_outcomes
 from rowkin.plans.people import people
 from rowkin.plans.records import clean_columns, match_rows, records_from_maps
@@ -103,15 +104,31 @@ CUSTOMER = {
 SUPPLIER = {"s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double"}
 
 
-def _in_order(df: DataFrame, *order: str) -> DataFrame:
-    """Test data for one file, so that line numbers are known."""
-    return df.repartition(1).sortWithinPartitions(*order)
+#: Rows of a file that a scan query writes: files stay small and their number grows with the table.
+ROWS_PER_FILE = 250
+
+
+def _in_files(df: DataFrame, *order: str) -> DataFrame:
+    """The rows in order, dealt over ``part`` after ``part``, so that file and line of each are known."""
+    numbered = number_rows(df, list(order), "n").withColumn("part", F.floor((F.col("n") - 1) / ROWS_PER_FILE))
+    return numbered.repartition("part").sortWithinPartitions("part", "n").drop("n")
+
+
+def _written_parts(spark, df: DataFrame, kind: str, **options) -> str:
+    """Files of ``_in_files`` rows, as a pattern of their names."""
+    path = fresh_path(spark, f"scan-{kind}")
+    df.write.partitionBy("part").options(**options).format(kind).save(path)
+    return f"{path}/part=*/part-*"
+
+
+def _part(path: str = "source_path") -> Column:
+    return F.regexp_extract(path, "/part=([0-9]+)/", 1).cast("bigint").alias("part")
 
 
 @query
 def scan_csv(spark, folder):
-    path = _written(spark, _in_order(table(spark, folder, "customer"), "c_custkey"), "csv", header=True)
-    return _read_back(delimited.scan_csv(spark, path), CUSTOMER, "file_type", "line_number")
+    path = _written_parts(spark, _in_files(table(spark, folder, "customer"), "c_custkey"), "csv", header=True)
+    return _read_back(delimited.scan_csv(spark, path), CUSTOMER, _part(), "file_type", "line_number")
 
 
 @query
@@ -130,20 +147,21 @@ def scan_csv_sniff(spark, folder):
 
 @query
 def scan_tsv(spark, folder):
-    path = _written(spark, _in_order(table(spark, folder, "supplier"), "s_suppkey"), "csv", header=True, sep="\t")
-    return _read_back(delimited.scan_tsv(spark, path), SUPPLIER, "file_type", "line_number")
+    path = _written_parts(spark, _in_files(table(spark, folder, "supplier"), "s_suppkey"), "csv", header=True, sep="\t")
+    return _read_back(delimited.scan_tsv(spark, path), SUPPLIER, _part(), "file_type", "line_number")
 
 
 @query
 def scan_json(spark, folder):
-    # Twenty documents, each a file with a list of turns in order.
-    turns = F.array_sort(F.collect_list(F.struct("conv_id", "turn", "role", "text")))
-    documents = table(spark, folder, "conversations").groupBy((F.col("conv_id") % 20).alias("part")).agg(turns.alias("items"))
-    path = fresh_path(spark, "scan-json")
-    documents.write.partitionBy("part").json(path)
+    # A document holds the list of the turns of one part, which has a fixed number of them.
+    fields = ("conv_id", "turn", "role", "text")
+    turns = number_rows(table(spark, folder, "conversations").select(*fields), list(fields), "n")
+    part = F.floor((F.col("n") - 1) / ROWS_PER_FILE).alias("part")
+    items = F.transform(F.array_sort(F.collect_list(F.struct("n", *fields))), lambda t: F.struct(*[t[f].alias(f) for f in fields]))
+    path = _written_parts(spark, turns.groupBy(part).agg(items.alias("items")), "json")
     raw = lambda key: F.try_element_at("raw", F.lit(key))
-    return json_records.scan_json(spark, f"{path}/*/*.json").select(
-        F.regexp_extract("source_path", "part=([0-9]+)/", 1).cast("bigint").alias("part"),
+    return json_records.scan_json(spark, path).select(
+        _part(),
         "file_type",
         "line_number",
         raw("conv_id").cast("bigint").alias("conv_id"),
@@ -154,38 +172,40 @@ def scan_json(spark, folder):
 
 
 def _mixed_files(spark, folder) -> list[str]:
-    """Folders with a CSV file, a JSON document, and a file of no known format."""
-    nations = table(spark, folder, "nation").agg(
+    """CSV files, a JSON document for every region, and files of no known format."""
+    nations = table(spark, folder, "nation").groupBy(F.col("n_regionkey").cast("bigint").alias("part")).agg(
         F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name", "n_regionkey"))).alias("records")
     )
+    suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_name")
+    regions = table(spark, folder, "region").withColumn("part", F.col("r_regionkey").cast("bigint"))
     return [
-        _written(spark, _in_order(table(spark, folder, "supplier").select("s_suppkey", "s_name"), "s_suppkey"), "csv", header=True, sep="|"),
-        _written(spark, nations, "json"),
-        _written(spark, table(spark, folder, "region").repartition(1), "parquet"),
+        _written_parts(spark, _in_files(suppliers, "s_suppkey"), "csv", header=True, sep="|"),
+        _written_parts(spark, nations, "json"),
+        _written_parts(spark, regions, "parquet"),
     ]
 
 
 @query
 def scan_files(spark, folder):
     records, _ = scan.scan_files(spark, _mixed_files(spark, folder))
-    return records.select("file_type", "line_number", map_text(F.col("raw")).alias("fields"))
+    return records.select(_part(), "file_type", "line_number", map_text(F.col("raw")).alias("fields"))
 
 
 @query
 def scan_files_reports(spark, folder):
     _, reports = scan.scan_files(spark, _mixed_files(spark, folder))
     return reports.select(
-        F.regexp_extract("filename", "[.]([a-z]+)$", 1).alias("extension"), "record_count", "status",
+        _part("path"), F.regexp_extract("filename", "[.]([a-z]+)$", 1).alias("extension"), "record_count", "status",
         F.regexp_replace("error", "part-.*[.]", "part.").alias("error"),
     )
 
 
 @query
 def scan_jsonl(spark, folder):
-    events = _in_order(table(spark, folder, "events"), "event_id").select("props")
-    path = _written(spark, events, "text")
+    lines = _in_files(table(spark, folder, "events").select("event_id", "props"), "event_id", "props").drop("event_id")
+    path = _written_parts(spark, lines, "text")
     return json_records.scan_jsonl(spark, path).select(
-        "file_type", "line_number", F.col("raw")["k"].cast("bigint").alias("k")
+        _part(), "file_type", "line_number", map_text(F.col("raw")).alias("fields")
     )
 
 
@@ -605,10 +625,15 @@ def key_lookup_(spark, folder):
 
 
 def _increment(spark, folder):
-    # The first letters of the address as key: many keys are new and come several times in the batch.
-    rows = people_records(spark, folder).select("record_id", F.substring("email", 1, 3).alias("key"))
-    is_master = F.col("record_id") <= 100
-    return incremental_match(rows.where(~is_master), rows.where(is_master), "key")
+    # The suppliers come twice, the second time under new ids: every new key is repeated in the batch.
+    rows = people_records(spark, folder).select("record_id", "email")
+    is_master = F.col("record_id") < 1_000_000_000
+    key = F.when(F.col("email") != "", F.concat(F.lit("email:"), F.col("email"))).alias("key")
+    batch = rows.where(~is_master)
+    again = batch.withColumn("record_id", F.col("record_id") + 1_000_000_000)
+    return incremental_match(
+        batch.unionByName(again).select("record_id", key), rows.where(is_master).select("record_id", key), "key"
+    )
 
 
 @query

@@ -309,27 +309,35 @@ IDENTIFIER_ROWS = """ids as (
   union all select 'phone', 'phone:' || phone from s1 where phone <> ''
   union all select 'id_code', 'id_code:' || id_code from s2 where id_code <> '')"""
 
+
+def place(order: str, first_line: int) -> str:
+    """File and line of a row that was written in order, 250 rows to a file."""
+    row = f"row_number() over (order by {order}) - 1"
+    return f"({row}) // 250 as part,\n  ({row}) % 250 + {first_line} as line_number"
+
+
 ORACLES = {
     # sources
-    "scan_csv": """select 'CSV' as file_type, row_number() over (order by c_custkey) + 1 as line_number,
+    "scan_csv": f"""select 'CSV' as file_type, {place('c_custkey', 2)},
   c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer""",
     "scan_csv_sniff": """select c_name as name, c_acctbal as acctbal, 5 as cells from customer
 union all select s_name, s_acctbal, 4 from supplier""",
-    "scan_tsv": """select 'TSV' as file_type, row_number() over (order by s_suppkey) + 1 as line_number,
+    "scan_tsv": f"""select 'TSV' as file_type, {place('s_suppkey', 2)},
   s_suppkey, s_name, s_nationkey, s_acctbal from supplier""",
-    "scan_json": """select conv_id % 20 as part, 'JSON' as file_type,
-  row_number() over (partition by conv_id % 20 order by conv_id, turn, role, text) as line_number,
+    "scan_json": f"""select 'JSON' as file_type, {place('conv_id nulls first, turn nulls first, role nulls first, text nulls first', 1)},
   conv_id, turn, role, md5(text) as text_md5 from conversations""",
-    "scan_files": """select 'CSV' as file_type, row_number() over (order by s_suppkey) + 1 as line_number,
+    "scan_files": f"""select 'CSV' as file_type, {place('s_suppkey', 2)},
   's_name=' || s_name || ';s_suppkey=' || s_suppkey as fields from supplier
-union all select 'JSON', row_number() over (order by n_nationkey),
+union all select 'JSON', n_regionkey, row_number() over (partition by n_regionkey order by n_nationkey),
   'n_name=' || n_name || ';n_nationkey=' || n_nationkey || ';n_regionkey=' || n_regionkey from nation""",
-    "scan_files_reports": """select 'csv' as extension, (select count(*) from supplier) as record_count, 'success' as status, null as error
-union all select 'json', (select count(*) from nation), 'success', null
-union all select 'parquet', 0, 'error',
-  'Unsupported file extension ''.parquet''. Supported: CSV, TSV, XLSX, XLS, JSON, JSONL, PDF, DOCX, TXT.'""",
-    "scan_jsonl": """select 'JSONL' as file_type, row_number() over (order by event_id) as line_number,
-  cast(json_extract_string(props, '$.k') as bigint) as k from events""",
+    "scan_files_reports": f"""select part, 'csv' as extension, count(*) as record_count, 'success' as status, null as error
+from (select {place('s_suppkey', 2)} from supplier) group by part
+union all select n_regionkey, 'json', count(*), 'success', null from nation group by n_regionkey
+union all select r_regionkey, 'parquet', 0, 'error',
+  'Unsupported file extension ''.parquet''. Supported: CSV, TSV, XLSX, XLS, JSON, JSONL, PDF, DOCX, TXT.' from region""",
+    "scan_jsonl": f"""select 'JSONL' as file_type, {place('event_id, props', 1)},
+  (select string_agg(k || '=' || json_extract_string(props, '$."' || k || '"'), ';' order by k) from (select unnest(json_keys(props)) as k)) as fields
+from events""",
     "text_cards": f"""{DOCUMENT_RECORDS.format(kind='TXT', line='5', fields="'Name=' || c_name || ';Segment=' || c_mktsegment")}
 union all {DOCUMENT_RECORDS.format(kind='TXT', line='6', fields="'NAME=second of ' || c_name")}""",
     "text_delimited": f"""{DOCUMENT_RECORDS.format(kind='TXT', line='2',
@@ -435,13 +443,12 @@ select id, anchor, round_even(similarity * 100, 1)::double as confidence from po
 select p.id as record_id, min(m.id) as found_id from c p left join c m on m.email = p.email and m.email <> '' and m.id < 1000000000
 where p.id >= 1000000000 group by p.id""",
     "incremental_match": f"""with {CLEAN_PEOPLE},
-p as (select id, substr(email, 1, 3) as key from c),
-m as (select key, min(id) as found from p where id <= 100 and key <> '' group by key),
-b as (
-  select p.id, p.key, m.found, min(p.id) over (partition by p.key) as f
-  from p left join m on m.key = p.key where p.id > 100)
-select id as record_id, case when found is not null or (key <> '' and id <> f) then 'hit' else 'fresh' end as result,
-  case when found is not null then found when key <> '' and id <> f then f end as found_id from b""",
+p as (select id, case when email <> '' then 'email:' || email end as key from c),
+m as (select key, min(id) as found from p where id < 1000000000 and key is not null group by key),
+n as (select id, key from p where id >= 1000000000 union all select id + 1000000000, key from p where id >= 1000000000),
+b as (select n.id, n.key, m.found, min(n.id) over (partition by n.key) as f from n left join m on m.key = n.key)
+select id as record_id, case when found is not null or (key is not null and id <> f) then 'hit' else 'fresh' end as result,
+  case when found is not null then found when key is not null and id <> f then f end as found_id from b""",
     # groups
     "groups": cascade(CLEAN_SPARSE, MEMBERS),
     "groups_salted": cascade(CLEAN_SPARSE, MEMBERS),

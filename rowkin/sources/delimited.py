@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import csv
+import json
 from collections import defaultdict
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,8 +15,9 @@ from rowkin.sources.files import (
     NO_RECORDS_YET,
     RECORD_COLUMNS,
     SOURCE_PATH,
-    decoded_path,
+    as_pattern,
     file_name,
+    own_path,
     path_key,
     union_sources,
     with_row_numbers,
@@ -38,7 +40,7 @@ def inspect_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     the header has none.  A file that is not valid UTF-8 as a whole is read as Latin-1.
     """
     lines = spark.read.text(paths).select(
-        decoded_path(F.col("_metadata.file_path")).alias("path"),
+        own_path().alias("path"),
         F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
         "value",
     )
@@ -103,10 +105,10 @@ def scan_csv(
             continue
         found = sep or row["sep"]
         if multi_line and row["header"].count('"') % 2:  # a quoted cell of the header goes on behind the line
-            names = _first_record(spark, row["path"], found, row["encoding"])
+            names = _first_record(spark, as_pattern(row["path"]), found, row["encoding"])
         else:
             names = header_names(row["header"], found)
-        kinds[(tuple(names), found, row["encoding"])].append(row["path"])
+        kinds[(tuple(names), found, row["encoding"])].append(as_pattern(row["path"]))
     scans = [
         _scan_alike(spark, files, names, found, encoding, multi_line, line_numbers, file_type)
         for (names, found, encoding), files in sorted(kinds.items())
@@ -157,14 +159,15 @@ def _scan_alike(spark, files, names, sep, encoding, multi_line, line_numbers, fi
         .options(header=True, sep=sep, encoding=encoding, multiLine=multi_line, quote='"', escape='"')
         .csv(files)
     )
-    # Of several cells with one name the last counts.
-    cell_of = {name: _cell(column) for name, column in zip(names, columns)}
-    raw = F.map_from_arrays(F.array(*[F.lit(n) for n in cell_of]), F.array(*cell_of.values()))
+    # Of several cells with one name the last counts.  One literal and one lambda, however many columns there are.
+    cell_of = dict(zip(names, columns))
+    cells = F.transform(F.expr(f"array({', '.join(cell_of.values())})"), lambda cell: strip(F.coalesce(cell, F.lit(""))))
+    raw = F.map_from_arrays(F.from_json(F.lit(json.dumps(list(cell_of))), "array<string>"), cells)
     picked = rows.select(
-        file_name(F.col("_metadata.file_path")).alias("source_file"),
+        file_name(own_path()).alias("source_file"),
         F.lit(file_type).alias("file_type"),
         raw.alias("raw"),
-        path_key(F.col("_metadata.file_path")).alias(SOURCE_PATH),
+        path_key(own_path()).alias(SOURCE_PATH),
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_at"),
@@ -175,7 +178,3 @@ def _scan_alike(spark, files, names, sep, encoding, multi_line, line_numbers, fi
         picked = picked.withColumn("line_number", F.lit(None).cast("bigint"))
     found = picked.where(F.exists(F.map_values("raw"), lambda v: v != ""))
     return found.select(*RECORD_COLUMNS, SOURCE_PATH)
-
-
-def _cell(column: str) -> Column:
-    return strip(F.coalesce(F.col(column), F.lit("")))

@@ -46,18 +46,29 @@ def extension_column(path: Column) -> Column:
     return F.lower(F.regexp_extract(base, r"[^.].*(\.[^.]*)$", 1))
 
 
-def file_name(path: Column) -> Column:
-    return F.url_decode(F.replace(F.regexp_extract(path, r"([^/]*)$", 1), F.lit("+"), F.lit("%2B")))
+def plain_path(uri: Column) -> Column:
+    """The path in a URI as readers give it in ``_metadata.file_path``; a plain path must not pass through here."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
 
+def own_path() -> Column:
+    """The plain path of the file that a row was read from."""
+    return plain_path(F.col("_metadata.file_path"))
 
-def decoded_path(path: Column) -> Column:
-    """A path with its blanks and other marks as they are, so that it can be read again."""
-    return F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+
+def file_name(path: Column) -> Column:
+    """The last part of a plain path, as it is: any mark may stand in a name."""
+    return F.regexp_extract(path, r"([^/]*)$", 1)
 
 
 def path_key(path: Column) -> Column:
-    """One spelling of a path, however the reader that gave it writes its scheme and its blanks."""
-    return F.regexp_replace(decoded_path(path), "^([A-Za-z0-9+.-]+):/+", "$1:/")
+    """One spelling of a plain path, however the reader that gave it writes its scheme."""
+    return F.regexp_replace(path, "^([A-Za-z0-9+.-]+):/+", "$1:/")
+
+
+def as_pattern(path: str) -> str:
+    """A plain path that a reader takes for this file alone, not for a pattern of names."""
+    return "".join(f"\\{mark}" if mark in "\\{}[]*?" else mark for mark in path)
 
 
 def with_path(df: DataFrame) -> list[str]:
@@ -80,15 +91,24 @@ def _lookup(path: Column, part: int) -> Column:
 
 
 def list_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``path, filename, format, reader, size_bytes, size_kb`` of the files; contents are not read."""
-    listed = spark.read.format("binaryFile").load(paths)
-    return listed.select(
+    """``path, filename, format, reader, size_bytes, size_kb`` of the files; contents are not read.
+
+    Files without a byte are listed, too, which readers leave out; they come from the listing that the driver
+    holds for any scan.  Names that start with ``_`` or ``.`` are no data files.
+    """
+    found = spark.read.format("binaryFile").load(paths)
+    sizes = found.select(own_path().alias("path"), F.col("length").alias("size_bytes"))
+    listing = spark.createDataFrame([(uri,) for uri in found.inputFiles()], "uri string")
+    names = listing.select(plain_path(F.col("uri")).alias("path")).distinct()
+    return names.select(path_key(F.col("path")).alias("key"), "path").join(
+        sizes.select(path_key(F.col("path")).alias("key"), "size_bytes").distinct(), "key", "left"
+    ).select(
         "path",
         file_name(F.col("path")).alias("filename"),
         detect_format(F.col("path")).alias("format"),
         reader_of(F.col("path")).alias("reader"),
-        F.col("length").alias("size_bytes"),
-        F.bround(F.col("length") / 1024, 1).alias("size_kb"),
+        F.coalesce("size_bytes", F.lit(0)).alias("size_bytes"),
+        F.bround(F.coalesce("size_bytes", F.lit(0)) / 1024, 1).alias("size_kb"),
     )
 
 
@@ -102,9 +122,9 @@ def decode_text(content: Column) -> Column:
 def read_documents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``source_file, text, source_path``: whole decoded files, one row each."""
     return spark.read.format("binaryFile").load(paths).select(
-        file_name(F.col("path")).alias("source_file"),
+        file_name(own_path()).alias("source_file"),
         decode_text(F.col("content")).alias("text"),
-        path_key(F.col("path")).alias(SOURCE_PATH),
+        path_key(own_path()).alias(SOURCE_PATH),
     )
 
 

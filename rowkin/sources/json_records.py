@@ -11,6 +11,7 @@ from rowkin.sources.files import (
     RECORD_COLUMNS,
     SOURCE_PATH,
     file_name,
+    own_path,
     path_key,
     read_documents,
     with_path,
@@ -122,7 +123,7 @@ def strip_keys(raw: Column) -> Column:
 def scan_jsonl(spark: SparkSession, paths: str | list[str], line_numbers: bool = True) -> DataFrame:
     """Raw records of JSON Lines files; blank, broken and non-object lines are skipped."""
     lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("_path"),
+        own_path().alias("_path"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_at"),
         "value",

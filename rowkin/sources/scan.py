@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rowkin.scratch import write_out
 from rowkin.sources.cards import scan_text
 from rowkin.sources.delimited import failed_files, inspect_files, scan_csv, scan_tsv
-from rowkin.sources.files import NO_RECORDS_YET, file_reports, list_files, read_documents, union_sources
+from rowkin.sources.files import NO_RECORDS_YET, as_pattern, file_reports, list_files, read_documents, union_sources
 from rowkin.sources.json_records import broken_documents, scan_json, scan_jsonl
 
 _SCANS = {"csv": scan_csv, "tsv": scan_tsv, "json": scan_json, "jsonl": scan_jsonl, "text": scan_text}
@@ -28,7 +28,7 @@ def scan_files(
     by_reader = defaultdict(list)
     # One row per file: the listing, which the driver holds for any scan.
     for row in files.select("path", "reader").where("reader is not null").collect():
-        by_reader[row["reader"]].append(row["path"])
+        by_reader[row["reader"]].append(as_pattern(row["path"]))
     scans, failures = [], []
     for reader, scan in _SCANS.items():
         if not by_reader[reader]:

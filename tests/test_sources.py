@@ -302,3 +302,40 @@ def test_files_of_one_name_are_told_apart(spark, tmp_path):
     ]
     numbered = files.with_record_ids(records).sort("record_id").collect()
     assert [(r["raw"].get("n"), r["line_number"]) for r in numbered] == [("1", 2), ("2", 3), ("3", 4), ("4", 2), (None, 1)]
+
+
+ODD_NAMES = ["x 100%.csv", "a%20b.csv", "a b.csv", "a+b.csv", "[1].csv", "x{a,b}.csv", "star*.csv", "q?.csv", "back\\slash.csv", "é ü.csv", "%41.csv", "A.csv"]
+
+
+def test_any_legal_name_is_read_and_reported_as_its_own(spark, tmp_path):
+    for n, name in enumerate(ODD_NAMES):
+        write(tmp_path, name, "n\n" + "".join(f"{n}-{k}\n" for k in range(n + 1)))
+    write(tmp_path, "x+1%.jsonl", '{"n": "l"}\n')
+    write(tmp_path, "y [2]%.json", '[{"n": "d"}, {"n": "e"}]')
+    write(tmp_path, "z%2B.txt", "nn: card\n")
+    write(tmp_path, "t{}%.tsv", "n\tm\n1\t2\n")
+    records, reports = scan.scan_files(spark, str(tmp_path))
+    found = {}
+    for r in records.collect():
+        found.setdefault(r["source_file"], []).append(r["raw"].get("n", r["raw"].get("nn")))
+        assert r["source_path"].endswith("/" + r["source_file"])
+    expected = {name: sorted(f"{n}-{k}" for k in range(n + 1)) for n, name in enumerate(ODD_NAMES)}
+    expected |= {"x+1%.jsonl": ["l"], "y [2]%.json": ["d", "e"], "z%2B.txt": ["card"], "t{}%.tsv": ["1"]}
+    assert {k: sorted(v) for k, v in found.items()} == expected
+    assert {r["filename"]: (r["record_count"], r["status"]) for r in reports.collect()} == {
+        name: (len(rows), "success") for name, rows in expected.items()
+    }
+
+
+def test_files_without_a_byte_are_listed_and_reported(spark, tmp_path):
+    for name in ("a%20b.csv", "n.json", "u.xyz", "t.txt", "l.jsonl", "v.tsv"):
+        write(tmp_path, name, "")
+    write(tmp_path, "one.csv", "n\n1\n")
+    listed = {r["filename"]: (r["size_bytes"], r["size_kb"]) for r in files.list_files(spark, str(tmp_path)).collect()}
+    assert len(listed) == 7 and listed["a%20b.csv"] == (0, 0.0) and listed["one.csv"] == (4, 0.0)
+    records, reports = scan.scan_files(spark, str(tmp_path))
+    assert records.count() == 1
+    found = {r["filename"]: (r["record_count"], r["status"], r["error"]) for r in reports.collect()}
+    assert len(found) == 7 and found.pop("one.csv") == (1, "success", None)
+    assert found.pop("u.xyz")[2].startswith("Unsupported file extension '.xyz'.")
+    assert all(r == (0, "error", files.NO_RECORDS % name) for name, r in found.items())
