@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowkin.functions.text import strip
+from rowkin.sources import quoted
 from rowkin.sources.files import (
     NO_RECORDS_YET,
     RECORD_COLUMNS,
@@ -32,14 +33,15 @@ TOO_LONG = "header line of %s characters"
 
 
 def inspect_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``path, header, header_chars, sep, encoding`` of delimited files, found in one pass over all of them.
+    """``path, header, header_chars, sep, encoding, returns`` of delimited files, found in one pass over all of them.
 
-    ``header`` is the first line that is not blank, NULL if it is longer than ``MOST_HEADER``.
+    ``header`` is the first line that is not blank, NULL if it is longer than ``MOST_HEADER``.  ``returns`` tells
+    files whose lines end with a carriage return alone.
 
     The delimiter is the candidate of the header line that most lines of the file contain; ``,`` if
     the header has none.  A file that is not valid UTF-8 as a whole is read as Latin-1.
     """
-    lines = spark.read.text(paths).select(
+    lines = spark.read.option("lineSep", "\n").text(paths).select(
         own_path().alias("path"),
         F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
         "value",
@@ -53,6 +55,9 @@ def inspect_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
         *containing,
     )
+    files = files.withColumn("returns", F.regexp_like("header", F.lit("[^\r\n]\r+[^\r\n]"))).withColumn(
+        "header", F.regexp_extract("header", "^\r*([^\r]*)", 1)
+    )
     scores = F.array(
         *[
             F.struct(
@@ -73,6 +78,7 @@ def inspect_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         size.alias("header_chars"),
         F.coalesce(best, F.lit(",")).alias("sep"),
         F.when(F.col("utf8"), F.lit("UTF-8")).otherwise(F.lit("ISO-8859-1")).alias("encoding"),
+        "returns",
     )
 
 
@@ -88,8 +94,9 @@ def scan_csv(
     """Raw records of CSV files, each with its own header; ``sep`` None finds the delimiter per file.
 
     Cells are stripped, missing ones are "", extra ones dropped, rows without any value skipped.
-    Quoted cells may hold line breaks only with ``multi_line``, which keeps Spark from splitting a file
-    over tasks: turn it off for large files without such cells.  ``inspected`` is the outcome of
+    Quoted cells may hold line breaks with ``multi_line``; files are split over tasks all the same (see
+    :mod:`rowkin.sources.quoted`), unless their lines end with a carriage return alone.  Without it every line
+    is a record, which saves storing the lines once.  ``inspected`` is the outcome of
     :func:`inspect_files`, where the caller has it already, and reports what :func:`failed_files` says;
     without it a header longer than ``MOST_HEADER`` is an error.
     """
@@ -97,22 +104,29 @@ def scan_csv(
     if inspected is None:
         inspected = inspect_files(spark, paths)
     # One row per file: the file listing, which the driver holds for any scan.
-    kinds = defaultdict(list)
-    for row in inspected.select("path", "header", "header_chars", "sep", "encoding").toLocalIterator():
+    kinds, split, separators = defaultdict(list), [], set()
+    for row in inspected.select("path", "header", "header_chars", "sep", "encoding", "returns").toLocalIterator():
         if row["header"] is None:
             if not reported:
                 raise ValueError(f"{row['path']}: {TOO_LONG % row['header_chars']}")
             continue
-        found = sep or row["sep"]
+        found, pattern = sep or row["sep"], as_pattern(row["path"])
+        if multi_line and not row["returns"]:
+            split.append(pattern)
+            separators.add(found)
+            continue
         if multi_line and row["header"].count('"') % 2:  # a quoted cell of the header goes on behind the line
-            names = _first_record(spark, as_pattern(row["path"]), found, row["encoding"])
+            names = _first_record(spark, pattern, found, row["encoding"])
         else:
             names = header_names(row["header"], found)
-        kinds[(tuple(names), found, row["encoding"])].append(as_pattern(row["path"]))
+        kinds[(tuple(names), found, row["encoding"])].append(pattern)
     scans = [
         _scan_alike(spark, files, names, found, encoding, multi_line, line_numbers, file_type)
         for (names, found, encoding), files in sorted(kinds.items())
     ]
+    if split:
+        known = inspected.where("header is not null").withColumn("sep", F.lit(sep)) if sep else inspected
+        scans.append(_scan_split(spark, split, known, sorted(separators), line_numbers, file_type))
     if not scans:
         return spark.createDataFrame([], NO_RECORDS_YET)
     return union_sources(*scans)
@@ -152,6 +166,18 @@ def _first_record(spark: SparkSession, path: str, sep: str, encoding: str) -> li
     return _names([first[0].lstrip("\ufeff") if first[0] else first[0], *first[1:]])
 
 
+def _scan_split(spark, patterns, inspected, separators, line_numbers, file_type) -> DataFrame:
+    cells = quoted.cells_of(quoted.records(spark, patterns, inspected), separators)
+    rows = quoted.raw_maps(cells).select(
+        file_name(F.col("path")).alias("source_file"),
+        F.lit(file_type).alias("file_type"),
+        (F.col("number") if line_numbers else F.lit(None).cast("bigint")).alias("line_number"),
+        "raw",
+        path_key(F.col("path")).alias(SOURCE_PATH),
+    )
+    return rows.where(F.exists(F.map_values("raw"), lambda v: v != ""))
+
+
 def _scan_alike(spark, files, names, sep, encoding, multi_line, line_numbers, file_type) -> DataFrame:
     columns = [f"c{i}" for i in range(len(names))]
     rows = (
