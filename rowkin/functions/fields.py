@@ -108,8 +108,11 @@ class FieldMap:
     def field_column(self, name: Column) -> Column:
         """:meth:`field` for header names held in data."""
         clean = sanitize_column(name)
-        literal = F.create_map(*[F.lit(part) for pair in self._field_of.items() for part in pair])
-        return F.coalesce(F.try_element_at(literal, clean), clean)
+        # Most headers differ from an alias in case and single blanks or hyphens only: no regular expression for them.
+        # An alias with an underscore at an end or two in a row would match other headers, too.
+        usual = {alias: field for alias, field in self._field_of.items() if re.fullmatch("[a-z0-9]+(_[a-z0-9]+)*", alias)}
+        plain = F.lower(F.translate(name, " -", "__"))
+        return F.coalesce(F.try_element_at(_literal(usual), plain), F.try_element_at(_literal(self._field_of), clean), clean)
 
     # -- wide path ---------------------------------------------------------------------------
 
@@ -156,6 +159,10 @@ class FieldMap:
         return F.map_filter(cleaned, lambda _, value: value != "")
 
 
+def _literal(mapping: Mapping[str, str]) -> Column:
+    return F.create_map(*[F.lit(part) for pair in mapping.items() for part in pair])
+
+
 def _text(name: str) -> Column:
     return F.col(f"`{name}`").cast("string")
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rowkin.functions.fields import last_per_key
 from rowkin.functions.text import strip
 from rowkin.operators.skew import left_join_by_key
+from rowkin.scratch import store
 from rowkin.sources.cards import paragraph_records
 
 
@@ -50,7 +51,9 @@ def grid_records(grids: DataFrame, file_type: str = "Excel (.xlsx)", blank_named
     )
     # A grid may hold a large share of all rows, so its header is joined by the number of its rows.
     sizes = body.groupBy("_grid").agg(F.count(F.lit(1)).alias("n"))
-    named = left_join_by_key(body, headers.join(sizes, "_grid"), "_grid", F.col("row_no")).where("n is not null")
+    sized = store(headers.join(sizes, "_grid"), "grids", total=F.sum("n"))
+    total = sized.figures["total"] or 0
+    named = left_join_by_key(body, sized.table, "_grid", F.col("row_no"), total=total).where("n is not null")
     return named.select(
         "source_file",
         F.lit(file_type).alias("file_type"),

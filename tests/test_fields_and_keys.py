@@ -105,3 +105,12 @@ def test_fingerprints(apply):
 
 def test_bucket_counts():
     assert [keys.bucket_count(n) for n in (7, 53, 60, 50021, 50022)] == [31, 53, 101, 50021, 50023]
+
+
+def test_headers_in_data_get_the_fields_of_headers_in_plans(apply):
+    """The short way for usual spellings takes no header that sanitising would not give to the same alias."""
+    custom = FieldMap({"odd": ["_x", "a__b", "y_", "plain"], "name": ["Künstler Name"]})
+    names = [n for field in custom.aliases.values() for n in field]
+    headers = names + [n.upper().replace("_", " ") for n in names] + [n.replace("_", "-") for n in names]
+    headers += [" name", "name ", "customer  name", "customer - name", "e--mail", "na me", "x", "_x", " x", "a b", "a  b", "a__b", "y", "y ", "E-Mail!", "Mail\tId", ""]
+    assert apply(custom.field_column, headers) == [custom.field(h) for h in headers]
