@@ -95,8 +95,9 @@ def scan_csv(
 
     Cells are stripped, missing ones are "", extra ones dropped, rows without any value skipped.
     Quoted cells may hold line breaks with ``multi_line``; files are split over tasks all the same (see
-    :mod:`rowkin.sources.quoted`), unless their lines end with a carriage return alone.  Without it every line
-    is a record, which saves storing the lines once.  ``inspected`` is the outcome of
+    :mod:`rowkin.sources.quoted`), unless their lines end with a carriage return alone.  Lines are stored once
+    for that, and for their numbers: without ``line_numbers`` each file is read as a whole instead, and nothing
+    is stored.  Without ``multi_line`` every line is a record.  ``inspected`` is the outcome of
     :func:`inspect_files`, where the caller has it already, and reports what :func:`failed_files` says;
     without it a header longer than ``MOST_HEADER`` is an error.
     """
@@ -111,7 +112,7 @@ def scan_csv(
                 raise ValueError(f"{row['path']}: {TOO_LONG % row['header_chars']}")
             continue
         found, pattern = sep or row["sep"], as_pattern(row["path"])
-        if multi_line and not row["returns"]:
+        if multi_line and line_numbers and not row["returns"]:
             split.append(pattern)
             separators.add(found)
             continue
@@ -126,7 +127,7 @@ def scan_csv(
     ]
     if split:
         known = inspected.where("header is not null").withColumn("sep", F.lit(sep)) if sep else inspected
-        scans.append(_scan_split(spark, split, known, sorted(separators), line_numbers, file_type))
+        scans.append(_scan_split(spark, split, known, sorted(separators), file_type))
     if not scans:
         return spark.createDataFrame([], NO_RECORDS_YET)
     return union_sources(*scans)
@@ -166,12 +167,12 @@ def _first_record(spark: SparkSession, path: str, sep: str, encoding: str) -> li
     return _names([first[0].lstrip("\ufeff") if first[0] else first[0], *first[1:]])
 
 
-def _scan_split(spark, patterns, inspected, separators, line_numbers, file_type) -> DataFrame:
+def _scan_split(spark, patterns, inspected, separators, file_type) -> DataFrame:
     cells = quoted.cells_of(quoted.records(spark, patterns, inspected), separators)
     rows = quoted.raw_maps(cells).select(
         file_name(F.col("path")).alias("source_file"),
         F.lit(file_type).alias("file_type"),
-        (F.col("number") if line_numbers else F.lit(None).cast("bigint")).alias("line_number"),
+        F.col("number").alias("line_number"),
         "raw",
         path_key(F.col("path")).alias(SOURCE_PATH),
     )
