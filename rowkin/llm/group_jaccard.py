@@ -43,6 +43,11 @@ OFTEN = 8
 MOST_OFTEN = 1_000_000
 #: Shingles that are counted together: 16 MB.
 TOGETHER = 1 << 21
+#: Prefix entries that a task packs together, and those that a bucket holds on average: some 10 MB.
+FLUSHED = 1 << 18
+BUCKET_ENTRIES = 1 << 18
+#: Entries of a list whose pairs are all looked at in its bucket, to leave out those that cannot have a partner there.
+SHORT_LIST = 64
 #: Partners per list in the first round, and by how much each round has more.
 PARTNERS = 1
 GROWTH = 8
@@ -186,9 +191,21 @@ def _entry_blocks(buckets: int, words: int, percent: int, often: np.ndarray):
     """Prefix entries by bucket.  Entries of frequent shingles need no partner search there, so they are
     spread over all buckets by document."""
 
+    def blocks(found: list[np.ndarray]) -> pa.RecordBatch:
+        every = np.concatenate(found)
+        keys = every["shingle"].copy()
+        if len(often):
+            late = often[np.minimum(np.searchsorted(often, keys), len(often) - 1)] == keys
+            keys[late] ^= every["node"][late].astype(np.uint64) * _M[0] >> np.uint64(20)
+        packed = [(b, pa.compress(b"".join(every[name][w].tobytes() for name in _ENTRY.names), codec="zstd", asbytes=True), len(w)) for b, w in _bucketed(keys, buckets)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x[k] for x in packed], kind) for k, kind in enumerate((pa.int32(), pa.binary(), pa.int64()))],
+            names=["bucket", "data", "entries"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, size = [], 0
         for batch in batches:
-            found = []
             for node, text in zip(batch.column(1).to_pylist(), batch.column(0), strict=True):
                 made = shingles(_plain(text.as_py()), words)
                 prefix = _ordered(made, often)[: prefix_length(len(made), percent)]
@@ -198,22 +215,42 @@ def _entry_blocks(buckets: int, words: int, percent: int, often: np.ndarray):
                 part["prefix"] = xxhash.xxh3_64_intdigest(prefix.tobytes())
                 part["low"], part["high"] = np.bitwise_xor.reduce(np.frombuffer(sketch(made), "<i8").reshape(-1, 2))
                 found.append(part)
-            every = np.concatenate(found) if found else np.empty(0, _ENTRY)
-            keys = every["shingle"].copy()
-            if len(often):
-                late = often[np.minimum(np.searchsorted(often, keys), len(often) - 1)] == keys
-                keys[late] ^= every["node"][late].astype(np.uint64) * _M[0] >> np.uint64(20)
-            blocks = [(b, pa.compress(b"".join(every[name][w].tobytes() for name in _ENTRY.names), codec="zstd", asbytes=True), len(w)) for b, w in _bucketed(keys, buckets)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[k] for x in blocks], kind) for k, kind in enumerate((pa.int32(), pa.binary(), pa.int64()))],
-                names=["bucket", "data", "entries"],
-            )
+                size += len(part)
+                if size >= FLUSHED:
+                    yield blocks(found)
+                    found, size = [], 0
+        if found:
+            yield blocks(found)
 
     return run
 
 
-def _shared(often: np.ndarray):
-    """Entries of shingles that another document has, too, or that are frequent anyway."""
+def _with_partner(e: dict[str, np.ndarray], percent: int) -> np.ndarray:
+    """Which entries, in order of their shingles, share a list with one that sizes, places and sketches allow.
+
+    A list of more than ``SHORT_LIST`` entries keeps all of them.
+    """
+    keys = e["shingle"]
+    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    length = np.repeat(np.diff(np.append(starts, len(keys))), np.diff(np.append(starts, len(keys))))
+    kept = length > SHORT_LIST
+    n, place = e["n"].astype(np.int64), e["place"].astype(np.int64)
+    for step in range(1, min(SHORT_LIST, len(keys))):
+        a = np.flatnonzero((keys[step:] == keys[:-step]) & (length[step:] <= SHORT_LIST))
+        if not len(a):
+            break
+        b = a + step
+        sizes = n[a] + n[b]
+        reach = np.minimum(place[a], place[b]) + 1 + np.minimum(n[a] - 1 - place[a], n[b] - 1 - place[b])
+        differ = sum(np.bitwise_count((e[c][a] ^ e[c][b]).view(np.uint64)).astype(np.int64) for c in ("low", "high"))
+        fits = (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])) & ((100 + percent) * reach >= percent * sizes)
+        fits &= (100 + percent) * (sizes - differ) >= 2 * percent * sizes
+        kept[a[fits]] = kept[b[fits]] = True
+    return kept
+
+
+def _shared(often: np.ndarray, percent: int):
+    """Entries that may have a partner in their list, or whose shingle is frequent anyway."""
 
     def run(rows: pa.Table) -> pa.Table:
         parts: dict[str, list] = {name: [] for name in _ENTRY.names}
@@ -224,11 +261,11 @@ def _shared(often: np.ndarray):
                 kind = _ENTRY[name]
                 parts[name].append(np.frombuffer(plain, kind, n, at))
                 at += n * kind.itemsize
-        columns = {name: np.concatenate(p) for name, p in parts.items()}
-        keys = columns["shingle"]
-        _, where, counts = np.unique(keys, return_inverse=True, return_counts=True)
-        kept = counts[where] > 1
+        order = np.argsort(np.concatenate(parts["shingle"]), kind="stable")
+        columns = {name: np.concatenate(p)[order] for name, p in parts.items()}
+        kept = _with_partner(columns, percent)
         if len(often):
+            keys = columns["shingle"]
             kept |= often[np.minimum(np.searchsorted(often, keys), len(often) - 1)] == keys
         return pa.table({name: c[kept].view(np.int64) if c.dtype == np.uint64 else c[kept] for name, c in columns.items()})
 
@@ -334,12 +371,15 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
 
 def _components_of_rows(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    saved = write_out(
-        rows.mapInArrow(_collapsed(words), f"node long, same_as long, id {kind}, n long, digest binary, sketch binary, text binary"), "jaccard-sets"
+    stored = store(
+        rows.mapInArrow(_collapsed(words), f"node long, same_as long, id {kind}, n long, digest binary, sketch binary, text binary"), "jaccard-sets",
+        entries=F.sum(F.when(F.col("text").isNotNull(), F.floor(F.col("n") * (100 - percent) / 100) + 1)),
     )
+    saved = stored.table
+    # What a bucket holds does not grow with the table.
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(stored.figures["entries"] or 0) // BUCKET_ENTRIES))
     sets = saved.where("text is not null").select("node", "n", "sketch", "text")
     counted = sets.select("text").mapInArrow(_count_blocks(buckets, words), "bucket int, data binary")
     found = counted.groupBy("bucket").applyInArrow(_often(OFTEN), "shingle long, documents long")
@@ -347,7 +387,7 @@ def _components_of_rows(docs: DataFrame, id_col: str, text_col: str, words: int,
     often = np.sort(top["shingle"].to_numpy().view(np.uint64))
 
     blocks = sets.select("text", "node").mapInArrow(_entry_blocks(buckets, words, percent, often), "bucket int, data binary, entries long")
-    lists = store(blocks.groupBy("bucket").applyInArrow(_shared(often), _SHARED), "jaccard-entries")
+    lists = store(blocks.groupBy("bucket").applyInArrow(_shared(often, percent), _SHARED), "jaccard-entries")
 
     # Equal sets of different tasks.
     digests = saved.where("text is not null").select("digest", "node")

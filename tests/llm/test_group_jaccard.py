@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 import pytest
 
 from rowkin.llm import group_jaccard as J
@@ -57,3 +59,29 @@ def test_components_of_a_path(spark):
     df = spark.createDataFrame(edges, "x long, y long")
     labels = {r["node"]: r["label"] for r in J.components(df).collect()}
     assert labels == {**{i: 0 for i in range(61)}, 100: 100, 200: 100}
+
+
+def test_entries_without_a_possible_partner_leave_their_list(monkeypatch):
+    """Against all pairs of every short list; longer lists keep everything."""
+    monkeypatch.setattr(J, "SHORT_LIST", 6)
+    rng = np.random.default_rng(2)
+    n = 3000
+    size = rng.integers(20, 40, n)
+    e = {
+        "shingle": np.sort(rng.integers(0, 900, n)).astype(np.uint64), "n": size.astype(np.int32),
+        "place": rng.integers(0, 8, n).astype(np.int32),
+        # Sketches that differ in few bits, the sign among them.
+        **{c: rng.integers(0, 1 << 63, 1)[0] ^ (rng.integers(0, 2, (n, 6)) << np.array([0, 5, 9, 33, 62, 63])).sum(axis=1) for c in ("low", "high")},
+    }
+    kept = J._with_partner(e, 85)
+    for key in np.unique(e["shingle"]):
+        at = np.flatnonzero(e["shingle"] == key)
+        for a in at:
+            fits = len(at) > 6
+            for b in at[at != a]:
+                small, large = sorted((int(e["n"][a]), int(e["n"][b])))
+                before, behind = min(int(e["place"][x]) for x in (a, b)), min(int(e["n"][x]) - 1 - int(e["place"][x]) for x in (a, b))
+                differ = sum(bin((int(e[c][a]) ^ int(e[c][b])) & (1 << 64) - 1).count("1") for c in ("low", "high"))
+                fits |= 100 * small >= 85 * large and 185 * (before + 1 + behind) >= 85 * (small + large) and 185 * (small + large - differ) >= 170 * (small + large)
+            assert kept[a] == fits
+    assert 0.1 < kept.mean() < 0.9
