@@ -8,7 +8,7 @@ among the first ``n - ceil(t n) + 1`` of each, their prefixes.
    what sets a document apart.  The list is bounded and made from all documents: every task counts the
    shingles it meets several times.  Only the order, and so the work, depends on it; no result does.
 3. Prefix entries (shingle, document, size, place, digest of the prefix) go to buckets by shingle in
-   blocks; entries whose shingle nobody else has end there.
+   blocks; entries whose shingle nobody else has, or nobody whom sizes, places and sketches allow, end there.
    A document also gets a sketch: one bit per hash class, flipped by each of its shingles.  Bits in which
    two sketches differ stand for shingles that only one of them has, so they bound the overlap.
 4. Documents with one prefix and size are a group: in a shingle's list they stand together, and a
@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowkin.llm.rows import bounded, keyed
+from rowkin.llm.rows import bounded, keyed, small_batches
 from rowkin.scratch import dropping, store, write_out
 
 WORDS = 4
@@ -363,7 +363,7 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     smallest unless it has only null ids.  An empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
-    with dropping(spark) as made:
+    with small_batches(spark), dropping(spark) as made:
         result = write_out(_components_of_rows(docs, id_col, text_col, words, percent), "jaccard-result")
         made.pop()  # the result stays, all tables that led to it go
     return result

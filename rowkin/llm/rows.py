@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowkin.scratch import write_out
@@ -28,3 +31,16 @@ def keyed(docs: DataFrame, label: str) -> DataFrame:
 def bounded(df: DataFrame, rows: int) -> DataFrame:
     """``df`` with a broadcast hint if its ``rows`` are few enough."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1_000) -> Iterator[None]:
+    """Arrow batches of so many rows for the jobs run inside: with whole texts in them, ten times as many take
+    tens of megabytes on either side of every task."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(rows, int(before)) if int(before) > 0 else rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
