@@ -46,8 +46,8 @@ def test_stages_one_by_one(spark):
 def test_run_and_registration(spark):
     rows = P.run(spark, SMALL)
     assert rows.count() > 0 and "ids" in rows.columns
-    assert set(ORACLES) <= set(QUERIES) and len(QUERIES) == 10
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert set(ORACLES) <= set(QUERIES) and len(QUERIES) == 13
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
 
 
 def test_stages_survive_an_empty_table(spark):
