@@ -10,14 +10,16 @@ among the first ``n - ceil(t n) + 1`` of each, their prefixes.
 3. Prefix entries (shingle, document, size, place, digest of the prefix) go to buckets by shingle in
    blocks; entries whose shingle nobody else has, or nobody whom sizes, places and sketches allow, end there.
    A document also gets a sketch: one bit per hash class, flipped by each of its shingles.  Bits in which
-   two sketches differ stand for shingles that only one of them has, so they bound the overlap.
+   two sketches differ stand for shingles that only one of them has, so they bound the overlap.  There are
+   at least twice as many classes as shingles; of two sketches the longer is folded to the length of the other.
 4. Documents with one prefix and size are a group: in a shingle's list they stand together, and a
    pair of groups is filtered once, by size and place, for all its members.
    Entries carry the sketch folded to 128 bits, which bounds the overlap of shorter documents at once.
 5. Pairs that pass, and whose whole sketches allow it, are verified on whole sets, in rounds: a round takes as partners the first 1, 8, 64, ...
    entries of every list, and leaves out pairs already in one component, so a large group of copies
-   costs a comparison or two per document and not all pairs.  Rounds end when every list is in one
-   component or used up; no pair is left out for any other reason.
+   costs a comparison or two per document and not all pairs.  Within a round every document is compared with
+   its likeliest partner first; the other pairs follow as far as they are not in one component by then.
+   Rounds end when every list is in one component or used up; no pair is left out for any other reason.
 6. Components grow by large-star and small-star steps on the links found, all in Spark.
 """
 
@@ -53,8 +55,9 @@ PARTNERS = 1
 GROWTH = 8
 #: Pairs of 16 bytes that are broadcast; more are joined by a shuffle.
 BROADCAST_PAIRS = 1_000_000
-#: Bits of a sketch.
+#: Least bits of a sketch, and least bits per shingle.
 SKETCH = 1024
+SKETCH_PER_SHINGLE = 2
 _COUNTER_BITS = 33
 _M = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -87,10 +90,27 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
 
 
 def sketch(made: np.ndarray) -> bytes:
-    flipped = np.bincount((made >> np.uint64(20)) % np.uint64(SKETCH), minlength=SKETCH) & 1
+    """One bit per hash class, set if an odd number of shingles is in it; their number is a power of two."""
+    bits = max(SKETCH, 1 << (SKETCH_PER_SHINGLE * len(made) - 1).bit_length())
+    flipped = np.bincount(((made >> np.uint64(20)) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(flipped.astype(bool)).tobytes()
 
 
+def differing(one: list[bytes], two: list[bytes]) -> np.ndarray:
+    """In how many bits the sketches of each pair differ, the longer one folded to the length of the shorter."""
+    out = np.zeros(len(one), np.int64)
+    lengths = np.array([(len(a), len(b)) for a, b in zip(one, two, strict=True)]).reshape(-1, 2)
+    for a, b in np.unique(lengths, axis=0):
+        at = np.flatnonzero((lengths == (a, b)).all(axis=1))
+        size = min(a, b) // 8
+        folded = [
+            np.bitwise_xor.reduce(np.frombuffer(b"".join(side[i] for i in at), np.uint64).reshape(len(at), -1, size), axis=1)
+            for side in (one, two)
+        ]
+        out[at] = np.bitwise_count(folded[0] ^ folded[1]).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def _collapsed(words: int):
     """(node, same_as, id, n, digest, sketch, text): sketch and text only where no earlier row of the task has the set."""
 
@@ -302,24 +322,47 @@ def _attached(pairs: DataFrame, rows: int, sides: DataFrame) -> DataFrame:
 def _possible(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in (2, 3))
             size = batch.column(4).to_numpy() + batch.column(5).to_numpy()
-            differ = np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64)
+            differ = differing(batch.column(2).to_pylist(), batch.column(3).to_pylist())
             # The overlap is at most (size - differ) / 2 and must be at least percent / (100 + percent) * size.
             keep = (100 + percent) * (size - differ) >= 2 * percent * size
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["x", "y"]).filter(pa.array(keep))
+            apart = differ / np.maximum(size, 1)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(apart)], names=["x", "y", "apart"]).filter(pa.array(keep))
 
     return run
 
 
 def verified(pairs: DataFrame, rows: int, sets: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The (x, y) of ``pairs`` whose sets are similar; ``sets`` is (node, n, sketch, text)."""
-    sketches = sets.select("node", "n", F.col("sketch").alias("data"))
-    likely = store(_attached(pairs, rows, sketches).mapInArrow(_possible(percent), "x long, y long"), "jaccard-likely")
+    """The (x, y) of ``pairs`` whose sets are similar; ``sets`` is (node, n, text)."""
     texts = sets.select("node", "n", F.col("text").alias("data"))
-    return _attached(likely.table, likely.rows, texts).mapInArrow(_verified(words, percent), "x long, y long")
+    return _attached(pairs, rows, texts).mapInArrow(_verified(words, percent), "x long, y long")
+
+
+def linked(pairs: DataFrame, rows: int, sets: DataFrame, labels: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``labels`` (node, label) after the links among ``pairs``; ``sets`` is (node, n, sketch, text).
+
+    Texts only travel for pairs that their sketches allow, and whose documents are not connected already:
+    first those of every document and its likeliest partner, then those that are still in two components.
+    """
+    sketches = sets.select("node", "n", F.col("sketch").alias("data"))
+    likely = store(_attached(pairs, rows, sketches).mapInArrow(_possible(percent), "x long, y long, apart double"), "jaccard-likely")
+    if not likely.rows:
+        return labels
+
+    def joined_to(now: DataFrame, chosen: DataFrame, count: int) -> DataFrame:
+        links = verified(chosen, count, sets, words, percent)
+        # What is connected already is a star each: its links are not needed any more.
+        return components(links.unionByName(now.select(F.col("node").alias("x"), F.col("label").alias("y"))))
+
+    best = likely.table.groupBy("x").agg(F.min(F.struct("apart", "y")).alias("best"))
+    first = store(best.select("x", F.col("best.y").alias("y")), "jaccard-first")
+    labels = joined_to(labels, first.table, first.rows)
+    others = likely.table.select("x", "y").join(first.table, ["x", "y"], "left_anti")
+    for side in ("x", "y"):
+        others = others.join(labels.select(F.col("node").alias(side), F.col("label").alias(f"of_{side}")), side, "left")
+    apart = F.coalesce("of_x", "x") != F.coalesce("of_y", "y")
+    rest = store(others.where(apart).select("x", "y"), "jaccard-rest")
+    return joined_to(labels, rest.table, rest.rows) if rest.rows else labels
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -422,9 +465,7 @@ def _components_of_rows(docs: DataFrame, id_col: str, text_col: str, words: int,
         )
         chosen = store(pairs, "jaccard-pairs")
         if chosen.rows:
-            links = verified(chosen.table, chosen.rows, sets, words, percent)
-            # What is connected already is a star each: its links are not needed any more.
-            labels = components(links.unionByName(labels.select(F.col("node").alias("x"), F.col("label").alias("y"))))
+            labels = linked(chosen.table, chosen.rows, sets, labels, words, percent)
         if open_lists.figures["most"] <= high:
             break
         low, high = high, high * GROWTH

@@ -34,13 +34,16 @@ def bounded(df: DataFrame, rows: int) -> DataFrame:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 1_000) -> Iterator[None]:
-    """Arrow batches of so many rows for the jobs run inside: with whole texts in them, ten times as many take
-    tens of megabytes on either side of every task."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, min(rows, int(before)) if int(before) > 0 else rows)
+def small_batches(spark: SparkSession, rows: int = 1_000, size: int = 4 << 20) -> Iterator[None]:
+    """Arrow batches of at most so many rows, and of about so many bytes, for the jobs run inside: with whole texts in
+    them, ten times as many take tens of megabytes on either side of every task."""
+    limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {name: spark.conf.get(name) for name in limits}
+    for name, most in limits.items():
+        now = int(before[name].rstrip("b"))
+        spark.conf.set(name, min(most, now) if now > 0 else most)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)

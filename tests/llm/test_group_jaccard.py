@@ -85,3 +85,40 @@ def test_entries_without_a_possible_partner_leave_their_list(monkeypatch):
                 fits |= 100 * small >= 85 * large and 185 * (before + 1 + behind) >= 85 * (small + large) and 185 * (small + large - differ) >= 170 * (small + large)
             assert kept[a] == fits
     assert 0.1 < kept.mean() < 0.9
+
+
+def test_sketches_of_any_length_bound_the_difference():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in (1, 30, 400, 513, 5000, 40_000)]
+    sets += [np.union1d(s[: len(s) * 9 // 10], rng.integers(0, 1 << 63, 1 + len(s) // 20).astype(np.uint64)) for s in sets]
+    made = [J.sketch(s) for s in sets]
+    assert all(8 * len(m) >= max(1024, 2 * len(s)) for m, s in zip(made, sets))
+    one, two = zip(*[(a, b) for a in range(len(sets)) for b in range(len(sets))])
+    differ = J.differing([made[a] for a in one], [made[b] for b in two])
+    for a, b, d in zip(one, two, differ):
+        apart = len(np.setxor1d(sets[a], sets[b]))
+        assert d <= apart and (d - apart) % 2 == 0
+        if abs(a - b) == 6 and len(sets[a]) > 300:  # a text and its near copy
+            assert d > 0.8 * apart
+    assert len(J.differing([], [])) == 0
+
+
+def test_links_are_the_same_whether_pairs_come_first_or_later(spark):
+    """Every pair of a table, so that a document's likeliest partner is one among many."""
+    docs = [(k, t or "") for k, (_, t) in enumerate(_docs(5))]
+    texts = {k: t for k, t in docs if len(J.shingles(t))}
+    rows = [(k, len(J.shingles(t)), J.sketch(J.shingles(t)), len(t.encode()).to_bytes(8, "little") + J.pa.compress(t.encode(), codec="zstd", asbytes=True)) for k, t in texts.items()]
+    sets = spark.createDataFrame(rows, "node long, n long, sketch binary, text binary")
+    every = [(a, b) for a in texts for b in texts if b < a]
+    none = spark.createDataFrame([], "node long, label long")
+    labels = {r["node"]: r["label"] for r in J.linked(spark.createDataFrame(every, "x long, y long"), len(every), sets, none).collect()}
+    group = {k: k for k in texts}
+
+    def top(k):
+        return k if group[k] == k else top(group[k])
+
+    for a, b in every:
+        if J.similar(J.shingles(texts[a]), J.shingles(texts[b])):
+            one, two = sorted((top(a), top(b)))
+            group[two] = one
+    assert {k: labels.get(k, k) for k in texts} == {k: top(k) for k in texts}
