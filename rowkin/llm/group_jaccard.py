@@ -12,6 +12,7 @@ among the first ``n - ceil(t n) + 1`` of each, their prefixes.
    A document also gets a sketch: one bit per hash class, flipped by each of its shingles.  Bits in which
    two sketches differ stand for shingles that only one of them has, so they bound the overlap.  There are
    at least twice as many classes as shingles; of two sketches the longer is folded to the length of the other.
+   Lists of the same documents lead to the same pairs, so one of them stays: near copies share most of their prefixes.
 4. Documents with one prefix and size are a group: in a shingle's list they stand together, and a
    pair of groups is filtered once, by size and place, for all its members.
    Entries carry the sketch folded to 128 bits, which bounds the overlap of shorter documents at once.
@@ -35,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowkin.llm.rows import bounded, keyed, small_batches
+from rowkin.llm.rows import bounded, keyed, short_shuffles, small_batches
 from rowkin.scratch import dropping, store, write_out
 
 WORDS = 4
@@ -269,6 +270,22 @@ def _with_partner(e: dict[str, np.ndarray], percent: int) -> np.ndarray:
     return kept
 
 
+def _lists(keys: np.ndarray, nodes: np.ndarray, late: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two numbers for the list of every entry, the same for lists of the same nodes: a sum of hashes, and the smallest node.
+
+    Entries come in order of their shingles.  A ``late`` shingle's list is not whole here; it goes by the shingle and -1.
+    """
+    if not len(keys):
+        return keys, nodes
+    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    length = np.diff(np.append(starts, len(keys)))
+    mixed = (nodes.astype(np.uint64) + _M[0]) * _M[1]
+    mixed = (mixed ^ mixed >> np.uint64(32)) * _M[2]
+    mixed ^= mixed >> np.uint64(29)
+    of_list = np.repeat(np.add.reduceat(mixed, starts), length), np.repeat(np.minimum.reduceat(nodes, starts), length)
+    return np.where(late, keys, of_list[0]), np.where(late, -1, of_list[1])
+
+
 def _shared(often: np.ndarray, percent: int):
     """Entries that may have a partner in their list, or whose shingle is frequent anyway."""
 
@@ -284,15 +301,19 @@ def _shared(often: np.ndarray, percent: int):
         order = np.argsort(np.concatenate(parts["shingle"]), kind="stable")
         columns = {name: np.concatenate(p)[order] for name, p in parts.items()}
         kept = _with_partner(columns, percent)
-        if len(often):
-            keys = columns["shingle"]
-            kept |= often[np.minimum(np.searchsorted(often, keys), len(often) - 1)] == keys
-        return pa.table({name: c[kept].view(np.int64) if c.dtype == np.uint64 else c[kept] for name, c in columns.items()})
+        keys = columns["shingle"]
+        late = often[np.minimum(np.searchsorted(often, keys), len(often) - 1)] == keys if len(often) else np.zeros(len(keys), bool)
+        kept |= late
+        columns = {name: c[kept] for name, c in columns.items()}
+        columns["shingle"], columns["first"] = _lists(columns["shingle"], columns["node"], late[kept])
+        return pa.table({name: c.view(np.int64) if c.dtype == np.uint64 else c for name, c in columns.items()})
 
     return run
 
 
-_SHARED = "shingle long, node long, n int, place int, prefix long, low long, high long"
+_SHARED = "shingle long, node long, n int, place int, prefix long, low long, high long, first long"
+#: What names a list: see ``_lists``.
+LIST = ["shingle", "first"]
 
 
 def _verified(words: int, percent: int):
@@ -406,13 +427,14 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     smallest unless it has only null ids.  An empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
-    with small_batches(spark), dropping(spark) as made:
-        result = write_out(_components_of_rows(docs, id_col, text_col, words, percent), "jaccard-result")
+    with small_batches(spark), short_shuffles(spark), dropping(spark) as made:
+        result = write_out(_components_of_rows(docs, id_col, text_col, words, percent, made), "jaccard-result")
         made.pop()  # the result stays, all tables that led to it go
     return result
 
 
-def _components_of_rows(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+def _components_of_rows(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, made: list[str]) -> DataFrame:
+    """The rows of :func:`joined`; the tables they still depend on are added to ``made``."""
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
@@ -430,7 +452,10 @@ def _components_of_rows(docs: DataFrame, id_col: str, text_col: str, words: int,
     often = np.sort(top["shingle"].to_numpy().view(np.uint64))
 
     blocks = sets.select("text", "node").mapInArrow(_entry_blocks(buckets, words, percent, often), "bucket int, data binary, entries long")
-    lists = store(blocks.groupBy("bucket").applyInArrow(_shared(often, percent), _SHARED), "jaccard-entries")
+    entries = blocks.groupBy("bucket").applyInArrow(_shared(often, percent), _SHARED)
+    # Shingles come in one order in all documents, so the smallest places belong to one shingle of those with a list in common.
+    same = entries.groupBy(*LIST, "node", "n", "prefix", "low", "high").agg(F.min("place").alias("place"))
+    lists = store(same, "jaccard-entries")
 
     # Equal sets of different tasks.
     digests = saved.where("text is not null").select("digest", "node")
@@ -441,21 +466,21 @@ def _components_of_rows(docs: DataFrame, id_col: str, text_col: str, words: int,
     open_lists = lists
     while open_lists.rows:
         now = _labelled(open_lists.table.drop("label", "size"), labels)
-        span = now.groupBy("shingle").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("size"))
-        undecided = now.join(span.where(f"a < b and size > {low}"), "shingle").drop("a", "b")
+        span = now.groupBy(*LIST).agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("size"))
+        undecided = now.join(span.where(f"a < b and size > {low}"), LIST).drop("a", "b")
         open_lists = store(undecided, "jaccard-open", most=F.max("size"))
         if not open_lists.rows:
             break
-        place = Window.partitionBy("shingle").orderBy("n", "prefix", "node")
+        place = Window.partitionBy(*LIST).orderBy("n", "prefix", "node")
         ranked = open_lists.table.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= high)
         partners = ranked.where(F.col("rank") > low).select(
-            "shingle", *[F.col(c).alias(f"p_{c}") for c in ("node", "n", "place", "prefix", "low", "high", "label")]
+            *LIST, *[F.col(c).alias(f"p_{c}") for c in ("node", "n", "place", "prefix", "low", "high", "label")]
         )
         e, p = F.col("n"), F.col("p_n")
         reach = F.least("place", "p_place") + 1 + F.least(e - 1 - F.col("place"), p - 1 - F.col("p_place"))
         differ = sum(F.bit_count(F.col(c).bitwiseXOR(F.col(f"p_{c}"))) for c in ("low", "high"))
         pairs = (
-            open_lists.table.join(partners, "shingle")
+            open_lists.table.join(partners, LIST)
             .where(F.struct("p_n", "p_prefix", "p_node") < F.struct("n", "prefix", "node"))
             .where(F.col("label") != F.col("p_label"))
             .where((100 + percent) * (e + p - differ) >= 2 * percent * (e + p))
@@ -463,9 +488,11 @@ def _components_of_rows(docs: DataFrame, id_col: str, text_col: str, words: int,
             .select(F.col("node").alias("x"), F.col("p_node").alias("y"))
             .distinct()
         )
-        chosen = store(pairs, "jaccard-pairs")
-        if chosen.rows:
-            labels = linked(chosen.table, chosen.rows, sets, labels, words, percent)
+        with dropping(spark) as steps:
+            chosen = store(pairs, "jaccard-pairs")
+            if chosen.rows:
+                labels = write_out(linked(chosen.table, chosen.rows, sets, labels, words, percent), "jaccard-labels")
+                made.append(steps.pop())  # the labels stay for now, the tables that led to them go
         if open_lists.figures["most"] <= high:
             break
         low, high = high, high * GROWTH

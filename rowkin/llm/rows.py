@@ -34,16 +34,27 @@ def bounded(df: DataFrame, rows: int) -> DataFrame:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 1_000, size: int = 4 << 20) -> Iterator[None]:
-    """Arrow batches of at most so many rows, and of about so many bytes, for the jobs run inside: with whole texts in
-    them, ten times as many take tens of megabytes on either side of every task."""
-    limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": size}
-    before = {name: spark.conf.get(name) for name in limits}
-    for name, most in limits.items():
-        now = int(before[name].rstrip("b"))
-        spark.conf.set(name, min(most, now) if now > 0 else most)
+def _set(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    before = {name: spark.conf.get(name) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1_000, size: int = 4 << 20) -> Iterator[None]:
+    """Arrow batches of at most so many rows, and of about so many bytes, for the jobs run inside: with whole texts in
+    them, ten times as many take tens of megabytes on either side of every task."""
+    limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    now = {name: int(spark.conf.get(name).rstrip("b")) for name in limits}
+    with _set(spark, {name: str(min(most, now[name]) if now[name] > 0 else most) for name, most in limits.items()}):
+        yield
+
+
+def short_shuffles(spark: SparkSession):
+    """Shuffle files go when the job that wrote them has ended: for steps that each write a table, from which the next reads."""
+    return _set(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})

@@ -122,3 +122,13 @@ def test_links_are_the_same_whether_pairs_come_first_or_later(spark):
             one, two = sorted((top(a), top(b)))
             group[two] = one
     assert {k: labels.get(k, k) for k in texts} == {k: top(k) for k in texts}
+
+
+def test_lists_of_the_same_nodes_have_one_name():
+    keys = np.array([1, 1, 3, 3, 5, 5, 5, 8, 8, 9], np.uint64)
+    nodes = np.array([7, 2, 2, 7, 2, 7, 9, 7, 2, 2])
+    late = keys == 8
+    names = list(zip(*(x.tolist() for x in J._lists(keys, nodes, late))))
+    assert len(set(names[:4])) == 1 and len({names[0], names[4], names[7], names[9]}) == 4
+    assert len(set(names[4:7])) == 1 and names[7] == names[8] == (8, -1)
+    assert [len(x) for x in J._lists(keys[:0], nodes[:0], late[:0])] == [0, 0]
