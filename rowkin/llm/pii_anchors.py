@@ -32,7 +32,8 @@ _IP = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE_RUN = re.compile(r"\+[0-9][\x20().0-9-]+")
 _DIGIT_RUN = re.compile(r"[0-9]+")
-_SCHEME_TAIL = re.compile(r"[A-Za-z][A-Za-z0-9+.-]{0,15}\Z")
+_LETTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+_SCHEME = _LETTERS | _DIGITS | frozenset("+.-")
 #: A network address with credentials: userinfo, then a host.
 _AUTHORITY = re.compile(r"([A-Za-z0-9._~%!$&'*+,;=:-]+)@([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*)(:[0-9]{1,5})?(/[^\s<>\"']*)?")
 _AFTER_CUE = re.compile(r"(?:[ ]?(?:number|no\.?|nr\.?|#))?[ ]?[:#=]?[ ]?", re.IGNORECASE)
@@ -79,6 +80,16 @@ def _email(text: str, at: int, free: int) -> tuple[int, int] | None:
     return start, domain.end()
 
 
+def _scheme(text: str, end: int) -> int:
+    """Where the scheme that ends at ``end`` starts: at the first letter of its run of scheme characters, else ``end``."""
+    start = end
+    while start and text[start - 1] in _SCHEME:
+        start -= 1
+    while start < end and text[start] not in _LETTERS:
+        start += 1
+    return start
+
+
 def _account(text: str, cue: str, end: int) -> tuple[int, int] | None:
     """The validated identifier that follows a cue ending at ``end``."""
     at = _AFTER_CUE.match(text, end).end()
@@ -138,9 +149,8 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
                     if 8 <= sum(c in _DIGITS for c in text[last:end]) <= 15:
                         found["phone"].append((last, end))
         elif anchor == "scheme":
-            scheme = _SCHEME_TAIL.search(text[max(0, last - 18) : last - 2])
-            if scheme and (m := _AUTHORITY.match(text, last + 1)):
-                start = last - 2 - len(scheme[0])
+            start = _scheme(text, last - 2)
+            if start < last - 2 and (m := _AUTHORITY.match(text, last + 1)):
                 if not found["address"] or start >= found["address"][-1][1]:
                     found["address"].append((start, m.end()))
         elif (span := _account(text, anchor, last + 1)) and (not found["account"] or span[0] >= found["account"][-1][1]):

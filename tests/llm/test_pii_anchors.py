@@ -56,3 +56,13 @@ def test_query_columns_and_redaction(spark):
     kept = sorted((tuple(r) for r in P.redacted(docs).collect()), key=repr)
     assert kept == sorted([(1, "x [EMAIL] [IP]", "k"), (1, None, "k"), (None, "", None)], key=repr)
     assert P.detected(docs.limit(0)).collect() == []
+
+
+def test_schemes_are_taken_whole():
+    def addresses(text):
+        return [text[a:b] for kind, a, b in P.find(text) if kind == "address"]
+
+    long = "verylongschemename-abcdefgh" * 40 + "://u:p@host.x/y"
+    assert addresses(long) == [long] and addresses(f"see {long} there") == [long]
+    assert addresses("+1.ssh://u:p@h.x") == ["ssh://u:p@h.x"]
+    assert addresses("://u:p@h.x 12://u:p@h.x +-://u:p@h.x") == []
