@@ -19,11 +19,13 @@ from pyspark.sql import functions as F
 
 #: Kinds in the order of the result.  The first four are the base kinds.
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "address", "account")
+KINDS = (*BASE_KINDS, "address", "account", "secret")
 MASKS = {kind: f"[{kind.upper()}]" for kind in KINDS}
 
 #: Words that announce an account or identity number.
 CUES = ("iban", "account", "acct", "ssn", "passport")
+#: Words that announce a secret, and the least characters of one.
+SECRETS = {"token": 16, "secret": 16, "key": 16, "password": 8, "passwd": 8}
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DIGITS = frozenset("0123456789")
@@ -40,6 +42,9 @@ _AFTER_CUE = re.compile(r"(?:[ ]?(?:number|no\.?|nr\.?|#))?[ ]?[:#=]?[ ]?", re.I
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){11,30}")
 _SSN = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _NUMBER = re.compile(r"[0-9](?:[ -]?[0-9]){6,16}(?![0-9])")
+#: An assignment, then the value up to a character that no secret holds; as values end before the next
+#: assignment, no character belongs to two of them.
+_SECRET = re.compile(r"[\"']?[ ]?(?::=|=>|=|:)[ ]?[\"']?([A-Za-z0-9_+/.~-]+={0,2})")
 _PASSPORT = re.compile(r"[A-Z]{1,2}[0-9]{6,8}(?![A-Za-z0-9])")
 
 
@@ -48,7 +53,7 @@ def _automaton():
     import ahocorasick
 
     anchors = {"@": "at", "+": "plus", "://": "scheme", **dict.fromkeys("0123456789", "digit")}
-    for cue in CUES:
+    for cue in (*CUES, *SECRETS):
         anchors |= dict.fromkeys((cue, cue.upper(), cue.capitalize()), cue)
     machine = ahocorasick.Automaton()
     for text, kind in anchors.items():
@@ -109,12 +114,23 @@ def _account(text: str, cue: str, end: int) -> tuple[int, int] | None:
     return m.span() if m else None
 
 
+def _secret(text: str, cue: str, end: int) -> tuple[int, int] | None:
+    """The value assigned behind a cue ending at ``end``, if it is long enough and mixes letters and digits, as no
+    word does; marks that end a sentence are not part of it."""
+    if not (m := _SECRET.match(text, end)):
+        return None
+    value = m[1].rstrip(".-")
+    if len(value) < SECRETS[cue] or _DIGITS.isdisjoint(value) or _LETTERS.isdisjoint(value):
+        return None
+    return m.start(1), m.start(1) + len(value)
+
+
 def find(text: str | None) -> list[tuple[str, int, int]]:
     """Spans (kind, start, end) in code points, end exclusive, by kind in the order of ``KINDS``, then start.
 
     Base kinds are the leftmost non-overlapping matches of their patterns; those that fail validation are
     dropped and not tried again.  ``address`` is a URL with credentials, ``account`` an identifier behind a
-    cue.  Kinds may overlap each other.  A null or empty text has none.
+    cue, ``secret`` a token, key or password assigned behind a cue.  Kinds may overlap each other.  A null or empty text has none.
     """
     found: dict[str, list[tuple[int, int]]] = {kind: [] for kind in KINDS}
     if not text:
@@ -153,6 +169,9 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
             if start < last - 2 and (m := _AUTHORITY.match(text, last + 1)):
                 if not found["address"] or start >= found["address"][-1][1]:
                     found["address"].append((start, m.end()))
+        elif anchor in SECRETS:
+            if (span := _secret(text, anchor, last + 1)) and (not found["secret"] or span[0] >= found["secret"][-1][1]):
+                found["secret"].append(span)
         elif (span := _account(text, anchor, last + 1)) and (not found["account"] or span[0] >= found["account"][-1][1]):
             found["account"].append(span)
     return [(kind, *span) for kind in KINDS for span in found[kind]]
@@ -179,16 +198,17 @@ def _judged(docs: DataFrame, text_col: str, with_masked: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: list[list[int]] = [[] for _ in KINDS]
-            digests, every, texts = [], [], []
+            totals, digests, every, texts = [], [], [], []
             for value in batch.column(0):
                 text = value.as_py()
                 spans = find(text)
                 for k, kind in enumerate(KINDS):
                     counts[k].append(sum(s[0] == kind for s in spans))
+                totals.append(len(spans))
                 digests.append(hashlib.sha256(spelled([s for s in spans if s[0] in BASE_KINDS]).encode()).hexdigest())
                 every.append(spelled(spans))
                 texts.append(masked(text, spans) if with_masked and spans else text)
-            columns = [*(pa.array(c, pa.int64()) for c in counts), pa.array(digests, pa.string()), pa.array(every, pa.string())]
+            columns = [*(pa.array(c, pa.int64()) for c in (*counts, totals)), pa.array(digests, pa.string()), pa.array(every, pa.string())]
             if with_masked:
                 columns.append(pa.array(texts, pa.string()))
             yield pa.RecordBatch.from_arrays([batch.column(1), *columns], names=names)
@@ -199,7 +219,7 @@ def _judged(docs: DataFrame, text_col: str, with_masked: bool) -> DataFrame:
     schema = rows.drop("_text").schema
     for kind in KINDS:
         schema = schema.add(f"n_{kind}", "long")
-    schema = schema.add("base_sha256", "string").add("spans", "string")
+    schema = schema.add("n_spans", "long").add("base_sha256", "string").add("spans", "string")
     if with_masked:
         schema = schema.add("masked", "string")
     names = schema.names
@@ -207,8 +227,8 @@ def _judged(docs: DataFrame, text_col: str, with_masked: bool) -> DataFrame:
 
 
 def detected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The id of every row with its counts by kind, ``base_sha256`` (of the spans of the base kinds) and
-    ``spans``.
+    """The id of every row with its counts by kind and in all (``n_spans``), ``base_sha256`` (of the spans
+    of the base kinds) and ``spans``.
 
     Every row is judged on its own, so there is no shuffle; repeated rows and ties need no rule.  Columns
     other than the id and the text are not read.

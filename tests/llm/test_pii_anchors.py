@@ -66,3 +66,25 @@ def test_schemes_are_taken_whole():
     assert addresses(long) == [long] and addresses(f"see {long} there") == [long]
     assert addresses("+1.ssh://u:p@h.x") == ["ssh://u:p@h.x"]
     assert addresses("://u:p@h.x 12://u:p@h.x +-://u:p@h.x") == []
+
+
+def test_secrets_behind_cues():
+    def secrets(text):
+        return [text[a:b] for kind, a, b in P.find(text) if kind == "secret"]
+
+    value = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+    assert secrets(f'é token = "{value}"### 4785') == [value]
+    assert secrets(f"API_KEY={value}, 'secret': '{value}'. Token: {value}.") == [value] * 3
+    assert secrets("password: hunter2x9, Passwd=short1") == ["hunter2x9"]
+    assert secrets("the key: understanding-everything, token = 1234567890123456, secret 24be64439e3e49cf46b2d7c9") == []
+    assert secrets("key=dGhpcyBpcyBub3QgYQ==") == ["dGhpcyBpcyBub3QgYQ=="]
+    assert secrets("token=" * 50_000) == [] and secrets("key=" + "a1" * 100_000) == ["a1" * 100_000]
+    assert P.masked(f"x token={value} y", P.find(f"x token={value} y")) == "x token=[SECRET] y"
+
+
+def test_total_and_very_long_text(spark):
+    long = "plain words " * 40_000 + "a@b.c token=24be64439e3e49cf46b2d7c9 " + "é " * 40_000
+    docs = spark.createDataFrame([(1, long), (2, None)], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in P.detected(docs).collect()}
+    assert (rows[1]["n_email"], rows[1]["n_secret"], rows[1]["n_spans"]) == (1, 1, 2)
+    assert rows[1]["spans"] == "email:480000:480005,secret:480012:480036" and rows[2]["n_spans"] == 0
