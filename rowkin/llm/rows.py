@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowkin.scratch import write_out
@@ -14,16 +14,28 @@ from rowkin.scratch import write_out
 BROADCAST_ROWS = 1_000_000
 
 
+def _numbered(docs: DataFrame) -> Column | None:
+    """The hidden column with the place of every row, if ``docs`` is a plain table of files that number their rows."""
+    plan = docs._jdf.queryExecution().analyzed()
+    if plan.children().nonEmpty() or not docs.inputFiles():
+        return None
+    # A table may have a column of its own with this name.
+    hidden = docs.metadataColumn("_metadata")
+    return hidden if "row_index" in docs.select(hidden.alias("m")).schema["m"].dataType.names else None
+
+
 def keyed(docs: DataFrame, label: str) -> DataFrame:
     """(key, doc): a name for every row, the same whenever it is read, and the row itself as a struct.
 
-    Files name their rows themselves, by path and row number, however they are split.  Anything but a plain
-    table of files is written first.
+    Parquet files name their rows themselves, by path and row number, however they are split.  Anything
+    but a plain table of such files (a plan, a table of JSON, CSV or ORC files) is written first.  The columns of
+    ``docs`` may have any names.
     """
-    plan = docs._jdf.queryExecution().analyzed()
-    if plan.children().nonEmpty() or not docs.inputFiles():
+    place = _numbered(docs)
+    if place is None:
         docs = write_out(docs, label)
-    name = F.concat_ws(":", F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+        place = docs.metadataColumn("_metadata")
+    name = F.concat_ws(":", place["file_path"], place["row_index"])
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     return docs.select(F.unhex(F.md5(name)).alias("key"), row.alias("doc"))
 

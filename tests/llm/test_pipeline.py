@@ -80,3 +80,37 @@ def test_near_copies_by_five_words_and_four_fifths(spark):
     rows = [(r["doc_id"], r["text"]) for r in both.collect()]
     assert kept & {1, 2, 3, 4, 5, 6} == {1, 3, 5, 6}
     assert kept == {c if n else i for i, n, c in jaccard_components(rows, 5, 80)}
+
+
+def test_tables_of_other_files_and_clashing_columns(spark, tmp_path):
+    docs = table(spark, SMALL, "documents")
+    expected = sorted(r["doc_id"] for r in P.keep_one_of_near_copies(spark, docs, SMALL).collect())
+    extra = docs.withColumn("_metadata", F.lit("mine")).withColumn("key", F.lit(1)).withColumn("doc", F.lit("d"))
+    extra = extra.withColumn("node", F.lit(2)).withColumn("position", F.lit("p"))
+    for kind in ("parquet", "json", "orc", "csv"):
+        path = str(tmp_path / kind)
+        writer, reader = extra.write, spark.read.schema(extra.schema)
+        if kind == "csv":
+            writer, reader = (x.options(multiLine=True, quoteAll=True, escape='"', lineSep="\n") for x in (writer, reader))
+        writer.format(kind).save(path)
+        read = reader.format(kind).load(path)
+        one = P.keep_one_of_near_copies(spark, read, SMALL)
+        assert one.columns == extra.columns
+        kept = one.collect()
+        assert {r["_metadata"] for r in kept} == {"mine"}
+        if kind != "csv":  # CSV has its own rules for line ends and empty texts
+            assert sorted(r["doc_id"] for r in kept) == expected
+        mixed = P.mix_sources(spark, read, SMALL)
+        assert mixed.columns == extra.columns and {r["position"] for r in mixed.collect()} == {"p"}
+
+
+def test_all_stages_keep_clashing_columns(spark):
+    docs = table(spark, SMALL, "documents").limit(60)
+    for name in ("_metadata", "_row", "_text", "lang_pred", "score", "masked", "spans", "n_email", "key", "doc", "label", "size"):
+        docs = docs.withColumn(name, F.lit("x"))
+    columns = docs.columns
+    for name, stage in P.STAGES:
+        docs = stage(spark, docs, SMALL)
+        assert docs.count() > 0
+        if name != "packing":
+            assert docs.columns == columns and {r[0] for r in docs.select("score").distinct().collect()} == {"x"}
