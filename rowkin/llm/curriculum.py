@@ -160,23 +160,34 @@ def position(share: Column, tilt: Column) -> Column:
     return F.when(tilt == 0, share).otherwise(curved)
 
 
+def _words(epoch: int) -> Column:
+    """The words taken from a row of the plan in an epoch, counted from 0."""
+    return _part(F.round("target").cast("long") - F.col("start") - epoch * F.col("source_size"), F.col("size"))
+
+
+def _placed(epoch: int) -> Column:
+    """The position of a row's first word in an epoch; null where nothing is taken then."""
+    share = (F.col("start") + epoch * F.col("source_size")) / F.greatest(F.col("target"), F.lit(1.0))
+    return F.when(_words(epoch) > 0, position(F.least(share, F.lit(1.0)), F.col("tilt")))
+
+
+def with_positions(planned: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
+    """The plan's rows and columns with ``position_1``, ``position_2``, ...: the training position (in [0, 1], of its
+    first word) of the document each time it is taken, null where it is not."""
+    return planned.select(*planned.columns, *[_placed(epoch).alias(f"position_{epoch + 1}") for epoch in range(max_epochs)])
+
+
 def scheduled(planned: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """A row per time a document is taken: the plan's columns with ``epoch``, ``words`` (taken that
     time) and ``position`` (in [0, 1], of its first word), sorted by position over all partitions."""
-    goal = F.round("target").cast("long")
     times = F.array(
         *[
-            F.struct(
-                F.lit(epoch).alias("epoch"),
-                _part(goal - F.col("start") - epoch * F.col("source_size"), F.col("size")).alias("words"),
-                ((F.col("start") + epoch * F.col("source_size")) / F.greatest(F.col("target"), F.lit(1.0))).alias("share"),
-            )
+            F.struct(F.lit(epoch).alias("epoch"), _words(epoch).alias("words"), _placed(epoch).alias("position"))
             for epoch in range(max_epochs)
         ]
     )
     rows = planned.select(*planned.columns, F.inline(times)).where(F.col("words") > 0)
-    placed = rows.withColumn("position", position(F.least(F.col("share"), F.lit(1.0)), F.col("tilt"))).drop("share")
-    return placed.repartitionByRange("position").sortWithinPartitions("position", "source", "start")
+    return rows.repartitionByRange("position").sortWithinPartitions("position", "source", "start")
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:

@@ -54,15 +54,11 @@ def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_curriculum(spark: SparkSession, folder: str) -> DataFrame:
-    planned = curriculum.plan(table(spark, folder, "documents"))
-    first = curriculum.position(
-        F.least(F.col("start") / F.greatest(F.col("target"), F.lit(1.0)), F.lit(1.0)), F.col("tilt")
-    )
-    placed = planned.withColumn("position", F.when(F.col("taken") > 0, first))
+    placed = curriculum.with_positions(curriculum.plan(table(spark, folder, "documents")))
     # Documents that are not taken have no position: the further columns spread them.
-    order = ("position", "source", "start")
+    order = ("position_1", "source", "start")
     ordered = placed.repartitionByRange(*order).sortWithinPartitions(*order)
-    return ordered.select("doc_id", "size", "source_size", "target", "taken")
+    return ordered.select("doc_id", "size", "source_size", "target", "taken", "position_1", "position_2")
 
 
 def op6_language(spark: SparkSession, folder: str) -> DataFrame:
@@ -174,7 +170,8 @@ with d as (
 ),
 s as (
     select source, sum(size)::bigint as n,
-           [5, 2, 1][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int] as w
+           [5, 2, 1][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int] as w,
+           [0.5::double, 0.0::double, -0.5::double][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int] as tilt
     from d group by source
 ),
 steps as (select 0.0::double as r union select distinct 2.0::double * n / w from s),
@@ -188,16 +185,25 @@ level as (
     where not exists (select 1 from s where 2 * n > w * l.r and 2 * n <= w * l.lev) and lev is not null
     order by r limit 1
 ),
-t as (select source, n as source_size, least(2.0::double * n, w * coalesce((select lev from level), 0.0)::double) as target from s),
+t as (select source, tilt, n as source_size, least(2.0::double * n, w * coalesce((select lev from level), 0.0)::double) as target from s),
 p as (
-    select d.doc_id, d.size, t.source_size, t.target, round(t.target)::bigint as goal,
+    select d.doc_id, d.size, t.source_size, t.target, t.tilt, round(t.target)::bigint as goal,
            coalesce(sum(d.size) over (partition by d.source order by md5('mix-1:' || d.doc_id::varchar), d.doc_id, d.size, d.rid
-                                      rows between unbounded preceding and 1 preceding), 0) as start
+                                      rows between unbounded preceding and 1 preceding), 0)::bigint as start
     from d join t on d.source is not distinct from t.source
+),
+e as (
+    select *, greatest(0, least(size, goal - start)) as first, greatest(0, least(size, goal - start - source_size)) as second,
+           least(1.0::double, start::double / greatest(target, 1.0::double)) as x1,
+           least(1.0::double, (start + source_size)::double / greatest(target, 1.0::double)) as x2
+    from p
 )
-select doc_id, size::bigint as size, source_size, target,
-       (greatest(0, least(size, goal - start)) + greatest(0, least(size, goal - start - source_size)))::bigint as taken
-from p
+select doc_id, size::bigint as size, source_size, target, (first + second)::bigint as taken,
+       case when first > 0 then case when tilt = 0 then x1
+            else (sqrt((1 - tilt) * (1 - tilt) + 4 * tilt * x1) - (1 - tilt)) / (2 * tilt) end end as position_1,
+       case when second > 0 then case when tilt = 0 then x2
+            else (sqrt((1 - tilt) * (1 - tilt) + 4 * tilt * x2) - (1 - tilt)) / (2 * tilt) end end as position_2
+from e
 """,
     "op9_topk": r"""
 with v as (

@@ -46,6 +46,22 @@ def test_schedule_is_ordered_and_complete(spark):
     assert early["a"] / goal["a"] < 0.42 and early["c"] / goal["c"] > 0.58
 
 
+def test_positions_of_both_epochs(spark):
+    docs = spark.createDataFrame(_docs(8, ["a", "b", "c", "d", None]), "doc_id long, text string, source string")
+    planned = C.plan(docs)
+    rows = C.with_positions(planned).collect()
+    assert len(rows) == 300 and any(r["position_2"] is not None for r in rows)
+    times = sorted((r["source"] or "", r["start"], r["epoch"], r["position"]) for r in C.scheduled(planned).collect())
+    wide = [(r["source"] or "", r["start"], k, r[f"position_{k + 1}"]) for r in rows for k in (0, 1) if r[f"position_{k + 1}"] is not None]
+    assert sorted(wide) == times
+    for r in rows:
+        places = [(k, r[f"position_{k + 1}"]) for k in (0, 1) if r[f"position_{k + 1}"] is not None]
+        assert bool(places) == (r["taken"] > 0)
+        for k, t in places:  # the integral of the schedule up to the position is the share used up before the document
+            share = min(1.0, (r["start"] + k * r["source_size"]) / max(r["target"], 1.0))
+            assert abs(r["tilt"] * t * t + (1 - r["tilt"]) * t - share) < 1e-9
+
+
 def test_mixed_texts_hold_the_words_taken(spark):
     docs = [(i, f" w{i} x\ty\n z ", "ab"[i % 2]) for i in range(50)] + [(99, None, "a")]
     df = spark.createDataFrame([(*d, "k") for d in docs], "doc_id long, text string, source string, key string")
