@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowkin.llm.rank_language import _BLANK, CHUNK, _codes
@@ -28,6 +28,8 @@ from rowkin.llm.rank_language import _BLANK, CHUNK, _codes
 #: Bounds of the fitting sample, in texts.
 MOST_POSITIVE = 2000
 MOST_UNLABELLED = 5000
+#: ... and in characters of either side: a text that begins beyond them is left out.
+MOST_CHARS = 100_000_000
 #: Features: character n-grams of these lengths inside a blank-padded word, hashed to 2**HASH_BITS places.
 GRAMS = (4, 5)
 HASH_BITS = 30
@@ -166,13 +168,29 @@ def fit(positives: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
 
 
 def _sample(rows: DataFrame, most: int, total: int) -> DataFrame:
-    """About ``most`` of ``total`` rows by digest of the id, and never more than ``most``."""
+    """About ``most`` of ``total`` ids by their digest, and never more than ``most``."""
     if total <= most:
         return rows
     share = F.conv(F.substring(F.md5(F.col("id").cast("string")), 1, 8), 16, 10).cast("double") / F.lit(float(16**8))
     return rows.where(share < most / total).orderBy(F.md5(F.col("id").cast("string")), "id").limit(most)
 
 
+def _bounded_texts(rows: DataFrame) -> DataFrame:
+    """Of (positive, text) every text once a side, as far as the bounds allow, by digest: an id may repeat any number of
+    times, and texts have any length.  What is chosen is decided on digests and lengths; the texts are joined to that."""
+    named = rows.withColumn("digest", F.md5(F.coalesce("text", F.lit(""))))
+    narrow = named.select("positive", "digest", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("size")).distinct()
+    few = None
+    for flag, most in ((True, MOST_POSITIVE), (False, MOST_UNLABELLED)):
+        side = narrow.where(F.col("positive") == flag).orderBy("digest").limit(most)
+        few = side if few is None else few.unionByName(side)
+    # At most MOST_POSITIVE + MOST_UNLABELLED rows of some 60 bytes: one window task, and safe to broadcast.
+    before = Window.partitionBy("positive").orderBy("digest").rowsBetween(Window.unboundedPreceding, -1)
+    chosen = few.withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0))).where(F.col("before") < MOST_CHARS)
+    texts = named.join(F.broadcast(chosen.select("positive", "digest")), ["positive", "digest"])
+    return texts.dropDuplicates(["positive", "digest"]).select("positive", "text")
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", allowed: Column | None = None) -> Model:
     """Fit on the documents joined with ``labels`` (id, label: 1 toxic) where ``allowed`` holds.
@@ -197,7 +215,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     unlabelled = _sample(texts.select("id"), MOST_UNLABELLED, texts.count())
     chosen = positive.withColumn("positive", F.lit(True)).unionByName(unlabelled.distinct().withColumn("positive", F.lit(False)))
     # At most MOST_POSITIVE + MOST_UNLABELLED ids of 8 bytes and a flag: safe to broadcast.
-    rows = texts.join(F.broadcast(chosen), "id").select("positive", "text")
+    rows = _bounded_texts(texts.join(F.broadcast(chosen), "id").select("positive", "text"))
     made = rows.mapInArrow(_make_features, "positive boolean, features binary").collect()
     lists: dict[bool, list[np.ndarray]] = {True: [], False: []}
     for flag, data in made:

@@ -1,9 +1,11 @@
 """Language ID, toxicity and URL filters."""
 
+import math
 import random
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from rowkin.llm import nnpu_toxicity as N
 from rowkin.llm import rank_language as R
@@ -149,3 +151,70 @@ def test_fitting_sample_holds_2000_positive_and_5000_unlabelled_texts(spark, mon
     labels = spark.range(2500).selectExpr("id as doc_id", "cast(id < 2000 as int) as toxic")
     N.train(docs, labels)
     assert sizes == [(2000, 5000)]
+
+
+def test_toxicity_sample_is_bounded_by_rows_and_characters(spark, monkeypatch):
+    rows = [(1, f"vile text {i}") for i in range(20_000)] + [(1, "vile text 0")] * 50 + [(i, f"fine text {i}") for i in range(2, 400)] + [(None, None)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("positive", F.lit("mine")).withColumn("id", F.lit("x"))
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(N, "fit", lambda p, u, prior: seen.append((len(p), len(u), prior)))
+    monkeypatch.setattr(N, "MOST_POSITIVE", 100)
+    monkeypatch.setattr(N, "MOST_UNLABELLED", 300)
+    N.train(docs.select("doc_id", "text", "positive", "id"), labels)
+    assert seen[0][0] == 100 and 0 < seen[0][1] <= 300 and seen[0][2] == 0.5
+    monkeypatch.setattr(N, "MOST_CHARS", 60)
+    N.train(docs, labels)
+    assert 0 < seen[1][0] <= 7 and 0 < seen[1][1] <= 7
+
+
+def _plain_features(text):
+    """Distinct grams of lower-cased words between blanks, spelled out."""
+    out = set()
+    for word in "".join(c if c.isalpha() else " " for c in (text or "").lower()).split():
+        padded = f" {word} "
+        for n in N.GRAMS:
+            out.update(padded[i : i + n] for i in range(len(padded) - n + 1))
+    return out
+
+
+def test_toxicity_features_and_fit_against_plain_python():
+    texts = [r for r in ("the vile idiot", "idiot of the moors", "a b", "", None, "Vile VILE vile", "x1y2 idiots!")]
+    assert [len(N.text_features(t)) for t in texts] == [len(_plain_features(t)) for t in texts]
+    shared = {(a, b): len(np.intersect1d(N.text_features(a), N.text_features(b))) for a in texts for b in texts}
+    assert shared == {(a, b): len(_plain_features(a) & _plain_features(b)) for a in texts for b in texts}
+
+    rng = np.random.default_rng(3)
+    positives = [np.unique(np.r_[rng.integers(100, 160, 9), rng.choice([1, 2, 3, 4], 2)]) for _ in range(60)]
+    unlabelled = [np.unique(rng.integers(100, 160, 10)) for _ in range(240)] + positives[:9]
+    prior, steps, rate = 0.1, 25, 0.05
+    model = N.fit(positives, unlabelled, prior, steps, rate)
+    assert list(model.keys) == [1, 2, 3, 4]
+    # The same risk and the same steps, one text and one feature at a time; copies count once.
+    pos = [[float(f in set(x)) for f in model.keys] for x in {x.tobytes(): x for x in positives}.values()]
+    unl = [[float(f in set(x)) for f in model.keys] for x in {x.tobytes(): x for x in unlabelled}.values()]
+    par = [0.0] * len(model.keys) + [math.log(prior / (1 - prior))]
+    first, second = [0.0] * len(par), [0.0] * len(par)
+
+    def mean_slope(rows, shift):
+        out = [0.0] * len(par)
+        for row in rows:
+            z = sum(w * x for w, x in zip(par, row, strict=False)) + par[-1]
+            for k, x in enumerate([*row, 1.0]):
+                out[k] += (1 / (1 + math.exp(-z)) - shift) * x / len(rows)
+        return out
+
+    def mean_loss(rows):
+        return sum(math.log1p(math.exp(sum(w * x for w, x in zip(par, r, strict=False)) + par[-1])) for r in rows) / len(rows)
+
+    for step in range(1, steps + 1):
+        negative = mean_loss(unl) - prior * mean_loss(pos)
+        u, p, q = mean_slope(unl, 0), mean_slope(pos, 0), mean_slope(pos, 1)
+        for k in range(len(par)):
+            g = prior * q[k] + u[k] - prior * p[k] if negative >= 0 else -N.BACK * (u[k] - prior * p[k])
+            g += N.DECAY * par[k] if k < len(par) - 1 else 0
+            first[k] = 0.9 * first[k] + 0.1 * g
+            second[k] = 0.999 * second[k] + 0.001 * g * g
+        for k in range(len(par)):
+            par[k] -= rate * (first[k] / (1 - 0.9**step)) / (math.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
+    assert np.allclose([*model.weights, model.bias], par, atol=1e-6)
