@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -218,3 +219,62 @@ def test_toxicity_features_and_fit_against_plain_python():
         for k in range(len(par)):
             par[k] -= rate * (first[k] / (1 - 0.9**step)) / (math.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
     assert np.allclose([*model.weights, model.bias], par, atol=1e-6)
+
+
+def test_url_training_against_numpy(spark):
+    urls = U.labelled_urls()[::7]
+    table = spark.createDataFrame([*urls, (None, 1), ("http://x.test/", None), urls[0]], "url string, label int")
+    weights, bias = U.train(table, steps=6, rate=2.0)
+    host, path = U.host_and_path(F.col("url"))
+    rows = table.dropna().select(U.buckets(host, path).alias("f"), "label").collect()
+    x = np.zeros((len(rows), U.BUCKETS))
+    for row, found in zip(x, rows, strict=True):
+        row[found["f"]] = 1 / np.sqrt(len(found["f"]))
+    y = np.array([r["label"] for r in rows])
+    at = ahead = np.zeros(U.BUCKETS)
+    for _ in range(6):
+        off = 1 / (1 + np.exp(-(U.BIAS + x @ ahead))) - y
+        new = ahead - 2.0 / len(rows) * (x.T @ off)
+        at, ahead = new, new + U.MOMENTUM * (new - at)
+    assert bias == U.BIAS and np.allclose(weights, at, atol=1e-12)
+
+
+def test_url_hosts_and_paths_held_out(spark):
+    assert sorted(map(tuple, U.labelled_table(spark).collect())) == sorted(U.labelled_urls())
+
+    # Every fourth host and every fourth bad path is kept from the training.
+    bad, good, paths = U.BAD_HOSTS[::4], U.GOOD_HOSTS[::4], U.BAD_PATHS[::4]
+    gone = re.compile(r"[/.](" + "|".join((*bad, *good)) + r")\.test|(" + "|".join(map(re.escape, paths)) + ")$")
+    table = [(u, y) for u, y in U.labelled_urls() if not gone.search(u)]
+    assert 100 < len(table) < len(U.labelled_urls())
+    model = U.train(spark.createDataFrame(table, "url string, label int"))
+    share = {}
+    for name, hosts, ends in (
+        ("bad hosts", bad, U.GOOD_PATHS), ("bad paths", [h for h in U.GOOD_HOSTS if h not in good], paths), ("good hosts", good, U.GOOD_PATHS)
+    ):
+        made = [(k, f"https://www.{h}.test{p}") for k, (h, p) in enumerate((h, p) for h in hosts for p in ends)]
+        pages = spark.createDataFrame(made, "page_id long, url string")
+        share[name] = np.mean([r["verdict"] == "block" for r in U.judged(pages, model).collect()])
+    print(share)
+    assert share["bad hosts"] >= 0.6 and share["bad paths"] >= 0.5 and share["good hosts"] <= 0.25
+
+
+def test_url_edge_cases(spark):
+    long = "http://" + "ab" * 20_000 + ".net/es/" + "bc" * 20_000
+    pages = spark.createDataFrame(
+        [(None, "http://casino-win.org/", 1, "s"), (1, None, 1, "s"), (1, None, 1, "s"), (2, long, 1, "s"), (3, "", 1, "s")],
+        "page_id long, url string, host int, score string",
+    )
+    found = U.judged(pages, U.train(U.labelled_table(spark))).collect()
+    assert len(found) == 5 and [r["host"] for r in found if r["page_id"] in (1, 3)] == [""] * 3
+    assert [(r["rule"], r["verdict"]) for r in found if r["page_id"] == 2] == [("net/es/", "block")]
+    assert [r["verdict"] for r in found if r["page_id"] is None] == ["block"]
+
+
+def test_url_grams_against_plain_python(spark):
+    for host, path in (("casino-win.example.org", "/en/728"), ("", ""), ("é.x", "/12/3a"), ("ab" * 300, "/" + "c" * 200)):
+        text = re.sub("[0-9]+", "0", f"^{host}|{path}$")
+        grams = {text[i : i + n] for n in U.GRAMS for i in range(max(1, len(text) - n + 1))}
+        hashed = spark.createDataFrame([(g,) for g in grams], "g string").select(F.pmod(F.xxhash64("g"), F.lit(U.BUCKETS)).alias("b"))
+        found = spark.range(1).select(U.buckets(F.lit(host), F.lit(path)).alias("f")).first()["f"]
+        assert sorted(found) == sorted({r["b"] for r in hashed.collect()})
