@@ -8,8 +8,9 @@ for Similarity Joins").  Equal pieces turn the theta join into a hash join.
 
 One short piece says little where very many names share a context, and candidates grow with the square of
 the names.  There the shorter name is cut into t + 2 pieces, two of which must be intact, in places that leave
-enough edits before, between and behind them; the pair is the key.  Before any two names are compared, the
-letters that only one of them has bound their distance.
+enough edits before, between and behind them; the pair is the key.  Names of up to 13 letters have three edits
+at most, so one half of the shorter name has at most one: there the halves are the keys, with any one letter left
+out.  Before any two names are compared, the letters that only one of them has bound their distance.
 
 Rows that describe names here are ``(id, name, scope)``: ``scope`` is "" for the strict tier and
 ``field=value`` for a shared context.
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from rowkin.functions.similarity import bounded_distance, least_edits, letter_marks, max_edits, ratio_of
 from rowkin.operators.skew import left_join_by_key
 from rowkin.scratch import Stored, store, write_out
-from rowkin.settings import DEFAULTS, MatchSettings
+from rowkin.settings import DEFAULTS, MatchSettings, tasks_for
 
 # The two thresholds, the shortest comparable name, and the context fields.
 STRICT = 0.85
@@ -42,6 +43,10 @@ CONTEXT_FIELDS = ("department", "company", "address")
 _PLACED_LENGTH = 40
 # Up to this longer length two pieces may be asked for; the ways to place them grow fast with the edits.
 _PAIRED_LENGTH = 23
+# Up to this longer length the loose tier has at most three edits, so one of two halves has at most one.
+_HALVED_LENGTH = 13
+# Rows that a scoped name is cut into, as seen on names of 12 letters in large contexts; it only sets numbers of tasks.
+_KEYS_PER_NAME = 40
 # Ways to place two pieces of a name of 12 letters, beyond those to place one: the measure of ``large_context``.
 _USUAL_PLACES = 240
 
@@ -121,14 +126,23 @@ def long_side(scoped: DataFrame, figures: dict, settings: MatchSettings = DEFAUL
 
 
 def _keyed(scoped: DataFrame, placed, free, figures: dict, settings: MatchSettings, side: str) -> DataFrame:
+    # A task that cuts names holds what it makes of them until it is sent.
+    tasks = tasks_for(scoped.sparkSession, figures["rows"] * _KEYS_PER_NAME)
+    scoped = scoped.repartition(tasks, "id") if tasks else scoped
     cut = scoped.where("not direct").withColumn("theta", _theta())
     in_use = [n for n in range(_PLACED_LENGTH + 1) if figures["lengths"] >> n & 1]
+    halved = [n for n in in_use if n <= _HALVED_LENGTH] if figures["members"] >= settings.halved_context else []
     paired = {n: least for n in in_use if (least := _least_members(n, settings)) <= figures["members"]}
-    # In a context that asks for two pieces of a length, one piece is no key.
-    single = [F.when(F.col("long_len") == n, F.col("members") < least) for n, least in paired.items()]
+    # In a context that asks for halves or two pieces of a length, one piece is no key.
+    most = {**paired, **{n: min(paired.get(n, inf), settings.halved_context) for n in halved}}
+    single = [F.when(F.col("long_len") == n, F.col("members") < least) for n, least in most.items()]
     parts = [placed(cut, in_use).where(F.coalesce(*single, F.lit(True)))]
+    if halved:
+        parts.append(_halved(cut.where(F.col("members") >= settings.halved_context), side, halved))
+    paired = {n: least for n, least in paired.items() if n not in halved or least < settings.halved_context}
     if paired:
-        parts.append(_paired(cut, side, paired, in_use))
+        two = _paired(cut, side, paired, in_use)
+        parts.append(two.where(~F.col("long_len").isin(halved) | (F.col("members") < settings.halved_context)) if halved else two)
     if figures["longest"] > _PLACED_LENGTH:
         parts.append(free(cut))
     if figures["direct"]:
@@ -136,7 +150,51 @@ def _keyed(scoped: DataFrame, placed, free, figures: dict, settings: MatchSettin
     whole = parts[0].select(*KEYED)
     for part in parts[1:]:
         whole = whole.unionByName(part.select(*KEYED))
-    return whole
+    # The block tells the contexts apart, too: it is sorted and counted by alone.
+    return whole.withColumn("block", F.xxhash64("scope", "block"))
+
+
+@cache
+def halves(in_use: tuple[int, ...], side: str) -> list[tuple]:
+    """``(len, part, size, kind, dropped, at, width)``: the keys of names of these lengths, as one half of the shorter one.
+
+    Of a name and one as long or longer, both of at most ``_HALVED_LENGTH`` letters, one half of the shorter has at most
+    one edit; up to one edit in all it is the whole name.  Its counterpart stands at the same end, is as wide or wider
+    or narrower by one, and is told by ``part``.  ``dropped`` is the letter left out, none if -1.  Equal and replaced
+    letters (``same``) leave out the same one on both sides, an added letter is left out of the longer name, and a lost
+    letter of the shorter.
+    """
+    found = set()
+    for longer in in_use:
+        t = max(d for d in range(longer) if 1.0 - d / longer >= LOOSE)
+        for shorter in (n for n in in_use if max(MIN_NAME, longer - t) <= n <= longer):
+            front = (shorter + 1) // 2
+            parts = [("whole", shorter)] if t <= 1 else [("front", front), ("back", shorter - front)]
+            for part, size in parts:
+                for kind, more in (("same", 0), ("added", 1), ("lost", -1)):
+                    beside = longer - shorter - more
+                    if beside and part == "whole" or abs(beside) + abs(more) > t:
+                        continue
+                    of, width = (shorter, size) if side == "short" else (longer, size + more)
+                    whole = kind == ("added" if side == "short" else "lost")
+                    for dropped in [-1] if whole else range(width):
+                        at = of - width if part == "back" else 0
+                        found.add((of, part, size, kind, dropped, at, width))
+    return sorted(found)
+
+
+def _halved(scoped: DataFrame, side: str, in_use: list[int]) -> DataFrame:
+    ways = scoped.sparkSession.createDataFrame(
+        halves(tuple(in_use), side), "len int, part string, size int, kind string, dropped int, at int, width int"
+    )
+    letters = lambda start, count: F.substring(F.col("name"), F.col("at") + start + 1, count)
+    left, right = letters(F.lit(0), F.col("dropped")), letters(F.col("dropped") + 1, F.col("width") - F.col("dropped") - 1)
+    piece = F.when(F.col("dropped") < 0, letters(F.lit(0), F.col("width"))).otherwise(F.concat(left, right))
+    # Which letter was left out only counts where it is the same one on both sides.
+    place = F.when(F.col("kind") == "same", F.col("dropped")).otherwise(-1)
+    # A fixed table of some 700 rows.
+    found = scoped.join(F.broadcast(ways), "len")
+    return found.withColumn("block", F.xxhash64(F.lit("half"), "part", "size", "kind", place, piece))
 
 
 @cache
@@ -288,29 +346,33 @@ def _free_block() -> Column:
 
 @dataclass(frozen=True)
 class Candidates:
-    """The two keyed sides of a candidate join, its size, and the blocks to split."""
+    """The two keyed sides of a candidate join, its size, the blocks to split, and the number of tasks if it is large."""
 
     short: DataFrame
     long: DataFrame
     pairs: float
     hot: DataFrame | None
+    tasks: int | None = None
 
 
-def measure(short: DataFrame, long: DataFrame, settings: MatchSettings = DEFAULTS) -> Candidates:
+def measure(
+    short: DataFrame, long: DataFrame, settings: MatchSettings = DEFAULTS, names: int = 0
+) -> Candidates:
     """Count the candidates of every block, before any is formed.
 
     One job writes the counts and observes their total.  A block is too large for one task from a task's
     share of pairs on, or from ``total / settings.hot_keys`` on where that is more: no more than
-    ``settings.hot_keys`` blocks can be, so the list is complete and may be broadcast.
+    ``settings.hot_keys`` blocks can be, so the list is complete and may be broadcast.  ``names`` is the number
+    of scoped names of both sides, from which the number of tasks is set.
     """
     per_task = _pairs_per_task(settings)
-    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    both = short.select("scope", "block", one.alias("s"), zero.alias("l")).unionByName(
-        long.select("scope", "block", zero.alias("s"), one.alias("l"))
-    )
+    both = short.select("block", F.lit(True).alias("is_short")).unionByName(long.select("block", F.lit(False).alias("is_short")))
+    tasks = tasks_for(short.sparkSession, names * _KEYS_PER_NAME)
+    # Most blocks have a row or two: counting them before they are dealt only fills the memory of a task.
+    both = both.repartition(tasks, "block") if tasks else both
     counts = store(
-        both.groupBy("scope", "block")
-        .agg(F.sum("s").alias("shorts"), F.sum("l").alias("longs"))
+        both.groupBy("block")
+        .agg(F.count_if("is_short").alias("shorts"), F.count_if(~F.col("is_short")).alias("longs"))
         .withColumn("pairs", F.col("shorts").cast("double") * F.col("longs"))
         # Most blocks are small; of those only the total counts.
         .observe(seen := Observation(), F.coalesce(F.sum("pairs"), F.lit(0.0)).alias("pairs"))
@@ -320,9 +382,9 @@ def measure(short: DataFrame, long: DataFrame, settings: MatchSettings = DEFAULT
     total = seen.get["pairs"]
     least = max(per_task, total / settings.hot_keys)
     hot = counts.table.where(F.col("pairs") > least).select(
-        "scope", "block", F.ceil(F.sqrt(F.col("pairs") / least)).cast("int").alias("parts")
+        "block", F.ceil(F.sqrt(F.col("pairs") / least)).cast("int").alias("parts")
     )
-    return Candidates(short, long, total, hot if counts.rows else None)
+    return Candidates(short, long, total, hot if counts.rows else None, tasks)
 
 
 def _pairs_per_task(settings: MatchSettings) -> float:
@@ -339,11 +401,14 @@ def verified_pairs(candidates: Candidates) -> DataFrame:
         side.select("scope", "block", *[F.col(c).alias(f"{c}_{end}") for c in ("name", "marks")], F.col("id").alias(end))
         for side, end in ((candidates.short, "a"), (candidates.long, "b"))
     )
-    keys = ["scope", "block"]
+    # The block first: a sort tells rows apart by it alone.
+    keys = ["block", "scope"]
     if candidates.hot is not None:
         left = _on_grid(left, candidates.hot, "a", "salt_a", "salt_b")
         right = _on_grid(right, candidates.hot, "b", "salt_b", "salt_a")
         keys += ["salt_a", "salt_b"]
+    if candidates.tasks:
+        left, right = (side.repartition(candidates.tasks, *keys).hint("merge") for side in (left, right))
     size_a, size_b = F.length("name_a"), F.length("name_b")
     # Names of one length play both roles, so a pair of them would come twice without the id test.
     ordered = (size_a < size_b) | ((size_a == size_b) & (F.col("a") < F.col("b")))
@@ -361,7 +426,7 @@ def _on_grid(side: DataFrame, hot: DataFrame, id_col: str, own: str, other: str)
     """Spread a side of a hot block over parts x parts cells: salted one way, copied the other way."""
     copies = F.coalesce(F.col("parts"), F.lit(1))
     return (
-        side.join(F.broadcast(hot), ["scope", "block"], "left")
+        side.join(F.broadcast(hot), "block", "left")
         .withColumn(own, F.pmod(F.xxhash64(id_col), copies.cast("bigint")).cast("int"))
         .withColumn(other, F.explode(F.sequence(F.lit(0), copies - 1)))
         .drop("parts")

@@ -61,7 +61,8 @@ def possible_pairs(rows: DataFrame, settings: MatchSettings = DEFAULTS) -> DataF
 
 
 def _candidates(shorter: DataFrame, longer: DataFrame, figures: dict, settings: MatchSettings):
-    return measure(short_side(shorter, figures, settings), long_side(longer, figures, settings), settings)
+    short, long = short_side(shorter, figures, settings), long_side(longer, figures, settings)
+    return measure(short, long, settings, figures["rows"])
 
 
 def match_names(

@@ -68,3 +68,22 @@ def test_candidates_of_unrelated_names_grow_clearly_below_the_square(spark):
 def test_longer_names_ask_for_two_pieces_later():
     needed = [blocking._least_members(n, MatchSettings()) for n in range(3, 30)]
     assert needed == sorted(needed) and needed[9 - 3] == 50_000 and needed[24 - 3] == float("inf")
+
+
+@pytest.mark.parametrize("letters", ["abc", "abcdefghij"])
+def test_halves_miss_no_pair(spark, letters):
+    """Every context asks for halves of short names; the pairs are those of comparing all names."""
+    rng = random.Random(len(letters) + 1)
+    bases = ["".join(rng.choice(letters) for _ in range(rng.randint(3, 15))) for _ in range(14)]
+    rows = [(i, edited(rng, rng.choice(bases), rng.choice((0, 1, 2, 3, 5)), letters), rng.choice(("x", "y"))) for i in range(260)]
+    rows = [r for r in rows if len(r[1]) >= 3]
+    df = spark.createDataFrame(rows, SCHEMA)
+    whole = {(r["i"], r["j"]): r["similarity"] for r in names.possible_pairs(df, MatchSettings(small_context=1000)).collect()}
+    for settings in (MatchSettings(small_context=1, halved_context=1), MatchSettings(small_context=1, halved_context=130, large_context=1)):
+        found = {(r["i"], r["j"]): r["similarity"] for r in names.possible_pairs(df, settings).collect()}
+        assert found == whole and len(found) > 100
+
+
+def test_halves_of_unrelated_names_offer_few_candidates(spark):
+    one, halved = candidates(spark, 4000, MatchSettings()), candidates(spark, 4000, MatchSettings(halved_context=1000))
+    assert 0 < halved < 0.05 * one and halved < 4000
