@@ -27,7 +27,14 @@ from t
 """
 
 
+def dealt(rows: DataFrame, key: str) -> DataFrame:
+    """The rows over all cores.  A table of few bytes is read by a task or two, however much work its rows are."""
+    spark = rows.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartition(tasks, key)
+
+
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
-    for table in ("customer", "supplier"):
-        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+    for table, key in (("customer", "c_custkey"), ("supplier", "s_suppkey")):
+        dealt(spark.read.parquet(f"{sf_dir}/{table}.parquet"), key).createOrReplaceTempView(table)
     return spark.sql(PEOPLE_SQL)
