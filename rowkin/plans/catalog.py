@@ -16,9 +16,9 @@ from rowkin.operators.lookup import incremental_match, key_lookup
 from rowkin.operators.names import match_names, possible_pairs
 from rowkin.operators.numbering import number_rows
 from rowkin.plans.detect import detect, match_tier, run_key_tiers, with_outcomes
-from rowkin.plans.people import people
+from rowkin.plans.people import dealt, people
 from rowkin.plans.records import clean_columns, match_rows, records_from_maps
-from rowkin.scratch import fresh_path, write_out
+from rowkin.scratch import fresh_path, store, write_out
 from rowkin.settings import MatchSettings
 from rowkin.sources import cards, delimited, files, grids, json_records, scan
 
@@ -70,7 +70,9 @@ def people_full(spark, folder) -> DataFrame:
 
 def part_rows(spark, folder) -> DataFrame:
     """Parts as people of a department: 64 names over 25 brands, so profiles and names are skewed."""
-    parts = table(spark, folder, "part").select("p_partkey", F.col("p_name").alias("name"), F.col("p_brand").alias("dept"))
+    parts = dealt(table(spark, folder, "part"), "p_partkey").select(
+        "p_partkey", F.col("p_name").alias("name"), F.col("p_brand").alias("dept")
+    )
     return clean_columns(parts, "p_partkey")
 
 
@@ -594,7 +596,9 @@ def possible_pairs_parts(spark, folder):
 
 @query
 def match_possible(spark, folder):
-    return match_names(match_rows(part_rows(spark, folder))).select(
+    # Written first: a filter on cleaned names is moved below the dealing of the rows, to where there are few tasks.
+    rows = store(match_rows(part_rows(spark, folder)).drop("digest"), "match-rows")
+    return match_names(rows.table, total=rows.rows).select(
         "id", F.col("anchor").cast("bigint").alias("anchor"), F.bround(F.col("similarity") * 100, 1).alias("confidence")
     )
 

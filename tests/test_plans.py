@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rowkin.operators.names import match_names
 from rowkin.operators.skew import attach_first
-from rowkin.plans.catalog import QUERIES
+from rowkin.plans.catalog import QUERIES, part_rows, people_columns
 from rowkin.sources import delimited
 from tests.conftest import SMALL
 
@@ -90,3 +90,10 @@ def test_csv_scan_reads_alike_files_together(spark, tmp_path):
         (tmp_path / f"{i}.csv").write_text(f"a,b\n{i},x\n")
     plan = plan_of(delimited.scan_csv(spark, str(tmp_path), line_numbers=False))
     assert plan.count("FileScan csv") == 1 or plan.count("Scan csv") == 1
+
+
+def test_rows_of_small_files_are_dealt_over_all_cores(spark):
+    """A table of few bytes is one split, however much work its rows are."""
+    cores = spark.sparkContext.defaultParallelism
+    for rows in (people_columns(spark, SMALL), part_rows(spark, SMALL)):
+        assert rows.rdd.getNumPartitions() >= cores
