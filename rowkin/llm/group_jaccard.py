@@ -7,15 +7,17 @@ among the first ``n - ceil(t n) + 1`` of each, their prefixes.
 2. Shingles that many documents hold are moved to the end of the order, so that prefixes are made of
    what sets a document apart.  The list is bounded and made from all documents: every task counts the
    shingles it meets several times.  Only the order, and so the work, depends on it; no result does.
-3. Prefix entries (shingle, document, size, place, digest of the prefix) go to buckets by shingle in
-   blocks; entries whose shingle nobody else has, or nobody whom sizes, places and sketches allow, end there.
+3. Prefix entries (shingle, document, size, place: some 12 bytes packed, however many buckets there are) go to
+   buckets by shingle in blocks; entries whose shingle nobody else has, or nobody whom sizes and places allow, end
+   there.  Only documents with entries left are read again, for the digest of their prefix.
    A document also gets a sketch: one bit per hash class, flipped by each of its shingles.  Bits in which
    two sketches differ stand for shingles that only one of them has, so they bound the overlap.  There are
    at least twice as many classes as shingles; of two sketches the longer is folded to the length of the other.
    Lists of the same documents lead to the same pairs, so one of them stays: near copies share most of their prefixes.
 4. Documents with one prefix and size are a group: in a shingle's list they stand together, and a
    pair of groups is filtered once, by size and place, for all its members.
-   Entries carry the sketch folded to 128 bits, which bounds the overlap of shorter documents at once.
+   Entries left carry the sketch folded to 128 bits, which bounds the overlap of shorter documents at once, and the
+   first names of their document's lists: after the first round a pair comes from the first list that both are in.
 5. Pairs that pass, and whose whole sketches allow it, are verified on whole sets, in rounds: a round takes as partners the first 1, 8, 64, ...
    entries of every list, and leaves out pairs already in one component, so a large group of copies
    costs a comparison or two per document and not all pairs.  Within a round every document is compared with
@@ -54,6 +56,8 @@ SHORT_LIST = 64
 #: Partners per list in the first round, and by how much each round has more.
 PARTNERS = 1
 GROWTH = 8
+#: First names of lists that a document's entries carry.
+FIRST_LISTS = 8
 #: Pairs of 16 bytes that are broadcast; more are joined by a shuffle.
 BROADCAST_PAIRS = 1_000_000
 #: Least bits of a sketch, and least bits per shingle.
@@ -203,9 +207,34 @@ def _often(often: int):
     return run
 
 
-_ENTRY = np.dtype(
-    [("shingle", "<u8"), ("node", "<i8"), ("n", "<i4"), ("place", "<i4"), ("prefix", "<u8"), ("low", "<i8"), ("high", "<i8")]
-)
+_ENTRY = np.dtype([("shingle", "<u8"), ("node", "<i8"), ("n", "<i4"), ("place", "<i4")])
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """All first bytes, all second bytes, and so on: the high bytes of small numbers are equal then."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _packed(entries: np.ndarray) -> bytes:
+    """Entries in order of their documents; a node is kept as its distance from the one before."""
+    columns = {name: np.ascontiguousarray(entries[name]) for name in _ENTRY.names}
+    columns["node"] = np.diff(columns["node"], prepend=0)
+    return pa.compress(b"".join(map(_planes, columns.values())), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: pa.Buffer, n: int) -> dict[str, np.ndarray]:
+    plain, at, columns = pa.decompress(data, n * _ENTRY.itemsize, codec="zstd"), 0, {}
+    for name in _ENTRY.names:
+        kind = _ENTRY[name]
+        planes = np.frombuffer(plain, np.uint8, n * kind.itemsize, at).reshape(kind.itemsize, n)
+        columns[name] = np.ascontiguousarray(planes.T).view(kind).reshape(n)
+        at += n * kind.itemsize
+    columns["node"] = np.cumsum(columns["node"])
+    return columns
+
+
+def _prefix(made: np.ndarray, percent: int, often: np.ndarray) -> np.ndarray:
+    return _ordered(made, often)[: prefix_length(len(made), percent)]
 
 
 def _entry_blocks(buckets: int, words: int, percent: int, often: np.ndarray):
@@ -218,7 +247,7 @@ def _entry_blocks(buckets: int, words: int, percent: int, often: np.ndarray):
         if len(often):
             late = often[np.minimum(np.searchsorted(often, keys), len(often) - 1)] == keys
             keys[late] ^= every["node"][late].astype(np.uint64) * _M[0] >> np.uint64(20)
-        packed = [(b, pa.compress(b"".join(every[name][w].tobytes() for name in _ENTRY.names), codec="zstd", asbytes=True), len(w)) for b, w in _bucketed(keys, buckets)]
+        packed = [(b, _packed(every[w]), len(w)) for b, w in _bucketed(keys, buckets)]
         return pa.RecordBatch.from_arrays(
             [pa.array([x[k] for x in packed], kind) for k, kind in enumerate((pa.int32(), pa.binary(), pa.int64()))],
             names=["bucket", "data", "entries"],
@@ -229,12 +258,10 @@ def _entry_blocks(buckets: int, words: int, percent: int, often: np.ndarray):
         for batch in batches:
             for node, text in zip(batch.column(1).to_pylist(), batch.column(0), strict=True):
                 made = shingles(_plain(text.as_py()), words)
-                prefix = _ordered(made, often)[: prefix_length(len(made), percent)]
+                prefix = _prefix(made, percent, often)
                 part = np.empty(len(prefix), _ENTRY)
                 part["shingle"], part["node"], part["n"] = prefix, node, len(made)
                 part["place"] = np.arange(len(prefix))
-                part["prefix"] = xxhash.xxh3_64_intdigest(prefix.tobytes())
-                part["low"], part["high"] = np.bitwise_xor.reduce(np.frombuffer(sketch(made), "<i8").reshape(-1, 2))
                 found.append(part)
                 size += len(part)
                 if size >= FLUSHED:
@@ -246,8 +273,25 @@ def _entry_blocks(buckets: int, words: int, percent: int, often: np.ndarray):
     return run
 
 
+def _details(words: int, percent: int, often: np.ndarray):
+    """The digest of every document's prefix, and its sketch folded to 128 bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, low, high = [], [], []
+            for text, whole in zip(batch.column(1), batch.column(2), strict=True):
+                digests.append(xxhash.xxh3_64_intdigest(_prefix(shingles(_plain(text.as_py()), words), percent, often).tobytes()))
+                a, b = np.bitwise_xor.reduce(np.frombuffer(whole.as_buffer(), "<i8").reshape(-1, 2))
+                low.append(a)
+                high.append(b)
+            columns = [batch.column(0), pa.array(np.array(digests, np.uint64).view(np.int64)), pa.array(low, pa.int64()), pa.array(high, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "prefix", "low", "high"])
+
+    return run
+
+
 def _with_partner(e: dict[str, np.ndarray], percent: int) -> np.ndarray:
-    """Which entries, in order of their shingles, share a list with one that sizes, places and sketches allow.
+    """Which entries, in order of their shingles, share a list with one that sizes, places and sketches (if given) allow.
 
     A list of more than ``SHORT_LIST`` entries keeps all of them.
     """
@@ -263,7 +307,7 @@ def _with_partner(e: dict[str, np.ndarray], percent: int) -> np.ndarray:
         b = a + step
         sizes = n[a] + n[b]
         reach = np.minimum(place[a], place[b]) + 1 + np.minimum(n[a] - 1 - place[a], n[b] - 1 - place[b])
-        differ = sum(np.bitwise_count((e[c][a] ^ e[c][b]).view(np.uint64)).astype(np.int64) for c in ("low", "high"))
+        differ = sum(np.bitwise_count((e[c][a] ^ e[c][b]).view(np.uint64)).astype(np.int64) for c in ("low", "high") if c in e)
         fits = (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])) & ((100 + percent) * reach >= percent * sizes)
         fits &= (100 + percent) * (sizes - differ) >= 2 * percent * sizes
         kept[a[fits]] = kept[b[fits]] = True
@@ -292,12 +336,8 @@ def _shared(often: np.ndarray, percent: int):
     def run(rows: pa.Table) -> pa.Table:
         parts: dict[str, list] = {name: [] for name in _ENTRY.names}
         for block, n in zip(rows["data"], rows["entries"].to_pylist(), strict=True):
-            plain = pa.decompress(block.as_buffer(), n * _ENTRY.itemsize, codec="zstd")
-            at = 0
-            for name in _ENTRY.names:
-                kind = _ENTRY[name]
-                parts[name].append(np.frombuffer(plain, kind, n, at))
-                at += n * kind.itemsize
+            for name, column in _unpacked(block.as_buffer(), n).items():
+                parts[name].append(column)
         order = np.argsort(np.concatenate(parts["shingle"]), kind="stable")
         columns = {name: np.concatenate(p)[order] for name, p in parts.items()}
         kept = _with_partner(columns, percent)
@@ -311,7 +351,7 @@ def _shared(often: np.ndarray, percent: int):
     return run
 
 
-_SHARED = "shingle long, node long, n int, place int, prefix long, low long, high long, first long"
+_SHARED = "shingle long, node long, n int, place int, first long"
 #: What names a list: see ``_lists``.
 LIST = ["shingle", "first"]
 
@@ -359,6 +399,14 @@ def verified(pairs: DataFrame, rows: int, sets: DataFrame, words: int = WORDS, p
     return _attached(pairs, rows, texts).mapInArrow(_verified(words, percent), "x long, y long")
 
 
+def _between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The ``pairs`` (x, y) of two components with their labels ``of_x`` and ``of_y``."""
+    for side in ("x", "y"):
+        found = labels.select(F.col("node").alias(side), F.col("label").alias(f"of_{side}"))
+        pairs = pairs.join(found, side, "left").withColumn(f"of_{side}", F.coalesce(f"of_{side}", side))
+    return pairs.where("of_x <> of_y")
+
+
 def linked(pairs: DataFrame, rows: int, sets: DataFrame, labels: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``labels`` (node, label) after the links among ``pairs``; ``sets`` is (node, n, sketch, text).
 
@@ -372,17 +420,17 @@ def linked(pairs: DataFrame, rows: int, sets: DataFrame, labels: DataFrame, word
 
     def joined_to(now: DataFrame, chosen: DataFrame, count: int) -> DataFrame:
         links = verified(chosen, count, sets, words, percent)
-        # What is connected already is a star each: its links are not needed any more.
-        return components(links.unionByName(now.select(F.col("node").alias("x"), F.col("label").alias("y"))))
+        # What is connected already counts as one node, its label: steps only move what new links reach.
+        found = store(components(_between(links, now).select(F.col("of_x").alias("x"), F.col("of_y").alias("y"))), "jaccard-found").table
+        moved = now.join(found.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left")
+        fresh = found.join(now.select("node"), "node", "left_anti")
+        return moved.select("node", F.coalesce("to", "label").alias("label")).unionByName(fresh)
 
     best = likely.table.groupBy("x").agg(F.min(F.struct("apart", "y")).alias("best"))
     first = store(best.select("x", F.col("best.y").alias("y")), "jaccard-first")
     labels = joined_to(labels, first.table, first.rows)
     others = likely.table.select("x", "y").join(first.table, ["x", "y"], "left_anti")
-    for side in ("x", "y"):
-        others = others.join(labels.select(F.col("node").alias(side), F.col("label").alias(f"of_{side}")), side, "left")
-    apart = F.coalesce("of_x", "x") != F.coalesce("of_y", "y")
-    rest = store(others.where(apart).select("x", "y"), "jaccard-rest")
+    rest = store(_between(others, labels).select("x", "y"), "jaccard-rest")
     return joined_to(labels, rest.table, rest.rows) if rest.rows else labels
 
 
@@ -414,6 +462,16 @@ def _labelled(df: DataFrame, labels: DataFrame) -> DataFrame:
     return df.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
+def _first_list() -> Column:
+    """Whether no earlier list is known to hold both documents.
+
+    A pair waits for its first list: that one, too, is in one component in the end, or used up.  In the first
+    round every document shall meet the first of each of its lists.
+    """
+    earlier = F.array_min(F.array_intersect("lists", "p_lists"))
+    return F.coalesce(F.xxhash64(*LIST) <= earlier, F.lit(True))
+
+
 def _required(a: Column, b: Column, percent: int) -> Column:
     """The least overlap of similar sets of sizes a and b."""
     return F.ceil(percent * (a + b) / F.lit(100 + percent))
@@ -454,27 +512,35 @@ def _components_of_rows(docs: DataFrame, id_col: str, text_col: str, words: int,
     blocks = sets.select("text", "node").mapInArrow(_entry_blocks(buckets, words, percent, often), "bucket int, data binary, entries long")
     entries = blocks.groupBy("bucket").applyInArrow(_shared(often, percent), _SHARED)
     # Shingles come in one order in all documents, so the smallest places belong to one shingle of those with a list in common.
-    same = entries.groupBy(*LIST, "node", "n", "prefix", "low", "high").agg(F.min("place").alias("place"))
-    lists = store(same, "jaccard-entries")
 
-    # Equal sets of different tasks.
+    # Equal sets of different tasks: the first stands for all of them.
     digests = saved.where("text is not null").select("digest", "node")
-    least = digests.groupBy("digest").agg(F.min("node").alias("y"), F.count("*").alias("c")).where("c > 1").drop("c")
-    labels = components(digests.join(least, "digest").select(F.col("node").alias("x"), "y"))
+    least = digests.groupBy("digest").agg(F.min("node").alias("label"), F.count("*").alias("c")).where("c > 1").drop("c")
+    copies = store(digests.join(least, "digest").where("node <> label").select("node", "label"), "jaccard-copies")
+    stars = copies.table.unionByName(copies.table.select(F.col("label").alias("node"), "label").distinct())
+    labels = store(stars, "jaccard-labels")
+    entries = entries.join(bounded(copies.table.select("node"), copies.rows), "node", "left_anti")
+
+    bare = store(entries.groupBy(*LIST, "node", "n").agg(F.min("place").alias("place")), "jaccard-entries")
+    names = F.array_sort(F.collect_list(F.xxhash64(*LIST)))
+    firsts = bare.table.groupBy("node").agg(F.slice(names, 1, FIRST_LISTS).alias("lists"))
+    left = sets.join(bounded(bare.table.select("node").distinct(), bare.rows), "node", "left_semi").select("node", "text", "sketch")
+    details = left.mapInArrow(_details(words, percent, often), "node long, prefix long, low long, high long")
+    lists = store(bare.table.join(firsts.join(details, "node"), "node"), "jaccard-lists")
 
     low, high = 0, PARTNERS
     open_lists = lists
     while open_lists.rows:
-        now = _labelled(open_lists.table.drop("label", "size"), labels)
+        now = _labelled(open_lists.table.drop("label"), bounded(labels.table, labels.rows))
         span = now.groupBy(*LIST).agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("size"))
-        undecided = now.join(span.where(f"a < b and size > {low}"), LIST).drop("a", "b")
-        open_lists = store(undecided, "jaccard-open", most=F.max("size"))
-        if not open_lists.rows:
+        undecided = store(span.where(f"a < b and size > {low}").select(*LIST, "size"), "jaccard-undecided", most=F.max("size"))
+        if not undecided.rows:
             break
+        open_lists = store(now.join(bounded(undecided.table.select(*LIST), undecided.rows), LIST, "left_semi"), "jaccard-open")
         place = Window.partitionBy(*LIST).orderBy("n", "prefix", "node")
         ranked = open_lists.table.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= high)
         partners = ranked.where(F.col("rank") > low).select(
-            *LIST, *[F.col(c).alias(f"p_{c}") for c in ("node", "n", "place", "prefix", "low", "high", "label")]
+            *LIST, *[F.col(c).alias(f"p_{c}") for c in ("node", "n", "place", "prefix", "low", "high", "label", "lists")]
         )
         e, p = F.col("n"), F.col("p_n")
         reach = F.least("place", "p_place") + 1 + F.least(e - 1 - F.col("place"), p - 1 - F.col("p_place"))
@@ -485,19 +551,20 @@ def _components_of_rows(docs: DataFrame, id_col: str, text_col: str, words: int,
             .where(F.col("label") != F.col("p_label"))
             .where((100 + percent) * (e + p - differ) >= 2 * percent * (e + p))
             .where((100 * p >= percent * e) & (reach >= _required(e, p, percent)))
+            .where(_first_list() if low else F.lit(True))
             .select(F.col("node").alias("x"), F.col("p_node").alias("y"))
             .distinct()
         )
         with dropping(spark) as steps:
             chosen = store(pairs, "jaccard-pairs")
             if chosen.rows:
-                labels = write_out(linked(chosen.table, chosen.rows, sets, labels, words, percent), "jaccard-labels")
+                labels = store(linked(chosen.table, chosen.rows, sets, labels.table, words, percent), "jaccard-labels")
                 made.append(steps.pop())  # the labels stay for now, the tables that led to them go
-        if open_lists.figures["most"] <= high:
+        if undecided.figures["most"] <= high:
             break
         low, high = high, high * GROWTH
 
-    named = _labelled(saved.select("id", "n", F.col("same_as").alias("node")), labels)
+    named = _labelled(saved.select("id", "n", F.col("same_as").alias("node")), bounded(labels.table, labels.rows))
     smallest = named.groupBy("label").agg(F.min("id").alias("component_id"))
     return named.join(smallest, "label").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")

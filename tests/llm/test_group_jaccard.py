@@ -132,3 +132,48 @@ def test_lists_of_the_same_nodes_have_one_name():
     assert len(set(names[:4])) == 1 and len({names[0], names[4], names[7], names[9]}) == 4
     assert len(set(names[4:7])) == 1 and names[7] == names[8] == (8, -1)
     assert [len(x) for x in J._lists(keys[:0], nodes[:0], late[:0])] == [0, 0]
+
+
+def test_entries_take_few_bytes_however_many_buckets():
+    rng = np.random.default_rng(6)
+    texts = [" ".join(map(str, rng.integers(0, 10**6, 300))).encode() for _ in range(600)]
+    packed = [len(t).to_bytes(8, "little") + J.pa.compress(t, codec="zstd", asbytes=True) for t in texts]
+    nodes = [(3 << 33) + k for k in range(600)]
+    batch = J.pa.RecordBatch.from_arrays([J.pa.array(packed, J.pa.binary()), J.pa.array(nodes, J.pa.int64())], names=["text", "node"])
+    often = np.sort(J.shingles(texts[0])[:3])
+    for buckets in (4, 60):
+        blocks = list(J._entry_blocks(buckets, 4, 85, often)([batch]))
+        size = sum(len(d) for b in blocks for d in b["data"].to_pylist())
+        assert size < 16 * sum(n for b in blocks for n in b["entries"].to_pylist())
+        found = [J._unpacked(d.as_buffer(), n.as_py()) for b in blocks for d, n in zip(b["data"], b["entries"])]
+        got = sorted(zip(*(np.concatenate([f[c] for f in found]).tolist() for c in ("node", "place", "n", "shingle"))))
+        made = [J.shingles(t) for t in texts]
+        assert got == [(i, k, len(m), int(x)) for i, m in zip(nodes, made) for k, x in enumerate(J._prefix(m, 85, often))]
+
+
+def test_a_pair_comes_from_its_first_list_after_the_first_round(spark):
+    lists = [(k, -1) for k in range(30)]
+    df = spark.createDataFrame(lists, "shingle long, first long").withColumn("name", J.F.xxhash64("shingle", "first"))
+    names = sorted(r["name"] for r in df.collect())
+    # One document is in all lists, the other in all but the two first; names beyond the first eight are not known.
+    both = df.withColumns({"lists": J.F.lit(names[: J.FIRST_LISTS]), "p_lists": J.F.lit(names[2 : 2 + J.FIRST_LISTS])}).where(J.F.col("name") >= names[2])
+    assert [r["name"] for r in both.where(J._first_list()).collect()] == [names[2]]
+    apart = df.withColumns({"lists": J.F.lit(names[:8]), "p_lists": J.F.lit(names[8:16])})
+    assert apart.where(J._first_list()).count() == 30
+
+
+def test_copies_in_other_tasks_have_no_entries(spark, monkeypatch):
+    stored, nodes = J.store, {}
+
+    def store(df, label, **figures):
+        out = stored(df, label, **figures)
+        if label == "jaccard-entries":
+            nodes["with entries"] = out.table.select("node").distinct().count()
+        return out
+
+    monkeypatch.setattr(J, "store", store)
+    text = " ".join(f"w{k}" for k in range(80))
+    docs = [(k, text + (" end" if k in (11, 23) else "")) for k in range(40)]
+    found = J.joined(spark.createDataFrame(docs, "doc_id long, text string").repartition(8))
+    assert {tuple(r)[::2] for r in found.collect()} == {(k, 0) for k in range(40)}
+    assert nodes["with entries"] == 2
