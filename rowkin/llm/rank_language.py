@@ -26,6 +26,8 @@ MOST_LANGUAGES = 1000
 UNKNOWN = "und"
 #: Characters that are counted at a time.
 CHUNK = 1 << 20
+#: N-grams of texts that a task holds before it sums them: 4 MB with their counts.
+HELD = 1 << 18
 _BITS = 21
 _BLANK = 32
 
@@ -90,16 +92,26 @@ def ranked(keys: np.ndarray, counts: np.ndarray, most: int = PROFILE) -> np.ndar
 _COUNTED = "lang string, gram long, n long"
 
 
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, where = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(where, np.concatenate([n for _, n in parts])).astype(np.int64)
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         by_lang: dict[str, list] = {}
+        held, most = 0, HELD
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             keys, counts = gram_counts(text.as_py())
             if len(keys):
                 by_lang.setdefault(lang, []).append((keys, counts))
+                held += len(keys)
+            if held >= most:
+                by_lang = {lang: [_summed(parts)] for lang, parts in by_lang.items()}
+                held = sum(len(parts[0][0]) for parts in by_lang.values())
+                most = max(HELD, 2 * held)
         for lang, parts in by_lang.items():
-            keys, where = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-            counts = np.bincount(where, np.concatenate([n for _, n in parts])).astype(np.int64)
+            keys, counts = _summed(parts)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang]).take(pa.array(np.zeros(len(keys), np.int64))), pa.array(keys.astype(np.int64)), pa.array(counts)],
                 names=["lang", "gram", "n"],

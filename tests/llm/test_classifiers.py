@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from rowkin.llm import nnpu_toxicity as N
@@ -278,3 +279,20 @@ def test_url_grams_against_plain_python(spark):
         hashed = spark.createDataFrame([(g,) for g in grams], "g string").select(F.pmod(F.xxhash64("g"), F.lit(U.BUCKETS)).alias("b"))
         found = spark.range(1).select(U.buckets(F.lit(host), F.lit(path)).alias("f")).first()["f"]
         assert sorted(found) == sorted({r["b"] for r in hashed.collect()})
+
+
+def test_counting_a_batch_holds_few_ngrams(monkeypatch):
+    """N-grams are summed on the way; before, a batch held those of all its texts at once."""
+    monkeypatch.setattr(R, "HELD", 500)
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list("abcdefg "), 60)) for _ in range(200)]
+    langs = ["x" if k % 3 else "y" for k in range(200)]
+    summed, held = R._summed, []
+    monkeypatch.setattr(R, "_summed", lambda parts: held.append(sum(len(k) for k, _ in parts)) or summed(parts))
+    batch = pa.RecordBatch.from_arrays([pa.array(langs), pa.array(texts)], names=["lang", "text"])
+    found = {(r["lang"], r["gram"]): r["n"] for out in R._count(iter([batch])) for r in out.to_pylist()}
+    expected = {}
+    for lang, text in zip(langs, texts):
+        for key, n in zip(*(x.tolist() for x in R.gram_counts(text))):
+            expected[lang, key] = expected.get((lang, key), 0) + n
+    assert found == expected and max(held) < 2500 < sum(len(R.gram_counts(t)[0]) for t in texts) / 4
