@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowkin.llm.rows import bounded, keyed, short_shuffles, small_batches
+from rowkin.llm.rows import bounded, keyed, plain_reads, releasing, short_shuffles, small_batches
 from rowkin.scratch import dropping, store, write_out
 
 WORDS = 4
@@ -399,7 +399,7 @@ def _possible(percent: int):
 def verified(pairs: DataFrame, rows: int, sets: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The (x, y) of ``pairs`` whose sets are similar; ``sets`` is (node, n, text)."""
     texts = sets.select("node", "n", F.col("text").alias("data"))
-    return _attached(pairs, rows, texts).mapInArrow(_verified(words, percent), "x long, y long")
+    return _attached(pairs, rows, texts).mapInArrow(releasing(_verified(words, percent)), "x long, y long")
 
 
 def _between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -417,7 +417,7 @@ def linked(pairs: DataFrame, rows: int, sets: DataFrame, labels: DataFrame, word
     first those of every document and its likeliest partner, then those that are still in two components.
     """
     sketches = sets.select("node", "n", F.col("sketch").alias("data"))
-    likely = store(_attached(pairs, rows, sketches).mapInArrow(_possible(percent), "x long, y long, apart double"), "jaccard-likely")
+    likely = store(_attached(pairs, rows, sketches).mapInArrow(releasing(_possible(percent)), "x long, y long, apart double"), "jaccard-likely")
     if not likely.rows:
         return labels
 
@@ -488,7 +488,7 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     smallest unless it has only null ids.  An empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
-    with small_batches(spark), short_shuffles(spark), dropping(spark) as made:
+    with small_batches(spark), short_shuffles(spark), plain_reads(spark), dropping(spark) as made:
         result = write_out(_components_of_rows(docs, id_col, text_col, words, percent, made), "jaccard-result")
         made.pop()  # the result stays, all tables that led to it go
     return result
@@ -500,19 +500,19 @@ def _components_of_rows(docs: DataFrame, id_col: str, text_col: str, words: int,
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     stored = store(
-        rows.mapInArrow(_collapsed(words), f"node long, same_as long, id {kind}, n long, digest binary, sketch binary, text binary"), "jaccard-sets",
+        rows.mapInArrow(releasing(_collapsed(words)), f"node long, same_as long, id {kind}, n long, digest binary, sketch binary, text binary"), "jaccard-sets",
         entries=F.sum(F.when(F.col("text").isNotNull(), F.floor(F.col("n") * (100 - percent) / 100) + 1)),
     )
     saved = stored.table
     # What a bucket holds does not grow with the table.
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(stored.figures["entries"] or 0) // BUCKET_ENTRIES))
     sets = saved.where("text is not null").select("node", "n", "sketch", "text")
-    counted = sets.select("text").mapInArrow(_count_blocks(buckets, words), "bucket int, data binary")
+    counted = sets.select("text").mapInArrow(releasing(_count_blocks(buckets, words)), "bucket int, data binary")
     found = counted.groupBy("bucket").applyInArrow(_often(OFTEN), "shingle long, documents long")
     top = found.orderBy(F.desc("documents"), "shingle").limit(MOST_OFTEN).select("shingle").toArrow()
     often = np.sort(top["shingle"].to_numpy().view(np.uint64))
 
-    blocks = sets.select("text", "node").mapInArrow(_entry_blocks(buckets, words, percent, often), "bucket int, data binary, entries long")
+    blocks = sets.select("text", "node").mapInArrow(releasing(_entry_blocks(buckets, words, percent, often)), "bucket int, data binary, entries long")
     entries = blocks.groupBy("bucket").applyInArrow(_shared(often, percent), _SHARED)
     # Shingles come in one order in all documents, so the smallest places belong to one shingle of those with a list in common.
 
@@ -528,7 +528,7 @@ def _components_of_rows(docs: DataFrame, id_col: str, text_col: str, words: int,
     names = F.array_sort(F.collect_list(F.xxhash64(*LIST)))
     firsts = bare.table.groupBy("node").agg(F.slice(names, 1, FIRST_LISTS).alias("lists"))
     left = sets.join(bounded(bare.table.select("node").distinct(), bare.rows), "node", "left_semi").select("node", "text", "sketch")
-    details = left.mapInArrow(_details(words, percent, often), "node long, prefix long, low long, high long")
+    details = left.mapInArrow(releasing(_details(words, percent, often)), "node long, prefix long, low long, high long")
     lists = store(bare.table.join(firsts.join(details, "node"), "node"), "jaccard-lists")
 
     low, high = 0, PARTNERS
@@ -584,5 +584,6 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     order = F.struct(F.col("id").isNull(), "id", "key")
     ids = rows.select("key", F.col(f"doc.`{id_col}`").alias("id"))
     first = found.join(ids, "key").groupBy("component_id").agg(F.min(order).alias("first"))
-    chosen = store(first.select(F.col("first.key").alias("key")), "jaccard-chosen")
+    with plain_reads(docs.sparkSession):
+        chosen = store(first.select(F.col("first.key").alias("key")), "jaccard-chosen")
     return rows.join(bounded(chosen.table, chosen.rows), "key", "left_semi").select("doc.*")

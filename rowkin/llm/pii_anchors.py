@@ -16,6 +16,9 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rowkin.llm.rows import flat, parts, releasing
 
 #: Kinds in the order of the result.  The first four are the base kinds.
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -192,14 +195,24 @@ def masked(text: str, spans: list[tuple[str, int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def _judged(docs: DataFrame, text_col: str, with_masked: bool) -> DataFrame:
-    """``_row`` (all columns of the row) and the findings."""
+def _judged(docs: DataFrame, text_col: str, with_masked: bool, keep: list[str]) -> DataFrame:
+    """``_0``, ``_1``, ... (the columns ``keep`` of every row) and the findings; the masked text, if any, stands in the text's place."""
+    rows, at = flat(docs, text_col)
+    places = [docs.columns.index(c) for c in keep]
+    text_at = keep.index(text_col) if with_masked else None
+    schema = T.StructType()
+    for k, place in enumerate(places):
+        schema.add(f"_{k}", "string" if k == text_at else rows.schema[place].dataType)
+    for kind in KINDS:
+        schema.add(f"n_{kind}", "long")
+    schema.add("n_spans", "long").add("base_sha256", "string").add("spans", "string")
+    names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             counts: list[list[int]] = [[] for _ in KINDS]
             totals, digests, every, texts = [], [], [], []
-            for value in batch.column(0):
+            for value in batch.column(at):
                 text = value.as_py()
                 spans = find(text)
                 for k, kind in enumerate(KINDS):
@@ -207,23 +220,13 @@ def _judged(docs: DataFrame, text_col: str, with_masked: bool) -> DataFrame:
                 totals.append(len(spans))
                 digests.append(hashlib.sha256(spelled([s for s in spans if s[0] in BASE_KINDS]).encode()).hexdigest())
                 every.append(spelled(spans))
-                texts.append(masked(text, spans) if with_masked and spans else text)
-            columns = [*(pa.array(c, pa.int64()) for c in (*counts, totals)), pa.array(digests, pa.string()), pa.array(every, pa.string())]
-            if with_masked:
-                columns.append(pa.array(texts, pa.string()))
-            yield pa.RecordBatch.from_arrays([batch.column(1), *columns], names=names)
-
-    rows = docs.select(
-        F.col(f"`{text_col}`").cast("string").alias("_text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    )
-    schema = rows.drop("_text").schema
-    for kind in KINDS:
-        schema = schema.add(f"n_{kind}", "long")
-    schema = schema.add("n_spans", "long").add("base_sha256", "string").add("spans", "string")
-    if with_masked:
-        schema = schema.add("masked", "string")
-    names = schema.names
-    return rows.mapInArrow(run, schema)
+                if with_masked:
+                    texts.append(masked(text, spans) if spans else text)
+            columns = [pa.array(texts, pa.string()) if k == text_at else batch.column(place) for k, place in enumerate(places)]
+            columns += [*(pa.array(c, pa.int64()) for c in (*counts, totals)), pa.array(digests, pa.string()), pa.array(every, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return rows.mapInArrow(releasing(run), schema)
 
 
 def detected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -233,12 +236,12 @@ def detected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Every row is judged on its own, so there is no shuffle; repeated rows and ties need no rule.  Columns
     other than the id and the text are not read.
     """
-    out = _judged(docs.select(*dict.fromkeys((id_col, text_col))).withColumn("_id", F.col(id_col)).select("_id", text_col), text_col, False)
-    findings = out.columns[1:]
-    return out.select(F.col("_row._id").alias(id_col), *findings)
+    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_t"))
+    out = _judged(rows, "_t", False, ["_id"])
+    return out.select(F.col("_0").alias(id_col), *out.columns[1:])
 
 
 def redacted(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with every span of the text replaced by its kind's mask; null texts stay null."""
-    out = _judged(docs, text_col, True)
-    return out.select(*[F.col("masked" if c == text_col else f"_row.`{c}`").alias(c) for c in docs.columns])
+    out = _judged(docs, text_col, True, docs.columns)
+    return out.select(*[F.col(f"_{k}").alias(c) for k, c in enumerate(docs.columns)])

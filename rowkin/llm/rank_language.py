@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rowkin.llm.rows import flat, parts, plain_reads, releasing
+
 PROFILE = 300
 #: More languages than this are refused: what is sent to every task is MOST_LANGUAGES * PROFILE pairs at most.
 MOST_LANGUAGES = 1000
@@ -92,9 +94,9 @@ def ranked(keys: np.ndarray, counts: np.ndarray, most: int = PROFILE) -> np.ndar
 _COUNTED = "lang string, gram long, n long"
 
 
-def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, where = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return keys, np.bincount(where, np.concatenate([n for _, n in parts])).astype(np.int64)
+def _summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, where = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+    return keys, np.bincount(where, np.concatenate([n for _, n in held])).astype(np.int64)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,10 +127,12 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", most:
     most of the rows costs one row per n-gram and batch.  Only the ``most`` first rows of a language are kept.
     """
     rows = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    counts = rows.mapInArrow(_count, _COUNTED).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = rows.mapInArrow(releasing(_count), _COUNTED).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     top = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
-    if (found := top.orderBy("lang", "rank").limit(MOST_LANGUAGES * most + 1).collect()) and len(found) > MOST_LANGUAGES * most:
+    with plain_reads(docs.sparkSession):
+        found = top.orderBy("lang", "rank").limit(MOST_LANGUAGES * most + 1).collect()
+    if len(found) > MOST_LANGUAGES * most:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     profiles: dict[str, list[int]] = {}
     for row in found:
@@ -158,21 +162,27 @@ def nearest(own: np.ndarray, langs: list[str], grams: np.ndarray, ranks: np.ndar
     return langs[best], float(1.0 - moved[best] / (most * len(own)))
 
 
-def identified(docs: DataFrame, profiles: dict[str, list[int]], text_col: str = "text", most: int = PROFILE) -> DataFrame:
-    """``_row`` (all columns of the row), ``lang_pred`` and ``score`` of every row."""
+def _judged(docs: DataFrame, profiles: dict[str, list[int]], text_col: str, most: int, keep: list[str]) -> DataFrame:
+    """``_0``, ``_1``, ... (the columns ``keep`` of every row), ``lang_pred`` and ``score``."""
     langs, grams, ranks = _table(profiles, most)
+    rows, at = flat(docs, text_col)
+    places = [docs.columns.index(c) for c in keep]
+    schema = rows.select(*[f"_{k}" for k in places]).toDF(*[f"_{k}" for k in range(len(keep))]).schema.add("lang_pred", "string").add("score", "double")
+    names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [nearest(ranked(*gram_counts(t.as_py()), most), langs, grams, ranks, most) for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
-                names=["_row", "lang_pred", "score"],
-            )
+        for batch in parts(batches):
+            found = [nearest(ranked(*gram_counts(t.as_py()), most), langs, grams, ranks, most) for t in batch.column(at)]
+            columns = [batch.column(k) for k in places]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=names)
 
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("_text"), row.alias("_row"))
-    return rows.mapInArrow(run, rows.drop("_text").schema.add("lang_pred", "string").add("score", "double"))
+    return rows.mapInArrow(releasing(run), schema)
+
+
+def identified(docs: DataFrame, profiles: dict[str, list[int]], text_col: str = "text", most: int = PROFILE) -> DataFrame:
+    """``_row`` (all columns of the row), ``lang_pred`` and ``score`` of every row."""
+    out = _judged(docs, profiles, text_col, most, docs.columns)
+    return out.select(F.struct(*[F.col(f"_{k}").alias(c) for k, c in enumerate(docs.columns)]).alias("_row"), "lang_pred", "score")
 
 
 def identify(docs: DataFrame, profiles: dict[str, list[int]], id_col: str = "doc_id", text_col: str = "text",
@@ -183,4 +193,4 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], id_col: str = "doc
     are counted; repeated rows are judged each on its own.  Other columns are not read.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_t"))
-    return identified(rows, profiles, "_t", most).select(F.col("_row._id").alias(id_col), "lang_pred", "score")
+    return _judged(rows, profiles, "_t", most, ["_id"]).select(F.col("_0").alias(id_col), "lang_pred", "score")

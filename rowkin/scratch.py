@@ -20,6 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Parquet's vectored reads of local files fetch whole column chunks, and every reading thread keeps a direct buffer as large as the
+#: largest it has read, outside of all that Spark accounts for.  Plain reads need none.
+PLAIN_READS = {"parquet.hadoop.vectored.io.enabled": "false"}
+
 #: Paths made inside the innermost :func:`dropping`.
 _MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
@@ -84,7 +88,7 @@ def _written(df: DataFrame, path: str, figures: dict[str, Column]) -> Stored:
     watched = [F.count(F.lit(1)).alias("rows"), *[value.alias(name) for name, value in figures.items()]]
     df.observe(seen, *watched).write.parquet(path)
     values = seen.get
-    return Stored(df.sparkSession.read.schema(df.schema).parquet(path), values["rows"], values)
+    return Stored(df.sparkSession.read.options(**PLAIN_READS).schema(df.schema).parquet(path), values["rows"], values)
 
 
 def write_out(df: DataFrame, label: str) -> DataFrame:
@@ -106,4 +110,4 @@ class Growing:
     def table(self) -> DataFrame:
         """All steps so far, with their number as ``step``."""
         whole = T.StructType([*self.schema, T.StructField("step", T.IntegerType())])
-        return self.spark.read.schema(whole).parquet(self.path)
+        return self.spark.read.options(**PLAIN_READS).schema(whole).parquet(self.path)

@@ -1,8 +1,12 @@
+import re
+from pathlib import Path
+
 import corpus_pipeline as P
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from rowkin.llm import kk_packing, pii_anchors
+from rowkin.llm import group_jaccard, kk_packing, pii_anchors, rank_language, rows
 from rowkin.llm.queries import ORACLES, QUERIES, table
 from tests.llm.brute import jaccard_components
 
@@ -114,3 +118,84 @@ def test_all_stages_keep_clashing_columns(spark):
         assert docs.count() > 0
         if name != "packing":
             assert docs.columns == columns and {r[0] for r in docs.select("score").distinct().collect()} == {"x"}
+
+
+def test_a_text_crosses_to_python_once_and_comes_back_in_parts(spark):
+    """Before, a text went to Python twice and all texts of a batch came back together."""
+    def crossing(df):
+        node = df._jdf.queryExecution().optimizedPlan()
+        while node.nodeName() != "MapInArrow":
+            node = node.children().apply(0)
+        return [sum(out.apply(k).dataType().simpleString() == "string" for k in range(out.size())) for out in (node.children().apply(0).output(), node.output())]
+
+    docs = table(spark, SMALL, "documents").select("doc_id", "text")
+    profiles = {"en": [97, 98]}
+    assert crossing(rank_language.identified(docs, profiles)) == [1, 2]  # back: text, lang_pred
+    assert crossing(rank_language.identify(docs, profiles)) == [1, 1]
+    assert crossing(pii_anchors.redacted(docs)) == [1, 3]  # back: masked text, base_sha256, spans
+    assert crossing(pii_anchors.detected(docs)) == [1, 2]
+    assert [p.num_rows for p in rows.parts(iter([pa.record_batch({"a": [0] * 2500}), pa.record_batch({"a": [0] * 3})]))] == [1000, 1000, 500, 3]
+
+
+def test_texts_that_are_no_strings_are_judged_as_strings(spark):
+    docs = spark.createDataFrame([(1, 4111111111111111), (2, None), (3, 7)], "doc_id long, text long")
+    assert sorted(tuple(r) for r in pii_anchors.redacted(docs).collect()) == [(1, "[CARD]"), (2, None), (3, "7")]
+    assert sorted((r["doc_id"], r["n_card"]) for r in pii_anchors.detected(docs).collect()) == [(1, 1), (2, 0), (3, 0)]
+    found = rank_language.identified(docs, {"en": [97]}).collect()
+    assert sorted((r["_row"]["doc_id"], r["_row"]["text"] or 0, r["lang_pred"]) for r in found) == [(1, 4111111111111111, "und"), (2, 0, "und"), (3, 7, "und")]
+
+
+def test_written_tables_are_read_without_vectored_reads(spark, monkeypatch):
+    """Their buffers stay with every thread that read a file: before, they grew an executor beyond its memory."""
+    key = "parquet.hadoop.vectored.io.enabled"
+    seen = []
+    collapsed = group_jaccard._collapsed
+    monkeypatch.setattr(group_jaccard, "_collapsed", lambda words: seen.append(spark.conf.get(key, None)) or collapsed(words))
+    docs = table(spark, SMALL, "documents")
+    before = spark.conf.get(key, None)
+    found = group_jaccard.joined(docs)
+    assert found._jdf.queryExecution().analyzed().relation().options().apply(key) == "false"
+    assert seen == ["false"] and spark.conf.get(key, None) == before
+    with rows.plain_reads(spark):
+        assert spark._jsparkSession.sessionState().newHadoopConf().get(key) == "false"
+
+
+def test_results_of_stages_run_in_small_batches(spark):
+    """Before, the default of 10,000 rows held for stages whose results run later, and executors kept what that took."""
+    names = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch", "parquet.hadoop.vectored.io.enabled"]
+    docs = table(spark, SMALL, "documents")
+    before = {name: spark.conf.get(name, None) for name in names}
+    for _, stage in P.STAGES:
+        for name in names:
+            spark.conf.unset(name)
+        stage(spark, docs, SMALL)
+        assert [spark.conf.get(name) for name in names] == ["1000", str(4 << 20), "false"]
+        sizes = spark.range(2500).coalesce(1).mapInArrow(lambda batches: (pa.record_batch({"n": [b.num_rows]}) for b in batches), "n long")
+        assert max(r["n"] for r in sizes.collect()) <= 1000
+    spark.conf.set(names[0], "100")
+    rows.lean(spark)
+    assert spark.conf.get(names[0]) == "100"  # smaller ones of the session stay
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_memory_that_a_task_freed_is_released():
+    """Before, a worker kept it: some 40 MB after the tasks of the join."""
+    def held():
+        return int(re.search(r"Pss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) // 1024
+
+    def run(batches):
+        kept = []
+        for k in range(200_000):
+            kept.append(bytearray(600))
+            if k % 1000 == 0:
+                kept.append(bytes(10))
+        pinned.append(bytearray(600))  # on top of all, so that nothing below goes back by itself
+        yield from batches
+
+    for whole in (run, rows.releasing(run)):
+        pinned = []
+        start = held()
+        assert len(list(whole(iter([pa.record_batch({"a": [1]})])))) == 1
+        grown = held() - start
+    assert grown < 40
